@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,11 @@ def parse_timestamp(text: Column | str) -> Column:
     return _column(text).try_cast("timestamp_ntz")
 
 
+def moment(at: datetime | str, kind: T.DataType) -> Column:
+    """A literal time of type ``kind``, free of the driver's own time zone."""
+    return F.lit(str(at)).cast(kind)
+
+
 def count_where(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 

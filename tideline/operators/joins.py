@@ -14,8 +14,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame; runs no job."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -1,9 +1,10 @@
 """Previous and next row of a key, for keys of any size.
 
-A plain ``lag``/``lead`` sends all rows of a key to one task. Here a key that
-holds more than a set share of the rows is cut into slices along its order
-column; each slice is a window group of its own, and the rows at the slice
-borders get their neighbour from a table with one row per slice.
+A plain ``lag``/``lead`` sends all rows of a key to one task. Here the keys are
+counted first. If one holds more than a set share of the rows, it is cut into
+slices along its order column; each slice is a window group of its own, and the
+rows at the slice borders get their neighbour from a table with one row per
+slice. Without such a key the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import position
+from tideline.session import written
 
 SLICE = "__slice"
 SLICES = "__slices"
@@ -35,81 +37,96 @@ class SplitPolicy:
     min_rows: int = 1_000_000
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
+def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Equality of column pairs in which null equals null; the names must differ."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
-def slice_heavy_keys(
-    df: DataFrame, keys: Sequence[str], along: str, policy: SplitPolicy | None, profile_of: DataFrame | None = None
-) -> DataFrame:
-    """Add the slice number of each row and the slice count of its key.
+@dataclass(frozen=True)
+class Groups:
+    """Rows with the keys that window groups are formed by; heavy keys come in slices."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    sliced: bool
+
+    @property
+    def by(self) -> list[str]:
+        return [*self.keys, SLICE] if self.sliced else list(self.keys)
+
+    def over(self, rows: DataFrame) -> Groups:
+        return Groups(rows, self.keys, self.sliced)
+
+    def finished(self) -> DataFrame:
+        return self.rows.drop(SLICE, SLICES)
 
-    Slices have equal width over the key's own range of ``along``. The cut is a
-    function of row content only, so retries and plan branches agree on it.
-    ``profile_of`` may be a cheaper frame with the same keys and order column.
+
+def window_groups(
+    df: DataFrame, keys: Sequence[str], along: str, policy: SplitPolicy | None = SplitPolicy(),
+    profile_of: DataFrame | None = None,
+) -> Groups:
+    """Count the keys of ``df`` and cut the heavy ones along ``along``.
+
+    Runs one job that reads keys and order column and returns a single row.
+    Slices have equal width over the key's own range. The cut depends on row
+    content only, so retries and plan branches agree on it. ``profile_of`` may be
+    a cheaper frame that has at least the rows of ``df``.
     """
+    whole = Groups(df, tuple(keys), sliced=False)
     if policy is None:
-        return df.withColumns({SLICES: F.lit(1), SLICE: F.lit(0)})
+        return whole
     source = df if profile_of is None else profile_of
     profile = (
         source.select(*keys, position(source, along).alias("__at"))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__low"), F.max("__at").alias("__high"))
     )
-    share = profile.agg(F.sum("__n") * F.lit(policy.max_share)).scalar()
-    limit = F.greatest(F.lit(float(policy.min_rows)), share)
+    size = profile.agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
+    limit = max(policy.min_rows, (size["total"] or 0) * policy.max_share)
+    if (size["largest"] or 0) <= limit:
+        return whole
+
     heavy = profile.filter(F.col("__n") > limit).select(
         *[F.col(k).alias(f"__heavy_{k}") for k in keys],
         F.col("__low"),
-        (F.col("__high") - F.col("__low")).alias("__span"),
+        F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0)).alias("__span"),
         F.ceil(F.col("__n") / limit).cast("int").alias("__cuts"),
     )
-    joined = df.join(F.broadcast(heavy), null_safe(df, heavy, [(k, f"__heavy_{k}") for k in keys]), "left")
-    cut = F.floor((position(df, along) - F.col("__low")) / F.nullif(F.col("__span"), F.lit(0.0)) * F.col("__cuts"))
-    return joined.select(
-        *df.columns,
-        F.coalesce(F.col("__cuts"), F.lit(1)).alias(SLICES),
-        F.least(F.coalesce(cut, F.lit(0)), F.coalesce(F.col("__cuts"), F.lit(1)) - 1).cast("int").alias(SLICE),
-    )
+    joined = df.join(F.broadcast(heavy), null_safe([(k, f"__heavy_{k}") for k in keys]), "left")
+    cuts = F.coalesce(F.col("__cuts"), F.lit(1))
+    cut = F.floor((position(df, along) - F.col("__low")) / F.col("__span") * F.col("__cuts"))
+    cut = F.least(F.coalesce(cut, F.lit(0)), cuts - 1).cast("int")
+    rows = joined.select(*df.columns, cuts.alias(SLICES), cut.alias(SLICE))
+    # The slices are read more than once from here on: cut the lineage.
+    return Groups(written(rows, "slices"), tuple(keys), sliced=True)
 
 
-def _neighbour(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], forward: bool,
-    split: bool,
-) -> DataFrame:
+def _neighbour(groups: Groups, order: Sequence[str], values: Mapping[str, str], forward: bool) -> Groups:
     packed = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
     shift = F.lead if forward else F.lag
-    window = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    local = sliced.withColumn("__local", shift(packed, 1).over(window))
-    if not split:
-        return local.select(*sliced.columns, *[F.col("__local")[n].alias(n) for n in values])
+    rows = groups.rows
+    local = rows.withColumn("__local", shift(packed, 1).over(Window.partitionBy(*groups.by).orderBy(*order)))
+    if not groups.sliced:
+        return groups.over(local.select(*rows.columns, *[F.col("__local")[n].alias(n) for n in values]))
+
     border = F.min_by if forward else F.max_by
     per_slice = (
-        sliced.filter(F.col(SLICES) > 1)
-        .groupBy(*keys, SLICE)
-        .agg(border(packed, F.struct(*order)).alias("__border"))
+        rows.filter(F.col(SLICES) > 1).groupBy(*groups.by).agg(border(packed, F.struct(*order)).alias("__border"))
     )
-    across = Window.partitionBy(*keys).orderBy(SLICE)
+    across = Window.partitionBy(*groups.keys).orderBy(SLICE)
     borders = per_slice.select(
-        *[F.col(k).alias(f"__border_{k}") for k in keys],
-        F.col(SLICE).alias("__border_slice"),
-        shift("__border", 1).over(across).alias("__across"),
+        *[F.col(k).alias(f"__border_{k}") for k in groups.by], shift("__border", 1).over(across).alias("__across")
     )
-    pairs = [(k, f"__border_{k}") for k in keys] + [(SLICE, "__border_slice")]
-    both = local.join(F.broadcast(borders), null_safe(local, borders, pairs), "left")
+    both = local.join(F.broadcast(borders), null_safe([(k, f"__border_{k}") for k in groups.by]), "left")
     found = F.coalesce(F.col("__local"), F.col("__across"))
-    return both.select(*sliced.columns, *[found[n].alias(n) for n in values])
+    return groups.over(both.select(*rows.columns, *[found[n].alias(n) for n in values]))
 
 
-def with_previous(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], split: bool = True
-) -> DataFrame:
+def with_previous(groups: Groups, order: Sequence[str], values: Mapping[str, str]) -> Groups:
     """Add ``{new name: column}`` of the previous row of the key; null on its first row."""
-    return _neighbour(sliced, keys, order, values, False, split)
+    return _neighbour(groups, order, values, forward=False)
 
 
-def with_next(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str], split: bool = True
-) -> DataFrame:
+def with_next(groups: Groups, order: Sequence[str], values: Mapping[str, str]) -> Groups:
     """Add ``{new name: column}`` of the next row of the key; null on its last row."""
-    return _neighbour(sliced, keys, order, values, True, split)
+    return _neighbour(groups, order, values, forward=True)

@@ -17,32 +17,36 @@ def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("row_count"), *keys)
 
 
-def top_key_share(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """One row: rows of the ``n`` most frequent keys, all rows, and their ratio.
+def _share_and_shape(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Top-``n`` rows, all rows, key count and largest key, in one row.
 
-    Both totals come from the same key counts, whose shuffle Spark reuses.
+    Both sides of the union read the same key counts, whose shuffle Spark reuses.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
     none = F.lit(0).cast("long")
-    top = counts.orderBy(F.desc("row_count")).limit(n).select(F.col("row_count").alias("top_rows"), none.alias("all_rows"))
+    top = counts.orderBy(F.desc("row_count")).limit(n).select(
+        F.col("row_count").alias("top_rows"), none.alias("all_rows")
+    )
     every = counts.select(none.alias("top_rows"), F.col("row_count").alias("all_rows"))
     return (
         top.unionByName(every)
-        .agg(F.sum("top_rows").alias("top_rows"), F.sum("all_rows").alias("all_rows"))
+        .agg(
+            F.sum("top_rows").alias("top_rows"), F.sum("all_rows").alias("all_rows"),
+            F.count_if(F.col("all_rows") > 0).alias("key_count"), F.max("all_rows").alias("largest_key_rows"),
+        )
         .withColumn("top_share", F.round(F.col("top_rows") / F.nullif(F.col("all_rows"), F.lit(0)), 6))
     )
 
 
+def top_key_share(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """One row: rows of the ``n`` most frequent keys, all rows, and their ratio."""
+    return _share_and_shape(df, keys, n).select("top_rows", "all_rows", "top_share")
+
+
 def skew_metrics(df: DataFrame, keys: Sequence[str], n: int, run_id: str) -> DataFrame:
     """One monitoring row per run, to be appended to a metric table."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    shape = counts.agg(
-        F.count(F.lit(1)).alias("key_count"), F.max("__n").alias("largest_key_rows"),
-    )
-    share = top_key_share(df, keys, n)
-    return (
-        share.select(F.lit(run_id).alias("run_id"), "*")
-        .join(shape.select(F.lit(run_id).alias("run_id"), "*"), "run_id")
+    return _share_and_shape(df, keys, n).select(
+        F.lit(run_id).alias("run_id"), "key_count", "largest_key_rows", "top_rows", "all_rows", "top_share"
     )
 
 
@@ -75,7 +79,7 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_share: float) -> DataFram
 
 def _mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     marked = heavy.select(*[F.col(k).alias(f"__heavy_{k}") for k in keys], F.lit(True).alias("__heavy"))
-    joined = df.join(F.broadcast(marked), null_safe(df, marked, [(k, f"__heavy_{k}") for k in keys]), "left")
+    joined = df.join(F.broadcast(marked), null_safe([(k, f"__heavy_{k}") for k in keys]), "left")
     return joined.select(*df.columns, F.coalesce("__heavy", F.lit(False)).alias("__heavy"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PROFILE = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,3 +47,10 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: later plans start there, and lost executors cost nothing."""
+    path = working_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
