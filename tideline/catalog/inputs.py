@@ -111,9 +111,8 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATES, "currency string, fx_rate string").withColumn(
-        "fx_rate", F.col("fx_rate").cast("decimal(10,4)")
-    )
+    listed = ", ".join(f"('{currency}', CAST({rate} AS DECIMAL(10,4)))" for currency, rate in RATES)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS r(currency, fx_rate)")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

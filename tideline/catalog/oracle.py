@@ -316,7 +316,7 @@ _HOURLY = f"""
 _CLOSED_HOURS = """
         SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL '1' HOUR AS window_end, user_id,
                CAST(count(*) AS BIGINT) AS event_count
-        FROM events GROUP BY ALL
+        FROM events GROUP BY date_trunc('hour', ts), user_id
         HAVING date_trunc('hour', ts) + INTERVAL '1' HOUR
                <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '2' HOUR FROM events)"""
 _CLOSED_SESSIONS = """
@@ -471,7 +471,7 @@ def statements() -> dict[str, str]:
         "schema_evolution_roundtrip": _sql("fx_products", """
             SELECT product_id, category, price, is_active, CASE WHEN is_active THEN product_name END AS product_name
             FROM fx_products"""),
-        "compact_and_cluster": _sql("fx_orders", "SELECT * FROM fx_orders"),
+        "compact_and_cluster": _sql("fx_orders", f"SELECT * REPLACE ({_money('amount')} AS amount) FROM fx_orders"),
         "csv_roundtrip": _sql("fx_transactions", "SELECT * FROM fx_transactions"),
         "stream_hourly_metrics": _sql("fx_events fx_newest", _HOURLY),
         "stream_sliding_14d": _windows(14),

@@ -364,7 +364,7 @@ def compact_and_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout.overwrite(partitions.by_count(inputs.orders(spark, sf_dir), 16), f"{root}/small", 500)
     layout.compact(spark, f"{root}/small", f"{root}/compact")
     layout.cluster(snapshots.read(spark, f"{root}/compact"), f"{root}/clustered", ["user_id", "order_time"], 4)
-    return snapshots.read(spark, f"{root}/clustered")
+    return snapshots.read(spark, f"{root}/clustered").withColumn("amount", money_out("amount"))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

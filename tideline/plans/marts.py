@@ -122,11 +122,15 @@ def paid_orders(
 
 
 def revenue_by_day(paid: DataFrame) -> DataFrame:
-    """Daily revenue of ``paid_orders``: orders, gross, refunds, net and payment mismatches."""
+    """Daily revenue of ``paid_orders``: orders, gross, refunds, net and payment mismatches.
+
+    ``paid_orders`` has one row per order, so counting rows counts orders and
+    saves the second shuffle of a distinct count.
+    """
     return (
         paid.groupBy("order_date")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+            F.count(F.lit(1)).alias("total_orders"),
             F.sum("amount_base").alias("gross"), F.sum("refund_base").alias("refunded"),
             count_where(differs(F.col("paid_amount"), F.col("amount"), MISMATCH_TOLERANCE)).alias("mismatch_count"),
         )
