@@ -44,8 +44,8 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-"))
+        shared = spark.sparkContext.getCheckpointDir()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
