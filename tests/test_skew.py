@@ -79,7 +79,7 @@ def test_partition_reports(fact):
 
 
 def test_range_layout_splits_a_hot_value(fact):
-    laid_out = partitions.clustered(fact, 4, ["user_id"])
+    laid_out = partitions.clustered(fact, ["user_id"], 4)
     report = partitions.partition_report(laid_out, "x").first()
     assert report["partitions"] == 4 and report["max_rows"] < 0.5 * fact.count()
     assert rows(laid_out) == rows(fact)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import money
+from tideline.operators.joins import dimension_join
 
 # Conversion rates of the reporting currency. Currency C4 has
 # none on purpose.
@@ -130,16 +131,20 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_region(df: DataFrame, spark: SparkSession, sf_dir: str, nation: str) -> DataFrame:
+    """Add the region of column ``nation``. Each table is size-checked by itself, before any join."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(nation), "n_regionkey")
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    return dimension_join(dimension_join(df, nations, [nation]), regions, ["n_regionkey"])
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trips of a supplier; repeated line numbers act as duplicates."""
-    lines, suppliers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    homes = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        regions, F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return lines.join(homes, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    lines = dimension_join(table(spark, sf_dir, "lineitem"), suppliers, ["l_suppkey"])
+    return with_region(lines, spark, sf_dir, "s_nationkey").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trip_id"), F.col("l_suppkey").alias("driver_id"),
-        F.col("r_name").alias("city"), F.col("l_extendedprice").alias("fare_amount"),
+        F.col("region").alias("city"), F.col("l_extendedprice").alias("fare_amount"),
         F.col("l_quantity").alias("trip_distance"), F.col("l_shipdate").alias("trip_timestamp"),
         F.col("l_partkey").alias("seq"),
     )
@@ -156,9 +161,8 @@ def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change per order: the order status moves the customer's risk level."""
     status = F.col("o_orderstatus")
     risk = F.when(status == "F", "LOW").when(status == "O", "MEDIUM").when(status == "P", "HIGH")
-    joined = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    joined = dimension_join(table(spark, sf_dir, "orders"), customers, ["o_custkey"])
     return joined.select(
         F.col("o_custkey").alias("customer_id"), F.col("c_name").alias("name"),
         F.concat(F.lit("e"), F.col("o_custkey"), F.lit("@x.org")).alias("email"),

@@ -43,11 +43,8 @@ def regional_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("amount"),
     )
-    customers = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("c_custkey").alias("customer_id"), F.col("r_name").alias("region"))
+    customers = inputs.with_region(table(spark, sf_dir, "customer"), spark, sf_dir, "c_nationkey").select(
+        F.col("c_custkey").alias("customer_id"), "region"
     )
     return marts.regional_sales(lines, customers, inputs.products(spark, sf_dir))
 
@@ -360,10 +357,11 @@ def schema_evolution_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_and_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capped files, then compacted ones, then a layout sorted by user."""
     root = working_folder(spark, "compact")
-    layout.overwrite(partitions.by_count(inputs.orders(spark, sf_dir), 16), f"{root}/small", 500)
+    layout.overwrite(inputs.orders(spark, sf_dir), f"{root}/small", 5_000)
     layout.compact(spark, f"{root}/small", f"{root}/compact")
-    layout.cluster(snapshots.read(spark, f"{root}/compact"), f"{root}/clustered", ["user_id", "order_time"], 4)
+    layout.cluster(snapshots.read(spark, f"{root}/compact"), f"{root}/clustered", ["user_id", "order_time"])
     return snapshots.read(spark, f"{root}/clustered").withColumn("amount", money_out("amount"))
 
 

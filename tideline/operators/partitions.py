@@ -31,16 +31,18 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def clustered(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
     """Range layout on ``keys``, sorted inside, so file footers prune.
 
     The row hash closes the range key: a value that fills several partitions is
-    split between them instead of going to one.
+    split between them instead of going to one. Without ``n`` the adaptive
+    planner sizes the partitions.
     """
     spread = "__spread"
+    ranges = [*keys, spread] if n is None else [n, *keys, spread]
     return (
         df.withColumn(spread, F.xxhash64(*df.columns))
-        .repartitionByRange(n, *keys, spread)
+        .repartitionByRange(*ranges)
         .drop(spread)
         .sortWithinPartitions(*keys)
     )

@@ -44,6 +44,8 @@ def compact(spark: SparkSession, path: str, root: str, partition_by: tuple[str,
     return snapshots.publish(balanced(table, *partition_by), root, partition_by)
 
 
-def cluster(df: DataFrame, root: str, keys: Sequence[str], files: int, max_records_per_file: int = 0) -> int:
+def cluster(
+    df: DataFrame, root: str, keys: Sequence[str], files: int | None = None, max_records_per_file: int = 0
+) -> int:
     """Write sorted by range of ``keys`` so that a key filter skips most files."""
-    return snapshots.publish(clustered(df, files, keys), root, max_records_per_file=max_records_per_file)
+    return snapshots.publish(clustered(df, keys, files), root, max_records_per_file=max_records_per_file)

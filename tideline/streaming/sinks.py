@@ -44,7 +44,9 @@ def window_upsert(path: str, staging: str, keys: Sequence[str]) -> Callable[[Dat
         # Two slots: a batch never needs the files of the one before the last.
         step = f"{staging}/slot-{batch_id % 2}"
         incoming.write.mode("overwrite").parquet(f"{step}/incoming")
-        incoming = spark.read.parquet(f"{step}/incoming")
+        incoming = spark.read.schema(incoming.schema).parquet(f"{step}/incoming")
+        if incoming.isEmpty():
+            return
         days = incoming.select(DAY).distinct()
         target = spark.read.schema(incoming.schema).parquet(path).join(days, DAY, "left_semi")
         merged = upsert(target.select(*incoming.columns), incoming, ["window_start", *keys])
