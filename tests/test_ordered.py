@@ -50,7 +50,7 @@ def test_empty_input(spark):
     assert split(df, "t", ["t"])[1].count() == 0
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 12)), min_size=1, max_size=40))
 def test_any_rows(spark, pairs):
     data = [(k, START + timedelta(minutes=t), i) for i, (k, t) in enumerate(pairs)]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.joins import BROADCAST_BYTES, is_small
+from tideline.session import written
 
 _KEY = "__key_"
 
@@ -22,14 +23,16 @@ def matched_pairs(
 ) -> DataFrame:
     """Rows ``(t, s)``: target and source row of each key, null where one is missing.
 
-    A source within the broadcast limit is sent to the target, which is then not
-    shuffled at all; source rows without a partner come from a second, key-only
-    look at the target. A larger source takes one full outer join.
+    A source within the broadcast limit is written once and sent to the target,
+    which is then not shuffled at all; source rows without a partner come from a
+    second, key-only look at the target. A larger source takes one full outer join.
     """
+    small = is_small(source, broadcast_limit)
+    source = written(source, "merge-source") if small else source
     t = target.select(*[F.col(k).alias(_KEY + k) for k in keys], F.struct(*target.columns).alias("t"))
     s = source.select(*[F.col(k).alias(_KEY + k) for k in keys], F.struct(*source.columns).alias("s"))
     on = [_KEY + k for k in keys]
-    if not is_small(source, broadcast_limit):
+    if not small:
         return t.join(s, on, "full_outer").select("t", "s")
     kept = t.join(F.broadcast(s), on, "left").select("t", "s")
     known = t.select(*on).join(F.broadcast(s.select(*on)), on, "left_semi")
@@ -96,10 +99,11 @@ def upsert(
     outer join: the target without the source's keys, and then the source. The
     planner sends a small source to the target instead of shuffling it.
     """
-    incoming = source.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
+    incoming = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
     arriving = incoming.select(*keys)
     if is_small(source, broadcast_limit):
-        arriving = F.broadcast(arriving)
+        incoming = written(incoming, "merge-source")
+        arriving = F.broadcast(incoming.select(*keys))
     return target.join(arriving, list(keys), "left_anti").unionByName(incoming)
 
 

@@ -168,20 +168,20 @@ def insert_late_versions(
     touched = late.select(*dim.keys).distinct()
     untouched = dimension.join(touched, list(dim.keys), "left_anti").select(*dim.columns)
     affected = dimension.join(touched, list(dim.keys), "left_semi")
-    # At one time, a late row beats a stored start, and a start beats an end.
-    starts = affected.select(
-        *dim.keys, *dim.tracked, F.col(FROM).alias(dim.time), F.lit(False).alias("__ends"),
-        F.lit(1).alias("__rank"),
-    )
-    ends = affected.filter(F.col(TO).isNotNull()).select(
-        *dim.keys, *dim.tracked, F.col(TO).alias(dim.time), F.lit(True).alias("__ends"),
-        F.lit(0).alias("__rank"),
+    # A version gives its start and, if closed, its end as change points, in one
+    # pass. At one time, a late row beats a stored start, and a start beats an end.
+    start = F.struct(F.col(FROM).alias("at"), F.lit(False).alias("ends"), F.lit(1).alias("rank"))
+    end = F.struct(F.col(TO).alias("at"), F.lit(True).alias("ends"), F.lit(0).alias("rank"))
+    stored = affected.withColumn("__point", F.explode(F.when(F.col(TO).isNull(), F.array(start)).otherwise(F.array(start, end))))
+    stored = stored.select(
+        *dim.keys, *dim.tracked, F.col("__point.at").alias(dim.time), F.col("__point.ends").alias("__ends"),
+        F.col("__point.rank").alias("__rank"),
     )
     inserted = latest_per_key(late, [*dim.keys, dim.time], list(dim.tiebreak) or [*dim.tracked]).select(
         *dim.keys, *dim.tracked, dim.time, F.lit(False).alias("__ends"),
         F.lit(2).alias("__rank"),
     )
-    points = starts.unionByName(ends).unionByName(inserted)
+    points = stored.unionByName(inserted)
     ranked = Dimension(dim.keys, dim.tracked, dim.time, ("__rank",))
     return untouched.unionByName(build_history(points, ranked, F.col("__ends"), split))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.operators import cdc, scd
 from tideline.operators.checks import require_sound_dimension
 from tideline.operators.scd import Dimension
+from tideline.session import written
 from tideline.sinks import snapshots
 from tideline.sources.incremental import newer_than
 
@@ -19,9 +20,15 @@ CITIES = Dimension(("customer_id",), ("city",), "event_time", ("seq",))
 
 
 def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_new: bool = True) -> DataFrame:
-    """The dimension after ``updates``: newest changes applied, late ones put in their place."""
-    applied = scd.apply_updates(dimension, updates, dim, insert_new)
-    return scd.insert_late_versions(applied, scd.late_updates(dimension, updates, dim), dim)
+    """The dimension after ``updates``: late ones put in their place, then the newest applied.
+
+    Late rows lie before the current version, so they are placed in the stored
+    table first. Without any, the history of the dimension is not joined at all.
+    """
+    late = written(scd.late_updates(dimension, updates, dim), "late-updates")
+    if not late.isEmpty():
+        dimension = scd.insert_late_versions(dimension, late, dim)
+    return scd.apply_updates(dimension, updates, dim, insert_new)
 
 
 def maintain(

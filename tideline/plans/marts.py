@@ -9,6 +9,7 @@ from tideline.functions.scalars import count_where, differs, money, money_out, p
 from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key
 from tideline.operators.joins import dimension_join
 from tideline.operators.rolling import daily_totals, rolling_days, rolling_rows
+from tideline.session import written
 from tideline.sources.incremental import newer_than
 
 # Column types of the daily transaction file.
@@ -90,10 +91,13 @@ def session_metrics(events: DataFrame, products: DataFrame, boundary=None) -> Da
 
 
 def paid_orders(
-    orders: DataFrame, payments: DataFrame, refunds: DataFrame, rates: DataFrame, reference_payments: bool = False
+    orders: DataFrame, payments: DataFrame, refunds: DataFrame, rates: DataFrame, reference_payments: bool = False,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """One row per successfully paid order, with refunds and amounts in the reporting currency.
 
+    ``dates(order_date)`` limits the result to orders whose newest version is on one of them.
+
     Refunds are deduplicated like the other inputs, so a replay does not double
     them. A currency without rate keeps its order, with null amounts.
 
@@ -101,7 +105,11 @@ def paid_orders(
     status is looked at; the default sums all successful payments, so a failed
     retry does not hide a success.
     """
-    newest_orders = latest_per_key(orders, ["order_id"], ["ingestion_time", "amount"])
+    newest_orders = latest_per_key(orders, ["order_id"], ["ingestion_time", "amount"]).withColumn(
+        "order_date", F.to_date("order_time")
+    )
+    if dates is not None:
+        newest_orders = dimension_join(newest_orders, dates, ["order_date"], "left_semi")
     if reference_payments:
         last = latest_per_key(payments, ["order_id"], ["ingestion_time", "payment_id"])
         paid = last.filter(F.col("payment_status") == "SUCCESS").select("order_id", "paid_amount")
@@ -115,7 +123,7 @@ def paid_orders(
     )
     full = newest_orders.join(paid, "order_id").join(refunded, "order_id", "left").fillna(0, ["total_refund"])
     return dimension_join(full, rates, ["currency"], "left").select(
-        "order_id", F.to_date("order_time").alias("order_date"), "currency", "amount", "paid_amount",
+        "order_id", "order_date", "currency", "amount", "paid_amount",
         (F.col("amount") * F.col("fx_rate")).alias("amount_base"),
         (F.col("total_refund").cast("decimal(18,2)") * F.col("fx_rate")).alias("refund_base"),
     )
@@ -173,13 +181,11 @@ def daily_revenue_since(orders, payments, refunds, rates, boundary) -> DataFrame
     """Daily revenue of the affected dates only, each recomputed from all of its orders.
 
     Ready for ``sinks.layout.replace_partitions``: other dates stay as they are.
+    The dates, one row per calendar day, are written once and then read as a
+    small table of known size.
     """
-    dates = affected_dates(orders, payments, refunds, boundary)
-    on_dates = orders.withColumn("order_date", F.to_date("order_time")).join(dates, "order_date", "left_semi")
-    # Every version of an order on an affected date, so a moved order is seen whole.
-    all_versions = orders.join(on_dates.select("order_id").distinct(), "order_id", "left_semi")
-    revenue = revenue_by_day(paid_orders(all_versions, payments, refunds, rates))
-    return revenue.join(dates, "order_date", "left_semi")
+    dates = written(affected_dates(orders, payments, refunds, boundary), "affected-dates")
+    return revenue_by_day(paid_orders(orders, payments, refunds, rates, dates=dates))
 
 
 def rolling_features(transactions: DataFrame, users: DataFrame, by_rows: bool = False) -> DataFrame:
