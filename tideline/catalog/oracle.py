@@ -239,6 +239,8 @@ _JOINED = """
         SELECT s.user_id, event_id, event_time, event_type, amount, risk_score, user_segment
         FROM fx_skewed s JOIN fx_users u ON s.user_id = u.user_id"""
 
+_JOINED_DATED = _JOINED.replace("SELECT s.user_id,", "SELECT s.user_id, CAST(event_time AS DATE) AS event_date,")
+
 _CDC_HISTORY = r"""
         SELECT customer_id, city, event_time AS effective_from, effective_to, effective_to IS NULL AS is_current,
                sha256(city) AS record_hash
@@ -272,6 +274,27 @@ _LATE_FIX = f"""
         {_history("points").strip()}"""
 
 
+INPUTS["first_load"] = f"""
+        SELECT {_OPEN}, updated_at AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current,
+               {CUSTOMER_HASH} AS record_hash
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
+              ORDER BY updated_at DESC, ingestion_time DESC, seq DESC) AS rn FROM fx_first) WHERE rn = 1"""
+INPUTS["behind"] = """
+        SELECT n.* FROM fx_next n JOIN first_load f ON n.customer_id = f.customer_id
+        WHERE n.updated_at < f.effective_from"""
+INPUTS["corrected_points"] = f"""
+        SELECT {_OPEN}, effective_from AS updated_at, effective_from AS ingestion_time, 0 AS seq FROM first_load
+        WHERE customer_id IN (SELECT customer_id FROM behind)
+        UNION ALL SELECT {_OPEN}, updated_at, ingestion_time, seq FROM behind"""
+INPUTS["placed"] = _history("corrected_points")
+# The dimension that the second batch is applied to, under the name _apply reads.
+_SECOND_RUN = f"""
+        , dim AS (SELECT * FROM first_load WHERE customer_id NOT IN (SELECT customer_id FROM behind)
+                  UNION ALL SELECT * FROM placed),
+        newest AS ({INPUTS["newest"]}), current AS ({INPUTS["current"]})
+        {_apply(insert_new=True).strip()}"""
+
+
 def _product_hash(price: str) -> str:
     columns = ("p_name", "p_type", f"CAST(CAST({price} AS DECIMAL(38,6)) AS VARCHAR)", "'active'")
     return "sha256(concat_ws('|', " + ", ".join(columns) + "))"
@@ -295,14 +318,14 @@ _PRODUCT_SCD2 = (
 )
 
 
-def _windows(days: int) -> str:
+def _windows(days: int, having: str = "") -> str:
     """Windows of ``days`` days, one starting each day."""
     return f"""
         SELECT start AS window_start, start + INTERVAL '{days}' DAY AS window_end, user_id,
                CAST(count(*) AS BIGINT) AS event_count
         FROM (SELECT user_id, unnest(generate_series(date_trunc('day', ts) - INTERVAL '{days - 1}' DAY,
                                                      date_trunc('day', ts), INTERVAL '1' DAY)) AS start FROM events)
-        GROUP BY start, user_id"""
+        GROUP BY start, user_id {having}"""
 
 
 _HOURLY = f"""
@@ -484,6 +507,17 @@ def statements() -> dict[str, str]:
                            RANGE BETWEEN INTERVAL '13' DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_count
             FROM daily""",
         "stream_append": _CLOSED_HOURS,
+        "stream_activity_append": _windows(14, """
+            HAVING start + INTERVAL '14' DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '2' DAY FROM events)"""),
+        "incremental_run": _sql("fx_events", "SELECT * FROM fx_events"),
+        "product_table_run": _sql("fx_sales fx_silver", """
+            SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+                ORDER BY seq DESC, price DESC, units_sold DESC) AS rn FROM fx_silver) WHERE rn = 1"""),
+        "customer_dimension_run": _sql("fx_updates fx_first fx_next first_load behind corrected_points placed", _SECOND_RUN),
+        "change_feed_run": _sql("fx_cdc", _CDC_HISTORY),
+        "skew_safe_output": _sql("fx_skewed fx_users", _JOINED_DATED),
+        "tuned_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),
+        "flat_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),
         "stream_audit": _sql("fx_events fx_newest", """
             SELECT user_id AS merchant_id, CAST(count(*) AS BIGINT) AS published, CAST(count(*) AS BIGINT) AS recomputed,
                    CAST(0 AS BIGINT) AS difference

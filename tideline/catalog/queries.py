@@ -12,7 +12,7 @@ from tideline.catalog.inputs import table
 from tideline.functions.hashing import row_hash
 from tideline.functions.scalars import money, money_out
 from tideline.operators import cdc, dedup, joins, merge, partitions, scd, skew
-from tideline.plans import dimensions, marts, medallion, streams
+from tideline.plans import dimensions, marts, medallion, skewjobs, streams
 from tideline.plans.dimensions import CITIES, CUSTOMERS, PRODUCTS
 from tideline.session import working_folder, written
 from tideline.sinks import audit, evolution, layout, snapshots
@@ -437,6 +437,76 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.compare(published, recomputed, ["merchant_id"], "total_txn")
 
 
+def stream_activity_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity features as an append-only feed: each window once, when it has closed."""
+    return streams.append_run(spark, streams.activity_14d(_timed_events(spark, sf_dir)), working_folder(spark, "activity"))
+
+
+# -- whole pipelines: read, publish, read back --------------------------------
+
+
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a growing source; the stored boundary lets each row through once."""
+    root = working_folder(spark, "incremental")
+    source = inputs.clicks(spark, sf_dir)
+    earlier = source.filter(F.col("ingestion_time") <= F.lit(INCREMENTAL_BOUNDARY).cast("timestamp_ntz"))
+    for arrived in (earlier, source):
+        incremental.run_incremental(spark, arrived, f"{root}/control", lambda batch: layout.append(batch, f"{root}/table"))
+    return spark.read.parquet(f"{root}/table")
+
+
+def product_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load from the sales of odd order lines, then a merge of all of them."""
+    root = working_folder(spark, "products")
+    bronze = inputs.bronze_sales(spark, sf_dir)
+    medallion.run(spark, bronze.filter(F.col("seq") % 2 == 1), f"{root}/silver", f"{root}/gold")
+    medallion.run(spark, bronze, f"{root}/silver", f"{root}/gold")
+    return snapshots.read(spark, f"{root}/gold")
+
+
+def customer_dimension_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load, then one batch with new, changed and late rows; checked before each publish."""
+    root = working_folder(spark, "customers")
+    updates = _updates(spark, sf_dir)
+    dimensions.maintain(spark, inputs.is_first_load(updates), root, CUSTOMERS)
+    dimensions.maintain(spark, inputs.is_next_batch(updates), root, CUSTOMERS)
+    return snapshots.read(spark, root)
+
+
+def change_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in two batches of which each has events older than the other's."""
+    root = working_folder(spark, "feed")
+    feed = inputs.change_feed(spark, sf_dir)
+    even, odd = feed.filter(F.col("seq") % 2 == 0), feed.filter(F.col("seq") % 2 == 1)
+    dimensions.run_feed(spark, feed.filter(F.lit(False)), even, f"{root}/silver", f"{root}/gold")
+    dimensions.run_feed(spark, even, odd, f"{root}/silver", f"{root}/gold")
+    return snapshots.read(spark, f"{root}/gold")
+
+
+def _dated_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.skewed_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
+
+
+def skew_safe_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = working_folder(spark, "joined")
+    skewjobs.skew_safe(
+        _dated_fact(spark, sf_dir), inputs.users(spark, sf_dir), ["user_id"], ["event_id"], SALTS, "event_date", path
+    )
+    return spark.read.parquet(path)
+
+
+def tuned_join_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = working_folder(spark, "joined")
+    skewjobs.tuned(_dated_fact(spark, sf_dir), inputs.users(spark, sf_dir), ["user_id"], ["event_id"], SALTS, 16, path)
+    return spark.read.parquet(path)
+
+
+def flat_join_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = working_folder(spark, "joined")
+    skewjobs.flat(_dated_fact(spark, sf_dir), inputs.users(spark, sf_dir), ["user_id"], path)
+    return spark.read.parquet(path)
+
+
 ALL: tuple[Query, ...] = (
     regional_sales, daily_txn_totals, unreadable_times, top3_drivers, session_metrics, session_metrics_incremental,
     daily_revenue, daily_revenue_last_payment, daily_revenue_since, unrated_orders, rolling_30d, rolling_30_rows,
@@ -448,6 +518,8 @@ ALL: tuple[Query, ...] = (
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
     compact_and_cluster, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
     stream_sessions, stream_preagg_rollup, stream_append, stream_audit,
+    stream_activity_append, incremental_run, product_table_run, customer_dimension_run, change_feed_run,
+    skew_safe_output, tuned_join_output, flat_join_output,
 )
 
 

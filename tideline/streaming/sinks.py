@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,22 @@ from tideline.sinks.layout import replace_partitions
 DAY = "window_date"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 3) -> Iterator[None]:
+    """Start streams with at most ``per_core`` state partitions per core, and never more than configured.
+
+    A stream keeps the number it starts with for good, so it is set before the
+    start and for that stream only.
+    """
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(configured), per_core * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append finished windows. The file sink logs its batches, so a replay adds nothing."""
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
