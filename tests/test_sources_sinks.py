@@ -35,6 +35,21 @@ def test_one_file_per_small_partition_and_pruned_reads(spark, tables, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan(one_day)
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    path, key = str(tmp_path / "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    hot = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 3)).alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        layout.replace_partitions(hot, path, ["d"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(files(f"{path}/d=hot")) > 3 and spark.read.parquet(path).count() == 200_000
+
+
 def test_records_per_file_are_capped(spark, tmp_path):
     layout.overwrite(spark.range(0, 1000, 1, 1), str(tmp_path / "t"), 300)
     assert len(files(tmp_path)) == 4

@@ -103,6 +103,16 @@ def test_dedup_state_is_bounded(spark, topic, tmp_path):
     assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 20
 
 
+def test_copies_of_one_id_are_spread_and_still_count_once(spark, topic, tmp_path):
+    copies = [message("hot", "m", 1.0, "2024-01-01 10:00:00")] * 30
+    for n in range(3):
+        spark.createDataFrame([(m.encode(),) for m in [*copies, message(f"e{n}", "m", 1.0, "2024-01-01 10:00:00")]], "value binary") \
+            .repartition(4).write.mode("append").parquet(str(topic.folder))
+    events = parse_messages(spark.readStream.schema("value binary").parquet(str(topic.folder)), streams.MESSAGE_SCHEMA)
+    once = aggregates.distinct_events(events, ["transaction_id"], "event_time", "2 hours", spread_copies=True)
+    assert rows(streams.append_run(spark, once, str(tmp_path / "out")), "transaction_id") == [("e0",), ("e1",), ("e2",), ("hot",)]
+
+
 def test_append_emits_each_closed_window_once(spark, topic, tmp_path):
     def run():
         events = parse_messages(topic.stream(), streams.MESSAGE_SCHEMA).withWatermark("event_time", "1 hour")

@@ -70,7 +70,7 @@ def window_groups(
     Runs one job that reads keys and order column and returns a single row.
     Slices have equal width over the key's own range. The cut depends on row
     content only, so retries and plan branches agree on it. ``profile_of`` may be
-    a cheaper frame that has at least the rows of ``df``.
+    a cheaper frame with about as many rows per key, or more.
     """
     whole = Groups(df, tuple(keys), sliced=False)
     if policy is None:

@@ -111,12 +111,14 @@ def apply_updates(
 
 def build_history(
     changes: DataFrame, dim: Dimension, deleted: Column | None = None, split: SplitPolicy | None = SplitPolicy(),
+    profile_of: DataFrame | None = None,
 ) -> DataFrame:
     """All versions from a change log: each real change opens an interval.
 
     Several changes at one time count as the last of them, replays and repeats
     of the same values are no change, and a delete ends the interval without
-    opening another. Keys of any size are handled, see ``operators.ordered``.
+    opening another. Keys of any size are handled, see ``operators.ordered``;
+    ``profile_of`` may be a cheaper frame to count the changes per key in.
     """
     marked = changes.withColumn(_GONE, F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False))
     points = latest_per_key(marked, [*dim.keys, dim.time], list(dim.tiebreak) or [*dim.tracked])
@@ -124,7 +126,7 @@ def build_history(
         "__state", F.when(F.col(_GONE), F.lit("")).otherwise(F.col(HASH))
     ).select(*dim.keys, *dim.tracked, dim.time, _GONE, HASH, "__state")
 
-    groups = window_groups(points, dim.keys, dim.time, split, profile_of=changes)
+    groups = window_groups(points, dim.keys, dim.time, split, changes if profile_of is None else profile_of)
     before = with_previous(groups, [dim.time], {"__before": "__state"})
     real = before.rows.filter(F.col("__state") != F.coalesce("__before", F.lit(""))).drop("__before")
     ended = with_next(before.over(real), [dim.time], {"__until": dim.time})
@@ -154,7 +156,8 @@ def rebuild_from_log(
     touched = late.select(*dim.keys).distinct()
     untouched = dimension.join(touched, list(dim.keys), "left_anti").select(*dim.columns)
     points = log.join(touched, list(dim.keys), "left_semi").unionByName(late)
-    return untouched.unionByName(build_history(points, dim, deleted, split))
+    known = log.select(*dim.keys, dim.time).unionByName(late.select(*dim.keys, dim.time))
+    return untouched.unionByName(build_history(points, dim, deleted, split, known))
 
 
 def insert_late_versions(
@@ -183,7 +186,8 @@ def insert_late_versions(
     )
     points = stored.unionByName(inserted)
     ranked = Dimension(dim.keys, dim.tracked, dim.time, ("__rank",))
-    return untouched.unionByName(build_history(points, ranked, F.col("__ends"), split))
+    known = dimension.select(*dim.keys, F.col(FROM).alias(dim.time)).unionByName(late.select(*dim.keys, dim.time))
+    return untouched.unionByName(build_history(points, ranked, F.col("__ends"), split, known))
 
 
 def as_of(dimension: DataFrame, when: datetime | str) -> DataFrame:

@@ -10,13 +10,26 @@ from pyspark.sql import functions as F
 from tideline.functions.scalars import money, money_out
 
 
-def distinct_events(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+def distinct_events(
+    stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread_copies: bool = False
+) -> DataFrame:
     """First arrival of each event; an id is forgotten once ``delay`` has passed.
 
     Plain ``dropDuplicates`` on an id without the event time never forgets, and
     its state grows for as long as the stream runs.
+
+    With ``spread_copies`` the copies of one id within a batch are first reduced
+    where they were read, and only then by id: for feeds in which a single id
+    may make up much of a batch. It costs a second state entry per id.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    events = stream.withWatermark(time, delay)
+    if spread_copies:
+        events = (
+            events.withColumn("__task", F.spark_partition_id())
+            .dropDuplicatesWithinWatermark([*keys, "__task"])
+            .drop("__task")
+        )
+    return events.dropDuplicatesWithinWatermark(list(keys))
 
 
 def amount_metrics(
