@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from tideline.functions.hashing import row_hash
-from tideline.functions.scalars import differs, money, parse_timestamp
+from tideline.functions.scalars import differs, money, money_out, parse_timestamp
 from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key
 
 
@@ -59,3 +59,8 @@ def test_unreadable_time_is_null_and_differences_are_exact(spark):
     got = df.select(parse_timestamp("t").isNull(), differs(F.col("a"), F.col("b"), 0.01))
     assert [tuple(r) for r in got.collect()] == [(False, False), (True, True)]
     assert df.select(F.sum(money("a"))).first()[0].as_tuple().exponent == -2
+
+
+def test_totals_have_room_beyond_single_amounts(spark):
+    df = spark.range(20).select(F.lit(9e15).alias("a"))
+    assert df.select(money_out(F.sum(money("a")))).first()[0] == 1.8e17

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+TOTAL = T.DecimalType(38, 2)
 
 
 def _column(value: Column | str) -> Column:
@@ -20,9 +21,14 @@ def money(amount: Column | str) -> Column:
     return _column(amount).cast(MONEY)
 
 
+def money_total(amount: Column | str) -> Column:
+    """A sum of money, rounded to cents, with room for any number of rows."""
+    return _column(amount).cast(TOTAL)
+
+
 def money_out(amount: Column | str) -> Column:
     """Back to the double of the published schemas, rounded to cents first."""
-    return _column(amount).cast(MONEY).cast("double")
+    return money_total(amount).cast("double")
 
 
 def parse_timestamp(text: Column | str) -> Column:

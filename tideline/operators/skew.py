@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.ordered import null_safe
+from tideline.session import written
 
 _SALT = "__salt"
 
@@ -71,10 +72,13 @@ def salted_join(
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_share: float) -> DataFrame:
-    """Keys above ``max_share`` of all rows: by definition fewer than ``1 / max_share``."""
+    """Keys above ``max_share`` of all rows: by definition fewer than ``1 / max_share``.
+
+    Counted once and written, because both sides of a join ask for them.
+    """
+    limit = df.count() * max_share
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    limit = counts.agg(F.sum("__n") * F.lit(max_share)).scalar()
-    return counts.filter(F.col("__n") > limit).drop("__n")
+    return written(counts.filter(F.col("__n") > limit).drop("__n"), "heavy-keys")
 
 
 def _mark_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:

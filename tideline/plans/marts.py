@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import count_where, differs, money, money_out, parse_timestamp
+from tideline.functions.scalars import count_where, differs, money, money_out, money_total, parse_timestamp
 from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key
-from tideline.operators.joins import dimension_join
+from tideline.operators.joins import dimension_join, sum_before_join
 from tideline.operators.rolling import daily_totals, rolling_days, rolling_rows
 from tideline.session import written
 from tideline.sources.incremental import newer_than
@@ -27,7 +27,7 @@ def regional_sales(lines: DataFrame, customers: DataFrame, products: DataFrame)
     one row per customer. ``customers`` has ``customer_id`` and ``region``.
     """
     known = dimension_join(lines, products.select("product_id"), ["product_id"], "left_semi")
-    per_customer = known.groupBy("customer_id").agg(F.sum(money("amount")).alias("amount"))
+    per_customer = sum_before_join(known, ["customer_id"], amount=money("amount"))
     return (
         per_customer.join(customers, "customer_id")
         .groupBy("region")
@@ -115,12 +115,10 @@ def paid_orders(
         paid = last.filter(F.col("payment_status") == "SUCCESS").select("order_id", "paid_amount")
     else:
         newest = latest_per_key(payments, ["payment_id"], ["ingestion_time", "payment_status"])
-        paid = newest.filter(F.col("payment_status") == "SUCCESS").groupBy("order_id").agg(
-            F.sum("paid_amount").alias("paid_amount")
-        )
-    refunded = latest_per_key(refunds, ["refund_id"], ["ingestion_time", "seq", "refund_amount"]).groupBy("order_id").agg(
-        F.sum("refund_amount").alias("total_refund")
-    )
+        succeeded = newest.filter(F.col("payment_status") == "SUCCESS")
+        paid = sum_before_join(succeeded, ["order_id"], paid_amount="paid_amount")
+    newest_refunds = latest_per_key(refunds, ["refund_id"], ["ingestion_time", "seq", "refund_amount"])
+    refunded = sum_before_join(newest_refunds, ["order_id"], total_refund="refund_amount")
     full = newest_orders.join(paid, "order_id").join(refunded, "order_id", "left").fillna(0, ["total_refund"])
     return dimension_join(full, rates, ["currency"], "left").select(
         "order_id", "order_date", "currency", "amount", "paid_amount",
@@ -145,7 +143,7 @@ def revenue_by_day(paid: DataFrame) -> DataFrame:
         .select(
             "order_date", "total_orders", money_out("gross").alias("gross_revenue"),
             money_out("refunded").alias("refund_amount"),
-            money_out(money("gross") - money("refunded")).alias("net_revenue"), "mismatch_count",
+            money_out(money_total("gross") - money_total("refunded")).alias("net_revenue"), "mismatch_count",
         )
     )
 
