@@ -46,7 +46,7 @@ def activity_7d(events: DataFrame) -> DataFrame:
 def upsert_run(spark: SparkSession, stream: DataFrame, root: str, keys: list[str]) -> DataFrame:
     """Upsert everything available into ``root/table`` and return the table."""
     columns = stream.columns
-    with sinks.state_partitions(spark):
+    with sinks.start_settings(spark):
         query = sinks.upsert_to(stream, f"{root}/table", f"{root}/checkpoint", keys)
     sinks.finish(query)
     return spark.read.parquet(f"{root}/table").select(*columns)
@@ -55,7 +55,7 @@ def upsert_run(spark: SparkSession, stream: DataFrame, root: str, keys: list[str
 def append_run(spark: SparkSession, stream: DataFrame, root: str) -> DataFrame:
     """Append all finished windows to ``root/table`` and return the table."""
     schema = stream.schema
-    with sinks.state_partitions(spark):
+    with sinks.start_settings(spark):
         query = sinks.append_to(stream, f"{root}/table", f"{root}/checkpoint")
     sinks.finish(query)
     return spark.read.schema(schema).parquet(f"{root}/table")

@@ -16,19 +16,23 @@ DAY = "window_date"
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, per_core: int = 3) -> Iterator[None]:
-    """Start streams with at most ``per_core`` state partitions per core, and never more than configured.
+def start_settings(spark: SparkSession, per_core: int = 3) -> Iterator[None]:
+    """Settings that a stream takes over when it starts, restored afterwards.
 
-    A stream keeps the number it starts with for good, so it is set before the
-    start and for that stream only.
+    At most ``per_core`` state partitions per core and never more than
+    configured: a stream keeps the number it starts with for good. Sessions of
+    one key are merged inside each map task, so a hot key sends few rows.
     """
-    key = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(configured), per_core * spark.sparkContext.defaultParallelism)))
+    partitions = "spark.sql.shuffle.partitions"
+    merge_first = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = {key: spark.conf.get(key) for key in (partitions, merge_first)}
+    spark.conf.set(partitions, str(min(int(before[partitions]), per_core * spark.sparkContext.defaultParallelism)))
+    spark.conf.set(merge_first, "true")
     try:
         yield
     finally:
-        spark.conf.set(key, configured)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
