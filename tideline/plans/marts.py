@@ -12,7 +12,8 @@ from tideline.operators.rolling import daily_totals, rolling_days, rolling_rows
 from tideline.session import written
 from tideline.sources.incremental import newer_than
 
-# Column types of the daily transaction file.
+# Column types of the daily transaction file, length of the rolling
+# features, tolerance of the payment check.
 TRANSACTION_SCHEMA = (
     "transaction_id string, user_id string, amount double, transaction_type string, transaction_timestamp string"
 )

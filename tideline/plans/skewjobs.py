@@ -11,6 +11,7 @@ from tideline.operators.partitions import by_count
 from tideline.operators.skew import heavy_key_join, salted_join
 from tideline.sinks.layout import overwrite, replace_partitions
 
+# Fixed value: rows per output file.
 FILE_ROWS = 500_000
 
 
