@@ -53,7 +53,7 @@ def test_revenue(spark):
 
 
 def test_revenue_with_last_payment_only(spark):
-    day = {str(r["order_date"]): r for r in marts.daily_revenue(*world(spark), reference_payments=True).collect()}
+    day = {str(r["order_date"]): r for r in marts.daily_revenue(*world(spark), last_payment_only=True).collect()}
     assert day["2024-01-01"]["total_orders"] == 1
 
 

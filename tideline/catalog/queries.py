@@ -83,7 +83,7 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_revenue_last_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.daily_revenue(*_revenue_inputs(spark, sf_dir), reference_payments=True)
+    return marts.daily_revenue(*_revenue_inputs(spark, sf_dir), last_payment_only=True)
 
 
 def daily_revenue_since(spark: SparkSession, sf_dir: str) -> DataFrame:

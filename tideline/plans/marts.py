@@ -92,7 +92,7 @@ def session_metrics(events: DataFrame, products: DataFrame, boundary=None) -> Da
 
 
 def paid_orders(
-    orders: DataFrame, payments: DataFrame, refunds: DataFrame, rates: DataFrame, reference_payments: bool = False,
+    orders: DataFrame, payments: DataFrame, refunds: DataFrame, rates: DataFrame, last_payment_only: bool = False,
     dates: DataFrame | None = None,
 ) -> DataFrame:
     """One row per successfully paid order, with refunds and amounts in the reporting currency.
@@ -102,7 +102,7 @@ def paid_orders(
     Refunds are deduplicated like the other inputs, so a replay does not double
     them. A currency without rate keeps its order, with null amounts.
 
-    ``reference_payments`` keeps only the last payment of an order before the
+    ``last_payment_only`` keeps only the last payment of an order before the
     status is looked at; the default sums all successful payments, so a failed
     retry does not hide a success.
     """
@@ -111,7 +111,7 @@ def paid_orders(
     )
     if dates is not None:
         newest_orders = dimension_join(newest_orders, dates, ["order_date"], "left_semi")
-    if reference_payments:
+    if last_payment_only:
         last = latest_per_key(payments, ["order_id"], ["ingestion_time", "payment_id"])
         paid = last.filter(F.col("payment_status") == "SUCCESS").select("order_id", "paid_amount")
     else:
@@ -149,8 +149,8 @@ def revenue_by_day(paid: DataFrame) -> DataFrame:
     )
 
 
-def daily_revenue(orders, payments, refunds, rates, reference_payments: bool = False) -> DataFrame:
-    return revenue_by_day(paid_orders(orders, payments, refunds, rates, reference_payments))
+def daily_revenue(orders, payments, refunds, rates, last_payment_only: bool = False) -> DataFrame:
+    return revenue_by_day(paid_orders(orders, payments, refunds, rates, last_payment_only))
 
 
 def unrated_orders(orders: DataFrame, rates: DataFrame) -> DataFrame:
