@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``most`` bytes of ``column``; a longer text stands alone."""
     for batch in batches:
-        sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
+        sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
