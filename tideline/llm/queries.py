@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import quality_rules, simhash
+from tideline.llm import quality_rules, simhash, substrings
 from tideline.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,7 +42,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
 
-ALL: tuple[Query, ...] = (op2_quality_rules, op9_simhash_groups)
+ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op9_simhash_groups)
 
 
 def registered() -> dict[str, Query]:
