@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import quality_rules, simhash, substrings
+from tideline.llm import mixing, quality_rules, simhash, substrings
+from tideline.llm.text import words_of
 from tideline.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+def op8_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sized = written(documents.select("doc_id", "source", F.size(words_of("text")).cast("long").alias("words")), "sizes")
+    rows, names = mixing.mixed(sized, size="words")
+    return rows.select(
+        "doc_id", F.col("words").alias("size"), F.col(names["source_size"]).alias("source_size"),
+        F.col(names["target"]).alias("target"), (F.col("words") * F.col(names["copies"])).alias("taken"),
+    )
+
+
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -42,7 +53,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
 
-ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op9_simhash_groups)
+ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op8_balanced_mix, op9_simhash_groups)
 
 
 def registered() -> dict[str, Query]:
