@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import mixing, quality_rules, simhash, substrings
+from tideline.llm import mixing, packing, quality_rules, simhash, substrings
 from tideline.llm.text import words_of
 from tideline.session import written
 
@@ -35,6 +35,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_balanced_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = written(documents.select("doc_id", "source", F.size(words_of("text")).cast("long").alias("words")), "sizes")
@@ -53,7 +57,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
 
-ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op8_balanced_mix, op9_simhash_groups)
+ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op7_packing, op8_balanced_mix, op9_simhash_groups)
 
 
 def registered() -> dict[str, Query]:
