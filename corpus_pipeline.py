@@ -1,10 +1,17 @@
-"""The corpus pipeline: every stage reads what the one before it wrote."""
+"""The corpus pipeline: every stage reads what the one before it wrote.
+
+Quality rules drop documents, near-duplicate groups keep one document each,
+repeated passages are cut out of the texts (a document may end up empty, but
+stays), the mix takes documents as often as its source's target asks for, and
+packing lays what is left out in sequences. All but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import quality_rules
+from tideline.llm import mixing, packing, quality_rules, simhash, substrings
 from tideline.llm.queries import table
 from tideline.session import working_folder
 
@@ -14,9 +21,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, cutoffs)
 
 
-STAGES = [("quality_rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_per_group(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.removed(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeated(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("source_mix", source_mix),
+    ("packing", sequences),
+]
 
-#: Numeric methods decide stages 4 and 5; SQL has no expression for them.
+#: Tokenizer ids and the sampling of the mix have no SQL expression; tests compare with brute force.
 ORACLE_SQL = None
 
 
