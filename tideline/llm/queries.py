@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import mixing, packing, quality_rules, simhash, substrings
+from tideline.llm import chat, mixing, packing, quality_rules, simhash, substrings, warc
 from tideline.llm.text import words_of
-from tideline.session import written
+from tideline.session import working_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"""
+        SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{said}' AS text
+        FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)
+    """)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.formatted(turns.withColumn("content", chat.text_part("text"))))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -54,10 +64,69 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = working_folder(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), f"{root}/first")
+    warc.deduplicate(spark, f"{root}/first", f"{root}/deduplicated")
+    return warc.resolved(spark, f"{root}/deduplicated")
 
-ALL: tuple[Query, ...] = (op2_quality_rules, op3_substring_dedup, op7_packing, op8_balanced_mix, op9_simhash_groups)
+
+#: DuckDB SQL of the queries that SQL can express.
+ORACLES: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), starts AS (
+            SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d
+        ), windows AS (
+            SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM starts
+        ), again AS (
+            SELECT s FROM windows GROUP BY s HAVING count(*) > 1
+        ), gone AS (
+            SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows WHERE s IN (SELECT s FROM again)
+        ), words AS (
+            SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+        ), kept AS (
+            SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS k FROM words ANTI JOIN gone USING (r, p) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
+    "op5_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), e AS (
+            SELECT *, replace(replace(text, '~', '~0'), '<', '~1') AS body,
+                   replace(replace(replace(role, '~', '~0'), '<', '~1'), chr(10), '~2') AS head FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<|turn|>') + length(head) + 1 + length(body) + length('<|end|>')) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
+    "op10_warc_revisits": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+        ), d AS (
+            SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+                   max(page_id) OVER (PARTITION BY html) AS latest FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN latest END AS refers_to
+        FROM d
+    """,
+}
+
+ALL: tuple[Query, ...] = (
+    op2_quality_rules,
+    op3_substring_dedup, op5_chat_format, op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits,
+)
 
 
 def registered() -> dict[str, Query]:
