@@ -23,8 +23,10 @@ each. An empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +44,16 @@ MOST_PIVOTS = 2500
 COLUMNS_AT_ONCE = 32
 #: The program ends when no more than this share of the tokens is outside of patterns.
 GOOD_ENOUGH = 0.002
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
+_MARKS = (b".", b",", b";", b":", b"!", b"?")
 BROADCAST_ROWS = 200_000
 
 
 class WordEncoder:
-    """Token ids of whole texts as little-endian bytes; each word is encoded once.
+    """Token ids of whole texts as little-endian bytes; words are encoded once and remembered.
 
-    The vocabulary splits at white space, so the ids of a text are those of its words in a row.
+    The vocabulary splits at white space, so the ids of a text are those of its words in a row, and a
+    mark after letters is a token of its own. Words used lately are kept: those of the last two generations.
     """
 
     def __init__(self, tokenizer: str):
@@ -57,18 +61,64 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.end = np.array([END_ID], "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
+        self._learn(set().union(*split))
+        known = self.known
+        return [b"".join([*map(known.__getitem__, words), self.end]) for words in split]
+
+    def _learn(self, words: set[bytes]) -> None:
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set().union(*split) - self.known.keys()) if split else []
-        for i in range(0, len(new), 10_000):
-            words = new[i:i + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, found))
-        known, end = self.known, np.array([END_ID], "<u4").tobytes()
-        return [b"".join([*map(known.__getitem__, words), end]) for words in split]
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        missing = []
+        for w in words:
+            if w not in known:
+                if w in before:
+                    known[w] = before[w]
+                else:
+                    missing.append(w)
+        parts = [self._parts(w) for w in missing]
+        stems = {p for pair in parts for p in pair if p not in known}
+        self._encode([p for p in stems if not self._recalled(p)])
+        for w, pair in zip(missing, parts):
+            known[w] = known[pair[0]] if len(pair) == 1 else known[pair[0]] + known[pair[1]]
+
+    def _recalled(self, word: bytes) -> bool:
+        if word in self.before:
+            self.known[word] = self.before[word]
+        return word in self.known
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, ...]:
+        """The word without its capitals and without one closing mark, and that mark, where both stand alone."""
+        if word.isascii():
+            word = word.lower()
+        if word[-1:] in _MARKS and word[:-1].decode().isalpha():
+            return word[:-1], word[-1:]
+        return (word,)
+
+    def _encode(self, words: list[bytes]) -> None:
+        groups = [[w.decode() for w in words[i:i + 500]] for i in range(0, len(words), 500)]
+        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        for i, (group, found) in enumerate(zip(groups, encoded)):
+            ids = np.array(found.ids, "<u4")
+            # A token belongs to the word its first character lies in.
+            begins = np.cumsum([0, *(len(w) + 1 for w in group[:-1])])
+            owner = np.searchsorted(begins, [o[0] for o in found.offsets], side="right") - 1
+            cuts = np.searchsorted(owner, np.arange(len(group) + 1)) * 4
+            raw = ids.tobytes()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(words[500 * i:], cuts.tolist(), cuts[1:].tolist()))
+
+
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str | None) -> WordEncoder:
+    """One per Python worker, which outlives its tasks. Spark runs a task per core, so the library adds no threads."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordEncoder(tokenizer or _default_tokenizer())
 
 
 def _default_tokenizer() -> str:
@@ -79,8 +129,8 @@ def _default_tokenizer() -> str:
 
 def _cut(tokenizer: str | None, capacity: int, kept: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer or _default_tokenizer())
-        for batch in pieces(batches, "text", 1 << 20):
+        encoder = _encoder(tokenizer)
+        for batch in pieces(batches, "text", 3 << 20):
             rows, out = [], []
             for row, ids in enumerate(encoder.encode(as_bytes(batch.column("text")))):
                 n = len(ids) // 4
@@ -289,8 +339,8 @@ def _texts_of(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _checksums(tokenizer: str | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer or _default_tokenizer())
-        for batch in pieces(batches, "text", 1 << 20):
+        encoder = _encoder(tokenizer)
+        for batch in pieces(batches, "text", 3 << 20):
             ids = encoder.encode(as_bytes(batch.column("text")))
             spans = zip(batch.column("start").to_pylist(), batch.column("length").to_pylist())
             sums = [zlib.crc32(i[4 * s: 4 * (s + n)]) for i, (s, n) in zip(ids, spans)]
