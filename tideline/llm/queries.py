@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, mixing, packing, quality_rules, simhash, substrings, warc
+from tideline.llm import (
+    chat, mixing, packing, quality_rules, quality_trees, simhash, substrings, toxicity, vector_links, warc,
+)
 from tideline.llm.text import words_of
 from tideline.session import working_folder, written
 
@@ -18,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_trees.scored(documents, quality_trees.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Texts are measured once; the counts are what both the cutoffs and the verdicts need.
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -35,6 +42,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.scored(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"""
@@ -45,6 +57,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(turns.withColumn("content", chat.text_part("text"))))
 
 
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -109,6 +125,25 @@ ORACLES: dict[str, str] = {
                CAST(sum(length('<|turn|>') + length(head) + 1 + length(body) + length('<|end|>')) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op6_vector_links": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), u AS (
+            SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v
+        ), links AS (
+            SELECT a.vec_id AS i, b.vec_id AS j FROM u a JOIN u b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND a.n > 0 AND b.n > 0
+               AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS i, vec_id AS j FROM v UNION SELECT reach.i, links.j FROM reach JOIN links ON reach.j = links.i
+        ), roots AS (
+            SELECT i, min(j) AS component_id FROM reach GROUP BY i
+        ), counts AS (
+            SELECT i, count(*) AS n FROM links GROUP BY i
+        )
+        SELECT v.vec_id, coalesce(counts.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+        FROM v JOIN roots ON v.vec_id = roots.i LEFT JOIN counts ON v.vec_id = counts.i
+    """,
     "op10_warc_revisits": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
@@ -124,8 +159,8 @@ ORACLES: dict[str, str] = {
 }
 
 ALL: tuple[Query, ...] = (
-    op2_quality_rules,
-    op3_substring_dedup, op5_chat_format, op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits,
+    op1_quality_trees, op2_quality_rules, op3_substring_dedup, op4_toxicity, op5_chat_format, op6_vector_links,
+    op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits,
 )
 
 
