@@ -35,10 +35,10 @@ STEMS = (4, 5, 6, 7)
 MOST_ALIKE = 4
 VOCABULARY = 30_000
 LEAST_DOCUMENTS = 5
-L1 = 2e-3
+L1 = 1e-3
 L2 = 1e-4
 COUNTERFACTUAL = 1.0
-ROUNDS = 300
+ROUNDS = 400
 
 #: Sets of terms that may be swapped for each other; the first of each set is neutral.
 IDENTITY_TERMS = (
@@ -60,10 +60,14 @@ def words(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
-def features(text: str) -> set[str]:
-    """Words, and ``stem*k`` where at least k different words begin with the stem."""
+def features(text: str, terms: frozenset[str] = frozenset()) -> set[str]:
+    """Words, and ``stem*k`` where at least k different words begin with the stem.
+
+    Identity terms are features as words only, so that a swap changes one feature for another.
+    """
     own = words(text)
     out = set(own)
+    own -= terms
     for length in STEMS:
         for stem, n in Counter([w[:length] for w in own if len(w) >= length]).items():
             out.update([f"{stem}*{k}" for k in range(1, min(n, MOST_ALIKE) + 1)])
@@ -73,8 +77,8 @@ def features(text: str) -> set[str]:
 class Model:
     """A base and weights by feature; stems are kept apart so that a text is scored without listing all of its features."""
 
-    def __init__(self, weights: dict[str, float], base: float):
-        self.weights, self.base = weights, base
+    def __init__(self, weights: dict[str, float], base: float, terms: frozenset[str] = frozenset()):
+        self.weights, self.base, self.terms = weights, base, terms
         self.words = {f: w for f, w in weights.items() if "*" not in f}
         self.stems: dict[int, dict[str, list[float]]] = {}
         for feature, weight in weights.items():
@@ -86,6 +90,7 @@ class Model:
     def score(self, text: str) -> float:
         own = words(text)
         parts = [self.words[w] for w in self.words.keys() & own]
+        own -= self.terms
         for length, known in self.stems.items():
             for stem, n in Counter([s for w in own if (s := w[:length]) in known]).items():
                 parts += known[stem][:n]
@@ -166,15 +171,18 @@ def _fit(x: _Rows, y: np.ndarray, pairs: tuple[np.ndarray, np.ndarray, np.ndarra
     return w, base
 
 
-def _documents_with(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text"):
-        found: Counter = Counter()
-        for t, y in zip(as_bytes(batch.column("text")), batch.column("label").to_pylist()):
-            found.update((w, y) for w in features(t.decode()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in found]), pa.array([y for _, y in found], pa.int32()), pa.array(list(found.values()), pa.int64())],
-            ["word", "label", "n"],
-        )
+def _documents_with(terms: frozenset[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            found: Counter = Counter()
+            for t, y in zip(as_bytes(batch.column("text")), batch.column("label").to_pylist()):
+                found.update((w, y) for w in features(t.decode(), terms))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in found], pa.string()), pa.array([y for _, y in found], pa.int32()), pa.array(list(found.values()), pa.int64())],
+                ["word", "label", "n"],
+            )
+
+    return run
 
 
 def swaps(text: str, sets: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Counter:
@@ -193,11 +201,11 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     """The model of a bounded sample; the driver gets at most ``VOCABULARY`` words and the sample's rows of them."""
     spark = documents.sparkSession
     rows = sample(documents, labels, label, text).orderBy("doc_id").select("text", "label")
-    counts = rows.mapInArrow(_documents_with, "word string, label int, n long").groupBy("word").agg(
+    terms = frozenset(t for s in sets for t in s)
+    counts = rows.mapInArrow(_documents_with(terms), "word string, label int, n long").groupBy("word").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("ones")
     )
     frequent = counts.filter(F.col("n") >= LEAST_DOCUMENTS)
-    terms = {t for s in sets for t in s}
     # The words whose presence says most about the label (the rest could not outweigh them), and the identity terms.
     rate = rows.agg(F.avg("label")).first()[0]
     if rate is None:
@@ -206,13 +214,13 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     listed = [r[0] for r in frequent.orderBy(F.desc(surprise), "word").limit(VOCABULARY).select("word").toLocalIterator()]
     vocabulary = sorted({*listed, *terms})
     place = {w: i for i, w in enumerate(vocabulary)}
-    shared = spark.sparkContext.broadcast((place, sets))
+    shared = spark.sparkContext.broadcast((place, sets, terms))
 
     def indexed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, own_sets = shared.value
+        own, own_sets, own_terms = shared.value
         for batch in pieces(batches, "text"):
             texts = [t.decode() for t in as_bytes(batch.column("text"))]
-            found = [sorted(own[w] for w in own.keys() & features(t)) for t in texts]
+            found = [sorted(own[w] for w in own.keys() & features(t, own_terms)) for t in texts]
             swapped = [[own[a] * len(own) + own[b] for (a, b), n in sorted(swaps(t, own_sets).items()) for _ in range(n)] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int64())), batch.column("label")], ["x", "swapped", "label"]
@@ -231,7 +239,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     new = np.full(len(vocabulary), -1)
     new[chosen] = np.arange(len(chosen))
     w, base = _fit(x.only(chosen), y, (new[pairs[0]], new[pairs[1]], pairs[2]), 0.0, L2)
-    return Model({vocabulary[c]: float(v) for c, v in zip(chosen.tolist(), w.tolist())}, base)
+    return Model({vocabulary[c]: float(v) for c, v in zip(chosen.tolist(), w.tolist())}, base, terms)
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
