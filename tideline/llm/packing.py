@@ -263,7 +263,8 @@ def packed(docs: DataFrame, text: str = "text", tokenizer: str | None = None, ca
     keyed = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("key", text_key("text"))
     numbers = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")]
     schema = T.StructType([keyed.schema["doc_id"], keyed.schema["key"], *numbers])
-    cut = keyed.mapInArrow(_cut(tokenizer, capacity, ["doc_id", "key"]), schema)
+    # Written first: a sort by ranges reads its input twice, and this one would encode the texts again.
+    cut = written(keyed.mapInArrow(_cut(tokenizer, capacity, ["doc_id", "key"]), schema), "pieces")
     ranked = numbered(cut, *map(F.asc, ("length", "doc_id", "key", "start")))
     ranked = written(ranked, "ranked")
     histogram = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}  # at most `capacity` rows
