@@ -9,10 +9,10 @@ the vector of probabilities moves through the null space of the constraints
 1. Three open documents always leave one direction to move in, so a stream of
 documents is settled holding three at a time. Each bucket of a source runs its
 own flight and leaves a few open documents; those fly again per source, and
-what is open then is the landing: the rounding with the least error in words.
+what is open then is the landing, rounded with little error in words.
 
 Random choices come from hashes of source and bucket, rows of a bucket are in
-a fixed order: reruns agree. The smallest documents are held back to the
+a fixed order: reruns agree. Some documents of each source are held back to the
 end, to make up for what the last roundings miss. A null text has size 0, a null source is a source
 of its own and comes last, repeated rows are separate documents, an empty table
 gives an empty result. Extra columns pass through.
@@ -26,6 +26,7 @@ import random
 from collections import deque
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,9 @@ from tideline.session import written
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-BUCKET_ROWS = 20_000
-KEPT_OPEN = 32
+BUCKET_ROWS = 5_000
+KEPT_OPEN = 64
+MENDING_ROUNDS = 20
 _EDGE = 1e-9
 
 
@@ -66,17 +68,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 class Flight:
     """Moves probabilities of (key, size, p) to 0 or 1, keeping the sums of p and of p * size."""
 
-    def __init__(self, seed: str):
+    def __init__(self, seed: str, kept_open: int = KEPT_OPEN):
+        self.kept_open = kept_open
         self.random = random.Random(int.from_bytes(hashlib.blake2b(seed.encode(), digest_size=8).digest(), "little"))
         self.open: list[list] = []
         self.waiting: deque[list] = deque()
 
     def add(self, key, size: float, p: float) -> list[tuple[object, int]]:
-        """Units come by falling size. The last ``KEPT_OPEN`` are held back for the landing."""
+        """Units come in any fixed order. The last ``kept_open`` are held back for the landing."""
         if p <= _EDGE or p >= 1 - _EDGE:
             return [(key, round(p))]
         self.waiting.append([key, size, p])
-        if len(self.waiting) <= KEPT_OPEN:
+        if len(self.waiting) <= self.kept_open:
             return []
         self.open.append(self.waiting.popleft())
         settled = []
@@ -109,22 +112,38 @@ class Flight:
         return settled
 
     def land(self) -> list[tuple[object, int]]:
-        """Settle the few that are open: of the roundings of the two that flew longest, the one after which
-        the others, largest first, come nearest to the words that are due. The document total may move."""
-        flown, rest = self.open, list(self.waiting)
-        due = sum(x[1] * x[2] for x in self.left())
-        flown = flown[: len(self.open) - len(rest)]
-
-        def filled(choice):
-            left, values = due - sum(v * x[1] for v, x in zip(choice, flown)), []
-            for x in rest:
-                values.append(int(abs(left - x[1]) < abs(left)))
-                left -= values[-1] * x[1]
-            return abs(left), choice, values
-
-        _, choice, values = min(filled(choice) for choice in itertools.product((0, 1), repeat=len(flown)))
+        """Fly what was held back as well, round the last two, then mend the words that the rounding misses.
+
+        Mending flips one or two of those held back at a time while that brings the words nearer to
+        what is due; the document total may move by a few.
+        """
+        pool, due = list(self.waiting), sum(x[1] * x[2] for x in [*self.open, *self.waiting])
+        sizes = {x[0]: x[1] for x in [*self.open, *self.waiting]}
+        self.waiting.clear()
+        settled: list = []
+        for x in pool:
+            self.open.append(x)
+            while len(self.open) == 3:
+                settled += self._move()
+        words = sum(v * sizes[k] for k, v in settled)
+        rest = self.open
+        best = min(itertools.product((0, 1), repeat=len(rest)), key=lambda c: (abs(words + sum(v * x[1] for v, x in zip(c, rest)) - due), c))
+        value = dict([*settled, *((x[0], v) for x, v in zip(rest, best))])
         self.open = []
-        return [(x[0], v) for x, v in zip([*flown, *rest], [*choice, *values])]
+        keys = [x[0] for x in pool]
+        size = np.array([sizes[k] for k in keys], float)
+        error = sum(v * sizes[k] for k, v in value.items()) - due
+        for _ in range(MENDING_ROUNDS if keys else 0):
+            change = np.array([1 - 2 * value[k] for k in keys]) * size
+            after = np.abs(error + change[:, None] + change[None, :])
+            np.fill_diagonal(after, np.abs(error + change))
+            i, j = divmod(int(after.argmin()), len(keys))
+            if after[i, j] >= abs(error) - 1e-6:
+                break
+            for k in {i, j}:
+                error += change[k]
+                value[keys[k]] = 1 - value[keys[k]]
+        return list(value.items())
 
 
 def _flights(source: str, size: str, p: str, bucket: str, extra: str, slot: str):
@@ -157,7 +176,7 @@ def _flights(source: str, size: str, p: str, bucket: str, extra: str, slot: str)
                             values[key - first] = (open_p, place)
                         else:
                             yield _one(held.pop(key), open_p, place)
-                    current, flight = (s, b), Flight(f"{s!r}/{b}")
+                    current, flight = (s, b), Flight(f"{s!r}/{b}", 0 if b else KEPT_OPEN)
                 for key, value in flight.add(number, n, chance):
                     if key >= first:
                         values[key - first] = (value, None)
@@ -219,18 +238,16 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", size: str
     dealt = joined.withColumn(names["bucket"], F.pmod(names["order"], F.col("r_buckets")).cast("int")).drop("r_source", "r_buckets")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = (source, names["bucket"])
-    sorted_rows = dealt.repartition(parts, *keys).sortWithinPartitions(
-        *keys, F.desc(names["size"]), names["order"], *told[:1]  # large ones first: what stays open is small
-    )
+    sorted_rows = dealt.repartition(parts, *keys).sortWithinPartitions(*keys, names["order"], *told[:1], names["size"])
     schema = T.StructType([*sorted_rows.schema.fields, T.StructField(names["extra"], T.DoubleType()), T.StructField(names["slot"], T.IntegerType())])
     flown = written(sorted_rows.mapInArrow(
         _flights(source, names["size"], names["chance"], names["bucket"], names["extra"], names["slot"]), schema
     ), "flown")
     still_open = flown.filter(F.col(names["slot"]).isNotNull())
-    # A few rows of each bucket, two and those held back: the landing problem of a source stays small.
+    # Two rows of each bucket and those that the first bucket holds back: the landing of a source stays small.
     narrow = still_open.select(
         F.col(source).cast("string").alias("source"), *[F.col(names[n]).alias(n) for n in ("bucket", "slot", "size", "extra")]
-    ).repartition(parts, "source").sortWithinPartitions("source", F.desc("size"), "bucket", "slot")
+    ).repartition(parts, "source").sortWithinPartitions("source", F.desc("bucket"), "slot")  # those held back come last
     landed = written(narrow.mapInArrow(_landing, "l_source string, l_bucket int, l_slot int, l_extra double"), "landed")
     on = (
         F.col(source).cast("string").eqNullSafe(F.col("l_source"))
