@@ -126,3 +126,22 @@ def test_regional_sales_ignores_unknown_products(spark):
     products = spark.sql("SELECT 1 AS product_id")
     assert rows(marts.regional_sales(lines, customers, products)) == [("EU", 6.5)]
     assert lines.select(F.count("*")).first()[0] == 3
+
+
+def test_a_date_without_orders_left_loses_its_partition(spark, tmp_path):
+    """The only order of 1 January moves to the 2nd; the incremental run equals a full one."""
+    order = "order_id int, user_id int, product_id int, amount decimal(18,2), currency string, order_time timestamp_ntz, ingestion_time timestamp_ntz"
+    orders = spark.createDataFrame([(1, 1, 1, Decimal(5), "C0", at("2024-01-01"), at("2024-01-01")), (2, 1, 1, Decimal(7), "C0", at("2024-01-02"), at("2024-01-02"))], order)
+    moved = orders.union(spark.createDataFrame([(1, 1, 1, Decimal(5), "C0", at("2024-01-02"), at("2024-01-05"))], order))
+    payments = spark.createDataFrame(
+        [(i, i, Decimal(5), "SUCCESS", at("2024-01-02"), at("2024-01-02")) for i in (1, 2)],
+        "payment_id int, order_id int, paid_amount decimal(18,2), payment_status string, payment_time timestamp_ntz, ingestion_time timestamp_ntz",
+    )
+    refunds = spark.createDataFrame([], "refund_id int, order_id int, refund_amount decimal(18,2), refund_time timestamp_ntz, ingestion_time timestamp_ntz, seq int")
+    rates = spark.sql("SELECT 'C0' AS currency, CAST(1 AS DECIMAL(10,4)) AS fx_rate")
+    path = str(tmp_path / "days")
+    marts.publish_daily_revenue(orders, payments, refunds, rates, path)
+    assert spark.read.parquet(path).count() == 2
+    marts.publish_daily_revenue(moved, payments, refunds, rates, path, "2024-01-04 00:00:00")
+    shown = lambda df: rows(df, F.col("order_date").cast("string"), "total_orders", "gross_revenue")
+    assert shown(spark.read.parquet(path)) == shown(marts.daily_revenue(moved, payments, refunds, rates)) == [("2024-01-02", 2, 12.0)]

@@ -64,10 +64,10 @@ def feed(spark, *events):
 
 
 def state_of(spark, *batches):
-    state = cdc.empty_state(batches[0], ["customer_id"], ["city"], "event_time")
+    state = cdc.empty_state(batches[0], ["customer_id"], ["city"], "event_time", ["seq"])
     for batch in batches:
         state = cdc.apply_feed(state, batch, ["customer_id"], ["city"], "event_time", ["seq"])
-    return rows(state, "customer_id", "city")
+    return rows(cdc.live(state, ["customer_id"], ["city"]), "customer_id", "city")
 
 
 def test_invalid_last_operation_does_not_hide_the_one_before(spark):
@@ -93,3 +93,31 @@ def test_feed_by_batch_equals_feed_at_once(spark, tables):
 def test_late_boundary(spark):
     events = feed(spark, (1, "A", "INSERT", "2024-01-01 00:00:00"), (1, "A", "UPDATE", "2024-01-02 00:00:01"))
     assert cdc.late_events(events, "2024-01-03 00:00:00").count() == 1
+
+
+def test_any_batch_order_gives_the_latest_per_key(spark):
+    """Deletes stay known: older events arriving later, and replays, bring nothing back."""
+    events = [
+        (1, "A", "INSERT", "2024-01-01"), (1, "B", "UPDATE", "2024-01-03"), (1, "B", "DELETE", "2024-01-05"),
+        (2, "C", "INSERT", "2024-01-02"), (2, "D", "DELETE", "2024-01-02"), (2, "E", "INSERT", "2024-01-06"),
+        (3, "F", "DELETE", "2024-01-04"), (3, "G", "INSERT", "2024-01-04"),
+    ]
+    whole = feed(spark, *events)
+    wanted = [(2, "E"), (3, "G")]
+    assert state_of(spark, whole) == wanted
+    for cut in (1, 2, 3):
+        parts = [whole.filter(F.pmod(F.col("seq") * 5, F.lit(4)) == k) for k in range(4)]
+        order = parts[cut:] + parts[:cut] + parts[:1]
+        assert state_of(spark, *order) == wanted
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_null_keys_match_each_other(spark, limit):
+    stored = spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), 'a', 1), (2, 'b', 2) AS t(k, name, n)")
+    batch = spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), 'z', 9) AS s(k, name, n)")
+    for _ in range(3):
+        stored = merge.upsert(stored, batch, ["k"], limit)
+    assert rows(stored) == [(2, "b", 2), (None, "z", 9)]
+    assert rows(merge.merge(stored, batch, ["k"], update={"n": F.col("t.n") + F.col("s.n")}, insert={"k": "k"}, broadcast_limit=limit)) == [
+        (2, "b", 2), (None, "z", 18)
+    ]

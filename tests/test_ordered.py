@@ -56,3 +56,14 @@ def test_any_rows(spark, pairs):
     data = [(k, START + timedelta(minutes=t), i) for i, (k, t) in enumerate(pairs)]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, v int").coalesce(2)
     assert rows(split(df, "t", ["t", "v"])[1]) == rows(plain(df, ["t", "v"]))
+
+
+def test_a_burst_is_spread_over_the_slices(spark):
+    """20,000 rows of one key within hours, and one of ten years before: slices hold about equally many."""
+    data = spark.range(20_000).selectExpr(
+        "'hot' AS k", "CASE WHEN id = 0 THEN 0L ELSE 315360000L + id END AS t", "CAST(id AS INT) AS v"
+    )
+    groups, got = split(data, "t", ["t"])
+    sizes = [r["count"] for r in groups.rows.groupBy("__slice").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2 * 20_000 / 20
+    assert rows(got) == rows(plain(data, ["t"]))

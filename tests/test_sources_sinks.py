@@ -103,20 +103,23 @@ def test_csv_and_named_format(spark, tmp_path):
     assert readers.load(spark, "parquet", str(tmp_path / "p")).count() == 3
 
 
-def test_boundary_moves_only_after_the_output_is_there(spark, tmp_path):
-    control, seen = str(tmp_path / "control"), []
-    source = spark.createDataFrame([(1, at("2024-01-01")), (2, at("2024-01-02"))], "k int, ingestion_time timestamp_ntz")
+def test_boundary_moves_only_after_the_output_is_there(spark, tmp_path, monkeypatch):
+    control, root = str(tmp_path / "control"), str(tmp_path / "table")
+    source = spark.createDataFrame([(1, at("2024-01-01")), (2, at("2024-01-02")), (9, None)], "k int, ingestion_time timestamp_ntz")
 
-    def fails(batch):
+    def fails(*_):
         raise RuntimeError("disk full")
 
-    with pytest.raises(RuntimeError):
-        incremental.run_incremental(spark, source, control, fails)
+    with monkeypatch.context() as broken:
+        broken.setattr(incremental.snapshots, "publish", fails)
+        with pytest.raises(RuntimeError):
+            incremental.run_incremental(spark, source, control, root)
     assert incremental.stored_boundary(spark, control) is None
-    for extra in ([], [(3, at("2024-01-03"))], []):
+    # The repeated run replaces its parts; later ones bring a row of the boundary time, a new one, and nothing.
+    for extra in ([], [(4, at("2024-01-02"))], [(3, at("2024-01-03")), (8, None)], []):
         source = source.union(spark.createDataFrame(extra, source.schema))
-        incremental.run_incremental(spark, source, control, lambda b: seen.append(rows(b, "k")))
-    assert seen == [[(1,), (2,)], [(3,)]]
+        incremental.run_incremental(spark, source, control, root)
+        assert rows(incremental.read_published(spark, root, source.schema)) == rows(source)
     assert incremental.stored_boundary(spark, control) == at("2024-01-03")
 
 
@@ -154,7 +157,7 @@ def test_join_jobs(spark, tables, tmp_path):
     want = rows(fact.join(users, "user_id"), "event_id", "user_id", "user_segment")
     paths = [str(tmp_path / n) for n in "abc"]
     skewjobs.skew_safe(fact, users, ["user_id"], ["event_id"], 4, "event_date", paths[0])
-    skewjobs.tuned(fact, users, ["user_id"], ["event_id"], 4, 6, paths[1])
+    skewjobs.tuned(fact, users, ["user_id"], ["event_id"], 4, paths[1])
     skewjobs.flat(fact, users, ["user_id"], paths[2])
     for path in paths:
         assert rows(spark.read.parquet(path), "event_id", "user_id", "user_segment") == want

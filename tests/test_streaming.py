@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import at, rows
 from tideline.plans import streams
 from tideline.streaming import aggregates, sinks
 from tideline.streaming.sources import parse_messages, table_stream
@@ -145,3 +145,36 @@ def test_rollup_of_daily_counts_equals_the_sliding_window(spark, tables, tmp_pat
         ["user_id", "event_date"],
     )
     assert both.count() == rolled.count() and both.filter("rolling_count <> slid").count() == 0
+
+
+def test_a_half_replaced_day_is_repaired_by_the_replay(spark, tmp_path, monkeypatch):
+    """The crash comes after the merge was staged and the day was deleted, before the new files are in."""
+    path, staging = tmp_path / "t", tmp_path / "staging"
+    batch = lambda *totals: spark.createDataFrame([(at("2024-01-01 10:00"), m, n) for m, n in totals], "window_start timestamp, m string, n int")
+    apply = sinks.window_upsert(str(path), str(staging), ["m"])
+    apply(batch(("a", 1), (None, 5)), 0)
+
+    def crashes(df, target, by):
+        for day in path.glob("window_date=*"):
+            day.rename(tmp_path / f"gone-{day.name}")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "replace_partitions", crashes)
+        with pytest.raises(RuntimeError):
+            apply(batch(("b", 2), (None, 6)), 1)
+    apply(batch(("b", 2), (None, 6)), 1)
+    assert rows(spark.read.parquet(str(path)), "m", "n") == [("a", 1), ("b", 2), (None, 6)]
+
+
+def test_state_partitions_are_the_configured_ones(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "800")
+    try:
+        with sinks.start_settings(spark):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "800"
+        with sinks.start_settings(spark, 64):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "800"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -178,9 +178,14 @@ def is_first_load(updates: DataFrame) -> DataFrame:
     return updates.filter((F.col("updated_at") < F.lit(NEXT_BATCH_STARTS).cast("timestamp_ntz")) & (F.col("seq") % 7 != 0))
 
 
-def is_late(updates: DataFrame) -> DataFrame:
-    """Changes of the first load's time that arrive after it."""
-    return updates.filter((F.col("updated_at") < F.lit(NEXT_BATCH_STARTS).cast("timestamp_ntz")) & (F.col("seq") % 7 == 0))
+def is_on_time(updates: DataFrame) -> DataFrame:
+    """All changes but the late deliveries."""
+    return updates.filter(F.col("seq") % 7 != 0)
+
+
+def is_behind(updates: DataFrame) -> DataFrame:
+    """The late deliveries of all times."""
+    return updates.filter(F.col("seq") % 7 == 0)
 
 
 def is_next_batch(updates: DataFrame) -> DataFrame:

@@ -71,7 +71,8 @@ INPUTS = {
                o_orderkey AS seq
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "fx_first": "SELECT * FROM fx_updates WHERE updated_at < TIMESTAMP '1999-01-01 00:00:00' AND seq % 7 <> 0",
-    "fx_late": "SELECT * FROM fx_updates WHERE updated_at < TIMESTAMP '1999-01-01 00:00:00' AND seq % 7 = 0",
+    "fx_ontime": "SELECT * FROM fx_updates WHERE seq % 7 <> 0",
+    "fx_behind": "SELECT * FROM fx_updates WHERE seq % 7 = 0",
     "fx_next": "SELECT * FROM fx_updates WHERE updated_at >= TIMESTAMP '1999-01-01 00:00:00' OR seq % 7 = 0",
     "fx_cdc": """
         SELECT o_custkey AS customer_id, concat('CITY', o_orderkey % 25) AS city,
@@ -139,10 +140,12 @@ INPUTS["newest"] = f"""
             FROM fx_next
         ) WHERE rn = 1"""
 INPUTS["current"] = "SELECT * FROM dim WHERE is_current"
+INPUTS["all_dim"] = _history("fx_updates")
+INPUTS["ontime_dim"] = _history("fx_ontime")
 INPUTS["faulty"] = """
         SELECT * REPLACE (customer_id % 11 = 0 OR is_current AS is_current,
                           CASE WHEN customer_id % 11 <> 0 THEN effective_to END AS effective_to)
-        FROM dim"""
+        FROM all_dim"""
 
 _OPEN = "customer_id, name, email, address, risk_level"
 
@@ -171,8 +174,8 @@ def _sessions(where: str) -> str:
         , newest AS (
             SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingestion_time DESC) AS rn
-                FROM fx_events WHERE {where}
-            ) WHERE rn = 1
+                FROM fx_events
+            ) WHERE rn = 1 AND {where}
         )
         SELECT session_id, user_id, min(event_time) AS session_start, max(event_time) AS session_end,
                CAST(count(*) AS BIGINT) AS total_events,
@@ -241,6 +244,12 @@ _JOINED = """
 
 _JOINED_DATED = _JOINED.replace("SELECT s.user_id,", "SELECT s.user_id, CAST(event_time AS DATE) AS event_date,")
 
+_CDC_LATEST = """
+            SELECT customer_id, city, sha256(concat_ws('|', customer_id, city)) AS hash_value, event_time AS updated_at
+            FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_time DESC, seq DESC) AS rn
+                  FROM fx_cdc WHERE operation IN ('INSERT', 'UPDATE', 'DELETE'))
+            WHERE rn = 1 AND operation <> 'DELETE'"""
+
 _CDC_HISTORY = r"""
         SELECT customer_id, city, event_time AS effective_from, effective_to, effective_to IS NULL AS is_current,
                sha256(city) AS record_hash
@@ -258,43 +267,17 @@ _CDC_HISTORY = r"""
 
 _LATE_SPLIT = f"""
         , l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at
-                                                            ORDER BY ingestion_time DESC, seq DESC) AS rn FROM fx_late)
+                                                            ORDER BY ingestion_time DESC, seq DESC) AS rn FROM fx_behind)
                 WHERE rn = 1),
         points AS (
-            SELECT {_OPEN}, effective_from AS updated_at, 0 AS seq, effective_from AS ingestion_time FROM dim
+            SELECT {_OPEN}, effective_from AS updated_at, 0 AS seq, effective_from AS ingestion_time FROM ontime_dim
             WHERE customer_id IN (SELECT customer_id FROM l)
             UNION ALL
             SELECT {_OPEN}, updated_at, 1, updated_at FROM l
         ), rebuilt AS ({_history("points")})
-        SELECT * FROM dim WHERE customer_id NOT IN (SELECT customer_id FROM l)
+        SELECT * FROM ontime_dim WHERE customer_id NOT IN (SELECT customer_id FROM l)
         UNION ALL SELECT * FROM rebuilt"""
 
-_LATE_FIX = f"""
-        , points AS (SELECT * FROM fx_first UNION ALL SELECT * FROM fx_late)
-        {_history("points").strip()}"""
-
-
-INPUTS["first_load"] = f"""
-        SELECT {_OPEN}, updated_at AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current,
-               {CUSTOMER_HASH} AS record_hash
-        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
-              ORDER BY updated_at DESC, ingestion_time DESC, seq DESC) AS rn FROM fx_first) WHERE rn = 1"""
-INPUTS["behind"] = """
-        SELECT n.* FROM fx_next n JOIN first_load f ON n.customer_id = f.customer_id
-        WHERE n.updated_at < f.effective_from"""
-INPUTS["corrected_points"] = f"""
-        SELECT {_OPEN}, effective_from AS updated_at, effective_from AS ingestion_time, 0 AS seq FROM first_load
-        WHERE customer_id IN (SELECT customer_id FROM behind)
-        UNION ALL SELECT {_OPEN}, updated_at, ingestion_time, seq FROM behind"""
-INPUTS["placed"] = _history("corrected_points")
-# The dimension that the second batch is applied to, under the name _apply reads.
-_SECOND_RUN = f"""
-        , dim AS (SELECT * FROM first_load WHERE customer_id NOT IN (SELECT customer_id FROM behind)
-                  UNION ALL SELECT * FROM placed),
-        newest AS ({INPUTS["newest"]}), current AS ({INPUTS["current"]})
-        {_apply(insert_new=True).strip()}"""
-
-
 def _product_hash(price: str) -> str:
     columns = ("p_name", "p_type", f"CAST(CAST({price} AS DECIMAL(38,6)) AS VARCHAR)", "'active'")
     return "sha256(concat_ws('|', " + ", ".join(columns) + "))"
@@ -359,7 +342,6 @@ _CLOSED_SESSIONS = """
 
 def statements() -> dict[str, str]:
     revenue_inputs = "fx_orders fx_payments fx_refunds fx_rates"
-    first_dim = "fx_updates fx_first dim"
     next_dim = "fx_updates fx_first fx_next dim newest current"
     return {
         "regional_sales": _sql("", f"""
@@ -385,9 +367,11 @@ def statements() -> dict[str, str]:
                         WHERE rn = 1 GROUP BY ALL)) WHERE rank <= 3"""),
         "session_metrics": _sql("fx_events fx_products", _sessions("true")),
         "session_metrics_incremental": _sql(
-            "fx_events fx_products", _sessions("ingestion_time > TIMESTAMP '2024-01-15 00:00:00'")),
+            "fx_events fx_products", _sessions(
+                "session_id IN (SELECT session_id FROM fx_events WHERE ingestion_time > TIMESTAMP '2024-01-15 00:00:00')")),
         "daily_revenue": _sql(revenue_inputs, _revenue(_ALL_PAYMENTS)),
         "daily_revenue_last_payment": _sql(revenue_inputs, _revenue(_LAST_PAYMENT)),
+        "daily_revenue_run": _sql(revenue_inputs, _revenue(_ALL_PAYMENTS)),
         "daily_revenue_since": _sql(revenue_inputs, _revenue(_ALL_PAYMENTS, _AFFECTED)),
         "unrated_orders": _sql("fx_orders fx_rates", """
             SELECT currency, CAST(count(DISTINCT order_id) AS BIGINT) AS order_count
@@ -422,14 +406,15 @@ def statements() -> dict[str, str]:
                    CASE WHEN p_size <= 40 AND {_NEW_PRICE} <= {_OLD_PRICE} THEN p_retailprice
                         ELSE CAST({_NEW_PRICE} AS DOUBLE) END AS price
             FROM part WHERE p_partkey % 17 <> 0""",
+        "merge_expressions": f"""
+            SELECT p_partkey AS product_id, CASE WHEN p_size <= 40 THEN p_type ELSE 'NEW' END AS category,
+                   CASE WHEN p_size <= 40 THEN (p_retailprice + CAST({_NEW_PRICE} AS DOUBLE)) / 2
+                        ELSE CAST({_NEW_PRICE} AS DOUBLE) END AS price
+            FROM part""",
         "merge_source_conflicts": _sql("fx_updates", """
             SELECT customer_id, CAST(count(*) AS BIGINT) AS row_count FROM fx_updates GROUP BY customer_id
             HAVING count(*) > 1"""),
-        "cdc_latest_state": _sql("fx_cdc", """
-            SELECT customer_id, city, sha256(concat_ws('|', customer_id, city)) AS hash_value, event_time AS updated_at
-            FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_time DESC, seq DESC) AS rn
-                  FROM fx_cdc WHERE operation IN ('INSERT', 'UPDATE', 'DELETE'))
-            WHERE rn = 1 AND operation <> 'DELETE'"""),
+        "cdc_latest_state": _sql("fx_cdc", _CDC_LATEST),
         "cdc_late_events": _sql("fx_cdc", """
             SELECT * FROM fx_cdc WHERE operation IN ('INSERT', 'UPDATE', 'DELETE')
                 AND event_time < TIMESTAMP '2000-01-01 00:00:00' - INTERVAL '1' DAY"""),
@@ -446,18 +431,18 @@ def statements() -> dict[str, str]:
         "product_scd2": _PRODUCT_SCD2,
         "scd2_history": _sql("fx_updates", _history("fx_updates")),
         "cdc_scd2_history": _sql("fx_cdc", _CDC_HISTORY),
-        "scd2_late_detect": _sql("fx_updates fx_first fx_late dim current", """
-            SELECT l.* FROM fx_late l JOIN current c ON l.customer_id = c.customer_id
-            WHERE l.updated_at < c.effective_from"""),
-        "scd2_late_fix": _sql("fx_updates fx_first fx_late", _LATE_FIX),
-        "scd2_late_split": _sql("fx_updates fx_first fx_late dim", _LATE_SPLIT),
-        "scd2_as_of": _sql(first_dim, """
-            SELECT * FROM dim WHERE effective_from <= TIMESTAMP '1997-03-01 00:00:00'
+        "scd2_late_detect": _sql("fx_updates fx_ontime fx_behind ontime_dim", """
+            SELECT l.* FROM fx_behind l JOIN ontime_dim c ON l.customer_id = c.customer_id
+            WHERE c.is_current AND l.updated_at < c.effective_from"""),
+        "scd2_late_fix": _sql("fx_updates", _history("fx_updates")),
+        "scd2_late_split": _sql("fx_updates fx_ontime fx_behind ontime_dim", _LATE_SPLIT),
+        "scd2_as_of": _sql("fx_updates all_dim", """
+            SELECT * FROM all_dim WHERE effective_from <= TIMESTAMP '1997-03-01 00:00:00'
                 AND (effective_to IS NULL OR effective_to > TIMESTAMP '1997-03-01 00:00:00')"""),
-        "scd2_multi_active": _sql(first_dim + " faulty", """
+        "scd2_multi_active": _sql("fx_updates all_dim faulty", """
             SELECT customer_id, CAST(sum(CAST(is_current AS INTEGER)) AS BIGINT) AS active_count FROM faulty
             GROUP BY customer_id HAVING sum(CAST(is_current AS INTEGER)) > 1"""),
-        "scd2_overlaps": _sql(first_dim + " faulty", """
+        "scd2_overlaps": _sql("fx_updates all_dim faulty", """
             SELECT * FROM (SELECT *, lead(effective_from) OVER (PARTITION BY customer_id ORDER BY effective_from) AS next_start
                            FROM faulty)
             WHERE next_start IS NOT NULL AND (effective_to IS NULL OR effective_to > next_start)"""),
@@ -482,8 +467,11 @@ def statements() -> dict[str, str]:
             SELECT e.user_id, event_id, event_type, value, risk_score, user_segment
             FROM events e JOIN fx_users u ON e.user_id = u.user_id"""),
         "partition_report": _sql("fx_skewed", """
-            SELECT 'round robin' AS layout, CAST(16 AS BIGINT) AS partitions, CAST(count(*) AS BIGINT) AS total_rows FROM fx_skewed
-            UNION ALL SELECT 'merged down', 4, count(*) FROM fx_skewed"""),
+            SELECT 'round robin' AS layout, CAST(16 AS BIGINT) AS partitions, CAST(count(*) AS BIGINT) AS total_rows, true AS even
+            FROM fx_skewed UNION ALL SELECT 'merged down', 4, count(*), true FROM fx_skewed"""),
+        "composite_repartition": _sql("fx_skewed skew_counts", """
+            SELECT 'user' AS layout, CAST(sum(row_count) AS BIGINT) AS total_rows, 2 * max(row_count) > sum(row_count) AS crowded
+            FROM skew_counts UNION ALL SELECT 'user and event', CAST(sum(row_count) AS BIGINT), false FROM skew_counts"""),
         "dynamic_overwrite_roundtrip": _sql("fx_events", """
             SELECT * EXCLUDE (oldest, latest) FROM (
                 SELECT *, CAST(event_time AS DATE) AS event_date,
@@ -509,11 +497,15 @@ def statements() -> dict[str, str]:
         "stream_append": _CLOSED_HOURS,
         "stream_activity_append": _windows(14, """
             HAVING start + INTERVAL '14' DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '2' DAY FROM events)"""),
+        "incremental_boundary_run": _sql("fx_events", """
+            SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 50 <> 0
+                              THEN CAST(CAST(ingestion_time AS DATE) AS TIMESTAMP) END AS ingestion_time) FROM fx_events"""),
         "incremental_run": _sql("fx_events", "SELECT * FROM fx_events"),
         "product_table_run": _sql("fx_sales fx_silver", """
             SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
                 ORDER BY seq DESC, price DESC, units_sold DESC) AS rn FROM fx_silver) WHERE rn = 1"""),
-        "customer_dimension_run": _sql("fx_updates fx_first fx_next first_load behind corrected_points placed", _SECOND_RUN),
+        "customer_dimension_run": _sql("fx_updates", _history("fx_updates")),
+        "change_feed_silver_run": _sql("fx_cdc", _CDC_LATEST),
         "change_feed_run": _sql("fx_cdc", _CDC_HISTORY),
         "skew_safe_output": _sql("fx_skewed fx_users", _JOINED_DATED),
         "tuned_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),

@@ -176,6 +176,17 @@ def merge_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def merge_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge whose values are an expression over both sides and a literal."""
+    known = inputs.products(spark, sf_dir).filter("is_active").select("product_id", "category", "price")
+    changes = inputs.product_versions(spark, sf_dir, raised=True).select("product_id", F.col("price").alias("new_price"))
+    return merge.merge(
+        known, changes, ["product_id"],
+        update={"price": (F.col("t.price") + F.col("s.new_price")) / 2},
+        insert={"product_id": "product_id", "category": F.lit("NEW"), "price": "new_price"},
+    )
+
+
 def merge_source_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.conflicting_keys(inputs.customer_updates(spark, sf_dir), ["customer_id"])
 
@@ -184,10 +195,10 @@ def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed in two batches, the second merged into the state after the first."""
     events = inputs.change_feed(spark, sf_dir)
     split = F.lit(FEED_SPLIT).cast("timestamp_ntz")
-    state = cdc.empty_state(events, CITIES.keys, CITIES.tracked, CITIES.time)
+    state = cdc.empty_state(events, CITIES.keys, CITIES.tracked, CITIES.time, CITIES.tiebreak)
     for batch in (events.filter(F.col("event_time") < split), events.filter(F.col("event_time") >= split)):
         state = cdc.apply_feed(state, batch, CITIES.keys, CITIES.tracked, CITIES.time, CITIES.tiebreak)
-    return state
+    return cdc.live(state, CITIES.keys, CITIES.tracked)
 
 
 def cdc_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +214,12 @@ def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_dimension(updates: DataFrame) -> DataFrame:
     """The dimension after the first load, as the stored table it is in a pipeline."""
-    return written(scd.build_history(inputs.is_first_load(updates), CUSTOMERS), "customers")
+    return _history_of(inputs.is_first_load(updates))
+
+
+def _history_of(updates: DataFrame) -> DataFrame:
+    """A dimension as the stored table it is in a pipeline."""
+    return written(scd.build_history(updates, CUSTOMERS), "customers")
 
 
 def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,29 +258,29 @@ def cdc_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_late_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = _updates(spark, sf_dir)
-    return scd.late_updates(_stored_dimension(updates), inputs.is_late(updates), CUSTOMERS)
+    return scd.late_updates(_history_of(inputs.is_on_time(updates)), inputs.is_behind(updates), CUSTOMERS)
 
 
 def scd2_late_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = _updates(spark, sf_dir)
     return scd.rebuild_from_log(
-        _stored_dimension(updates), inputs.is_first_load(updates), inputs.is_late(updates), CUSTOMERS
+        _history_of(inputs.is_on_time(updates)), inputs.is_on_time(updates), inputs.is_behind(updates), CUSTOMERS
     )
 
 
 def scd2_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = _updates(spark, sf_dir)
-    return scd.insert_late_versions(_stored_dimension(updates), inputs.is_late(updates), CUSTOMERS)
+    return scd.insert_late_versions(_history_of(inputs.is_on_time(updates)), inputs.is_behind(updates), CUSTOMERS)
 
 
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.as_of(_stored_dimension(_updates(spark, sf_dir)), AS_OF)
+    return scd.as_of(_history_of(_updates(spark, sf_dir)), AS_OF)
 
 
 def _faulty_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored dimension with every version of some customers reopened."""
     broken = F.col("customer_id") % 11 == 0
-    return _stored_dimension(_updates(spark, sf_dir)).withColumns({
+    return _history_of(_updates(spark, sf_dir)).withColumns({
         "is_current": broken | F.col("is_current"),
         "effective_to": F.when(~broken, F.col("effective_to")),
     })
@@ -322,14 +338,16 @@ def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = partitions.partition_report(wide, "round robin").unionByName(
         partitions.partition_report(partitions.merge_down(wide, 4), "merged down")
     )
-    return reports.select("layout", "partitions", "total_rows")
+    return reports.select("layout", "partitions", "total_rows", (F.col("skew") < 1.5).alias("even"))
 
 
 def composite_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.skewed_events(spark, sf_dir)
-    return partitions.partition_report(partitions.by_keys(events, 8, ["user_id"]), "user").unionByName(
+    reports = partitions.partition_report(partitions.by_keys(events, 8, ["user_id"]), "user").unionByName(
         partitions.partition_report(partitions.by_keys(events, 8, ["user_id", "event_id"]), "user and event")
     )
+    # Where a key lands depends on the hash; whether one partition holds most rows does not.
+    return reports.select("layout", "total_rows", (2 * F.col("max_rows") > F.col("total_rows")).alias("crowded"))
 
 
 # -- sinks -------------------------------------------------------------------
@@ -379,14 +397,26 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stream(spark, f"{sf_dir}/events.parque[t]", table(spark, sf_dir, "events").schema)
 
 
-def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _event_stream(spark, sf_dir).select("user_id", F.col("ts").alias("event_timestamp"))
+def _paced_event_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """The events as files that arrive one after the other, in the order of time, one file per micro-batch."""
+    events, folder = table(spark, sf_dir, "events"), working_folder(spark, "arriving")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)], 1000)).first()[0]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = events.filter((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
+        part.write.mode("append").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    return table_stream(spark, folder, events.schema, maxFilesPerTrigger=max(1, files // batches))
+
+
+def _timed_events(spark: SparkSession, sf_dir: str, source=_event_stream) -> DataFrame:
+    stream = source(spark, sf_dir).select("user_id", F.col("ts").alias("event_timestamp"))
     return event_time(stream, "event_timestamp")
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clickstream as a message topic, re-deliveries included."""
-    return inputs.clicks_from(_event_stream(spark, sf_dir)).select(
+    return inputs.clicks_from(_paced_event_stream(spark, sf_dir)).select(
         F.to_json(F.struct(
             F.col("event_id").alias("transaction_id"), F.col("user_id").alias("merchant_id"), "user_id", "amount",
             "event_time", "ingestion_time",
@@ -401,7 +431,7 @@ def stream_hourly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sliding_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "sliding")
-    return streams.upsert_run(spark, streams.activity_14d(_timed_events(spark, sf_dir)), root, ["user_id"])
+    return streams.upsert_run(spark, streams.activity_14d(_timed_events(spark, sf_dir, _paced_event_stream)), root, ["user_id"])
 
 
 def stream_sliding_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,8 +481,31 @@ def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = inputs.clicks(spark, sf_dir)
     earlier = source.filter(F.col("ingestion_time") <= F.lit(INCREMENTAL_BOUNDARY).cast("timestamp_ntz"))
     for arrived in (earlier, source):
-        incremental.run_incremental(spark, arrived, f"{root}/control", lambda batch: layout.append(batch, f"{root}/table"))
-    return spark.read.parquet(f"{root}/table")
+        incremental.run_incremental(spark, arrived, f"{root}/control", f"{root}/table")
+    return incremental.read_published(spark, f"{root}/table", source.schema)
+
+
+def incremental_boundary_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals by whole days: half of the boundary day comes after it was read, some rows have no time, a run is repeated."""
+    root, boundary = working_folder(spark, "boundary"), F.lit(INCREMENTAL_BOUNDARY).cast("timestamp_ntz")
+    daily = inputs.clicks(spark, sf_dir).withColumn("ingestion_time", F.when(
+        F.col("event_id").cast("bigint") % 50 != 0, F.to_date("ingestion_time").cast("timestamp_ntz")
+    ))
+    at = F.col("ingestion_time")
+    earlier = daily.filter((at < boundary) | ((at == boundary) & (F.col("event_id").cast("bigint") % 2 == 0)))
+    for arrived in (earlier, earlier, daily):
+        incremental.run_incremental(spark, arrived, f"{root}/control", f"{root}/table")
+    return incremental.read_published(spark, f"{root}/table", daily.schema)
+
+
+def daily_revenue_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What had arrived at the boundary is published by date; then the dates that later arrivals touch are replaced."""
+    path = working_folder(spark, "revenue")
+    *facts, rates = _revenue_inputs(spark, sf_dir)
+    at = F.lit(REVENUE_BOUNDARY).cast("timestamp_ntz")
+    marts.publish_daily_revenue(*[f.filter(F.col("ingestion_time") <= at) for f in facts], rates, path)
+    marts.publish_daily_revenue(*facts, rates, path, REVENUE_BOUNDARY)
+    return spark.read.parquet(path)
 
 
 def product_table_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,6 +526,18 @@ def customer_dimension_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, root)
 
 
+def change_feed_silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest state after the feed in two batches, each with older events than the other, and the first once more."""
+    feed = inputs.change_feed(spark, sf_dir)
+    root, args = working_folder(spark, "silver"), (CITIES.keys, CITIES.tracked, CITIES.time, CITIES.tiebreak)
+    even, odd = feed.filter(F.col("seq") % 2 == 0), feed.filter(F.col("seq") % 2 == 1)
+    state = cdc.empty_state(feed, *args)
+    for batch in (even, odd, even):
+        snapshots.publish(cdc.apply_feed(state, batch, *args), root)
+        state = snapshots.read(spark, root)
+    return cdc.live(state, CITIES.keys, CITIES.tracked)
+
+
 def change_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed in two batches of which each has events older than the other's."""
     root = working_folder(spark, "feed")
@@ -497,7 +562,7 @@ def skew_safe_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tuned_join_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "joined")
-    skewjobs.tuned(_dated_fact(spark, sf_dir), inputs.users(spark, sf_dir), ["user_id"], ["event_id"], SALTS, 16, path)
+    skewjobs.tuned(_dated_fact(spark, sf_dir), inputs.users(spark, sf_dir), ["user_id"], ["event_id"], SALTS, path)
     return spark.read.parquet(path)
 
 
@@ -509,16 +574,16 @@ def flat_join_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALL: tuple[Query, ...] = (
     regional_sales, daily_txn_totals, unreadable_times, top3_drivers, session_metrics, session_metrics_incremental,
-    daily_revenue, daily_revenue_last_payment, daily_revenue_since, unrated_orders, rolling_30d, rolling_30_rows,
+    daily_revenue, daily_revenue_last_payment, daily_revenue_since, daily_revenue_run, unrated_orders, rolling_30d, rolling_30_rows,
     incremental_events, next_watermark, latest_by_ingestion, latest_by_two_times, dedup_single_key, dedup_composite,
-    row_hash_customers, silver_revenue, product_upsert, merge_clauses, merge_source_conflicts, cdc_latest_state,
+    row_hash_customers, silver_revenue, product_upsert, merge_clauses, merge_expressions, merge_source_conflicts, cdc_latest_state,
     cdc_late_events, scd2_initial, scd2_changes, scd2_apply, scd2_apply_changed_only, product_scd2, scd2_history,
     cdc_scd2_history, scd2_late_detect, scd2_late_fix, scd2_late_split, scd2_as_of, scd2_multi_active, scd2_overlaps,
     key_profile, top_key_share, skew_metrics, salted_join, heavy_key_join, salted_agg, broadcast_join,
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
     compact_and_cluster, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
     stream_sessions, stream_preagg_rollup, stream_append, stream_audit,
-    stream_activity_append, incremental_run, product_table_run, customer_dimension_run, change_feed_run,
+    stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, change_feed_silver_run, change_feed_run,
     skew_safe_output, tuned_join_output, flat_join_output,
 )
 

@@ -16,40 +16,44 @@ from tideline.operators.merge import merge
 # The operations of a change feed.
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 OPERATIONS = (INSERT, UPDATE, DELETE)
+DELETED = "is_deleted"
 
 
 def valid_operations(events: DataFrame, operation: str = "operation") -> DataFrame:
     return events.filter(F.col(operation).isin(*OPERATIONS))
 
 
-def empty_state(events: DataFrame, keys: Sequence[str], tracked: Sequence[str], time: str) -> DataFrame:
+def empty_state(
+    events: DataFrame, keys: Sequence[str], tracked: Sequence[str], time: str, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """The state before the first load, so first and later loads share one path."""
     return events.select(
-        *keys, *tracked, F.lit("").alias("hash_value"), F.col(time).alias("updated_at")
+        *keys, *tracked, *tiebreak, F.lit("").alias("hash_value"), F.col(time).alias("updated_at"), F.lit(False).alias(DELETED)
     ).filter(F.lit(False))
 
 
+def live(state: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """What readers see: the state without deleted keys."""
+    return state.filter(~F.col(DELETED)).select(*keys, *tracked, "hash_value", "updated_at")
+
+
 def apply_feed(
     state: DataFrame, events: DataFrame, keys: Sequence[str], tracked: Sequence[str], time: str = "event_time",
     tiebreak: Sequence[str] = (), operation: str = "operation",
 ) -> DataFrame:
-    """Latest state after ``events``.
+    """Latest state after ``events``; deleted keys stay in it, marked, with the time they went.
 
-    Invalid operations go first: kept until after the dedup, an invalid last
-    event would hide the valid one before it. An event older than the stored row
-    changes nothing, so feeding a batch again is harmless.
+    The newest event of a key wins by time and tiebreak, whatever order or how
+    often the batches arrive: an older one finds the newer row or the mark and changes nothing. Invalid operations go first: kept until after the dedup, an invalid last
+    event would hide the valid one before it.
     """
     latest = latest_per_key(valid_operations(events, operation), keys, [time, *tiebreak])
     source = latest.withColumn("hash_value", row_hash(latest, [*keys, *tracked]))
-    fresh = F.col(f"s.{time}") >= F.col("t.updated_at")
-    is_delete = F.col(f"s.{operation}") == DELETE
-    values = {name: name for name in [*tracked, "hash_value"]} | {"updated_at": time}
-    return merge(
-        state, source, keys,
-        update=values, update_when=fresh & ~is_delete,
-        delete_when=fresh & is_delete,
-        insert=values | {k: k for k in keys}, insert_when=~is_delete,
-    )
+    newer = F.struct(F.col(f"s.{time}").alias("at"), *[F.col(f"s.{c}") for c in tiebreak])
+    stored = F.struct(F.col("t.updated_at").alias("at"), *[F.col(f"t.{c}") for c in tiebreak])
+    values = {name: name for name in [*tracked, *tiebreak, "hash_value"]}
+    values |= {"updated_at": time, DELETED: F.col(f"s.{operation}") == DELETE}
+    return merge(state, source, keys, update=values, update_when=newer >= stored, insert=values | {k: k for k in keys})
 
 
 def late_events(events: DataFrame, now: datetime | str, allowed: str = "1 day", time: str = "event_time") -> DataFrame:

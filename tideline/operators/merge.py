@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.joins import BROADCAST_BYTES, is_small
+from tideline.operators.ordered import null_safe
 from tideline.session import written
 
 _KEY = "__key_"
@@ -21,7 +22,7 @@ _KEY = "__key_"
 def matched_pairs(
     target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Rows ``(t, s)``: target and source row of each key, null where one is missing.
+    """Rows ``(t, s)``: target and source row of each key, null where one is missing. A null key equals a null key.
 
     A source within the broadcast limit is written once and sent to the target,
     which is then not shuffled at all; source rows without a partner come from a
@@ -29,33 +30,37 @@ def matched_pairs(
     """
     small = is_small(source, broadcast_limit)
     source = written(source, "merge-source") if small else source
-    t = target.select(*[F.col(k).alias(_KEY + k) for k in keys], F.struct(*target.columns).alias("t"))
-    s = source.select(*[F.col(k).alias(_KEY + k) for k in keys], F.struct(*source.columns).alias("s"))
-    on = [_KEY + k for k in keys]
+    t = target.select(*[F.col(k).alias(f"{_KEY}t_{k}") for k in keys], F.struct(*target.columns).alias("t"))
+    s = source.select(*[F.col(k).alias(f"{_KEY}s_{k}") for k in keys], F.struct(*source.columns).alias("s"))
+    on = null_safe([(f"{_KEY}t_{k}", f"{_KEY}s_{k}") for k in keys])
     if not small:
         return t.join(s, on, "full_outer").select("t", "s")
     kept = t.join(F.broadcast(s), on, "left").select("t", "s")
-    known = t.select(*on).join(F.broadcast(s.select(*on)), on, "left_semi")
-    added = s.join(known, on, "left_anti")
+    known = t.drop("t").join(F.broadcast(s.drop("s")), on, "left_semi")
+    added = s.join(known, on, "left_anti").select("s")
     return kept.unionByName(added.select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s"))
 
 
+def _value(given: str | Column) -> Column:
+    return F.col(f"s.{given}") if isinstance(given, str) else given
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     *,
-    update: Mapping[str, str] | None = None,
+    update: Mapping[str, str | Column] | None = None,
     update_when: Column | None = None,
     delete_when: Column | None = None,
-    insert: Mapping[str, str] | None = None,
+    insert: Mapping[str, str | Column] | None = None,
     insert_when: Column | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """New content of ``target``.
 
-    ``update`` and ``insert`` map target columns to source columns; ``None``
-    switches the clause off. Conditions are written over ``t.<column>`` and
+    ``update`` and ``insert`` map target columns to source columns or to
+    expressions over ``t.<column>`` and ``s.<column>``; ``None`` switches the clause off. Conditions are written over ``t.<column>`` and
     ``s.<column>``. A matched row is deleted before it is considered for update.
     Target columns that ``insert`` leaves out become null.
     """
@@ -77,10 +82,10 @@ def merge(
         name = field.name
         value = F.col(f"t.{name}")
         if update is not None and name in update:
-            value = F.when(F.col("__updates"), F.col(f"s.{update[name]}")).otherwise(value)
+            value = F.when(F.col("__updates"), _value(update[name])).otherwise(value)
         fresh = F.lit(None)
         if insert is not None and name in insert:
-            fresh = F.col(f"s.{insert[name]}")
+            fresh = _value(insert[name])
         value = F.when(F.col("__inserts"), fresh).otherwise(value)
         columns.append(value.cast(field.dataType).alias(name))
     return (
@@ -100,11 +105,11 @@ def upsert(
     planner sends a small source to the target instead of shuffling it.
     """
     incoming = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
-    arriving = incoming.select(*keys)
-    if is_small(source, broadcast_limit):
-        incoming = written(incoming, "merge-source")
-        arriving = F.broadcast(incoming.select(*keys))
-    return target.join(arriving, list(keys), "left_anti").unionByName(incoming)
+    small = is_small(source, broadcast_limit)
+    incoming = written(incoming, "merge-source") if small else incoming
+    arriving = incoming.select(*[F.col(k).alias(_KEY + k) for k in keys])
+    arriving = F.broadcast(arriving) if small else arriving
+    return target.join(arriving, null_safe([(k, _KEY + k) for k in keys]), "left_anti").unionByName(incoming)
 
 
 def conflicting_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ slice. Without such a key the plan is the plain window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -68,34 +69,42 @@ def window_groups(
     """Count the keys of ``df`` and cut the heavy ones along ``along``.
 
     Runs one job that reads keys and order column and returns a single row.
-    Slices have equal width over the key's own range. The cut depends on row
-    content only, so retries and plan branches agree on it. ``profile_of`` may be
+    Slices hold about equally many rows of ``profile_of`` (bounds are percentiles of
+    the key's own values), so a burst is spread as well. The slices are written
+    once, so retries and plan branches agree on them. ``profile_of`` may be
     a cheaper frame with about as many rows per key, or more.
     """
     whole = Groups(df, tuple(keys), sliced=False)
     if policy is None:
         return whole
     source = df if profile_of is None else profile_of
-    profile = (
-        source.select(*keys, position(source, along).alias("__at"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__low"), F.max("__at").alias("__high"))
-    )
+    placed = source.select(*keys, position(source, along).alias("__at"))
+    profile = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     size = profile.agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
     limit = max(policy.min_rows, (size["total"] or 0) * policy.max_share)
     if (size["largest"] or 0) <= limit:
         return whole
 
+    most = math.ceil(size["largest"] / limit)
     heavy = profile.filter(F.col("__n") > limit).select(
-        *[F.col(k).alias(f"__heavy_{k}") for k in keys],
-        F.col("__low"),
-        F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0)).alias("__span"),
-        F.ceil(F.col("__n") / limit).cast("int").alias("__cuts"),
+        *[F.col(k).alias(f"__heavy_{k}") for k in keys], F.ceil(F.col("__n") / limit).cast("int").alias("__cuts"),
+    )
+    same = null_safe([(k, f"__heavy_{k}") for k in keys])
+    shares = [i / most for i in range(1, most + 1)]
+    bounds = placed.join(F.broadcast(heavy), same).groupBy(*[f"__heavy_{k}" for k in keys], "__cuts").agg(
+        F.percentile_approx("__at", shares, 10 * most).alias("__all")
     )
-    joined = df.join(F.broadcast(heavy), null_safe([(k, f"__heavy_{k}") for k in keys]), "left")
+    # A key's own number of bounds out of the list for the largest key; every `step`-th is looked at first.
+    own = F.transform(F.sequence(F.lit(1), F.col("__cuts") - 1), lambda i: F.get("__all", (i * most / F.col("__cuts")).cast("int") - 1))
+    step = F.ceil(F.sqrt(F.col("__cuts"))).cast("int")
+    bounds = bounds.withColumn("__bounds", own).withColumn("__step", step).drop("__all")
+    joined = df.join(F.broadcast(bounds), same, "left").withColumn("__at", position(df, along))
+    passed = lambda b: b < F.col("__at")
+    coarse = F.size(F.filter(F.filter("__bounds", lambda b, i: (i + 1) % F.col("__step") == 0), passed))
+    joined = joined.withColumn("__coarse", coarse)
+    fine = F.size(F.filter(F.slice("__bounds", F.col("__coarse") * F.col("__step") + 1, F.col("__step")), passed))
     cuts = F.coalesce(F.col("__cuts"), F.lit(1))
-    cut = F.floor((position(df, along) - F.col("__low")) / F.col("__span") * F.col("__cuts"))
-    cut = F.least(F.coalesce(cut, F.lit(0)), cuts - 1).cast("int")
+    cut = F.when(F.col("__cuts").isNull(), 0).otherwise(F.greatest(F.lit(0), F.col("__coarse") * F.col("__step") + fine)).cast("int")
     rows = joined.select(*df.columns, cuts.alias(SLICES), cut.alias(SLICE))
     # The slices are read more than once from here on: cut the lineage.
     return Groups(written(rows, "slices"), tuple(keys), sliced=True)

@@ -32,18 +32,43 @@ def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_
 
 
 def maintain(
-    spark: SparkSession, updates: DataFrame, root: str, dim: Dimension, boundary=None, insert_new: bool = True
+    spark: SparkSession, updates: DataFrame, root: str, dim: Dimension, boundary=None, insert_new: bool = True,
+    latest_only: bool = False,
 ) -> int:
     """Load or advance the dimension at ``root`` with updates newer than ``boundary``.
 
+    Every update of a key becomes part of its history, so the result is the
+    same however the updates are cut into batches and in whatever order these
+    arrive. The updates of each run are kept beside the dimension, under the
+    number of the snapshot they lead to: a failed run writes its part again,
+    and the history of the keys in a batch is rebuilt from all of their updates.
+
+    ``latest_only=True`` keeps no updates and looks at the newest one of each
+    key in a batch (and at late ones): cheaper, but batching then shows in the history.
     ``insert_new=False`` is the changed-only variant: unknown keys are left out.
     """
     batch = newer_than(updates, boundary)
-    if not snapshots.exists(spark, root):
-        content = scd.initial_load(batch, dim)
+    known = snapshots.exists(spark, root)
+    check = lambda d: require_sound_dimension(d, dim.keys)
+    if latest_only:
+        content = next_state(snapshots.read(spark, root), batch, dim, insert_new) if known else scd.initial_load(batch, dim)
+        return snapshots.publish(content, root, check=check)
+    if known and not insert_new:
+        stored = snapshots.read(spark, root).select(*dim.keys).distinct()
+        batch = batch.join(stored, list(dim.keys), "left_semi")
+    log = f"{root.rstrip('/')}-updates"
+    path = f"{log}/run-{snapshots.next_number(spark, root):09d}"
+    columns = list(dict.fromkeys([*dim.keys, *dim.tracked, dim.time, *dim.tiebreak]))
+    batch.select(*columns).write.mode("overwrite").parquet(path)
+    batch = spark.read.schema(batch.select(*columns).schema).parquet(path)
+    if not known:
+        content = scd.build_history(batch, dim)
     else:
-        content = next_state(snapshots.read(spark, root), batch, dim, insert_new)
-    return snapshots.publish(content, root, check=lambda d: require_sound_dimension(d, dim.keys))
+        earlier = [f"{log}/run-{number:09d}" for number in snapshots.versions(spark, root)]
+        content = scd.rebuild_from_log(
+            snapshots.read(spark, root), spark.read.schema(batch.schema).parquet(*earlier), batch, dim
+        )
+    return snapshots.publish(content, root, check=check)
 
 
 def feed_history(events: DataFrame, dim: Dimension = CITIES) -> DataFrame:
@@ -59,7 +84,7 @@ def run_feed(spark: SparkSession, log: DataFrame, batch: DataFrame, silver_root:
     """
     dim = CITIES
     first = not snapshots.exists(spark, silver_root)
-    state = cdc.empty_state(batch, dim.keys, dim.tracked, dim.time) if first else snapshots.read(spark, silver_root)
+    state = cdc.empty_state(batch, dim.keys, dim.tracked, dim.time, dim.tiebreak) if first else snapshots.read(spark, silver_root)
     snapshots.publish(cdc.apply_feed(state, batch, dim.keys, dim.tracked, dim.time, dim.tiebreak), silver_root)
 
     if not snapshots.exists(spark, gold_root):

@@ -10,6 +10,7 @@ from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key
 from tideline.operators.joins import dimension_join, sum_before_join
 from tideline.operators.rolling import daily_totals, rolling_days, rolling_rows
 from tideline.session import written
+from tideline.sinks.layout import clear_partitions, replace_partitions
 from tideline.sources.incremental import newer_than
 
 # Column types of the daily transaction file, length of the rolling
@@ -64,18 +65,32 @@ def top_drivers(trips: DataFrame, n: int = 3) -> DataFrame:
     return ranked.withColumn("total_fare", money_out("total_fare"))
 
 
+def affected_sessions(events: DataFrame, boundary) -> DataFrame:
+    """Sessions that an event newer than ``boundary`` is or ever was in."""
+    touched = newer_than(events, boundary).select("event_id").distinct()
+    return events.join(touched, "event_id", "left_semi").select("session_id").distinct()
+
+
 def session_metrics(events: DataFrame, products: DataFrame, boundary=None) -> DataFrame:
     """Metrics per session of the newest delivery of each event.
 
+    With a ``boundary``, the sessions that anything newer touches, each from all
+    of its events, ready to replace what was published of them.
+
     ``total_value`` sums the product price over all events of the session, views
     included. Products that are not active count without price and category.
     """
-    newest = latest_per_key(
-        newer_than(events, boundary).select(
-            "event_id", "ingestion_time", "session_id", "user_id", "event_time", "event_type", "product_id"
-        ),
-        ["event_id"], ["ingestion_time", "event_time", "event_type"],
+    deliveries = events.select(
+        "event_id", "ingestion_time", "session_id", "user_id", "event_time", "event_type", "product_id"
     )
+    sessions = None
+    if boundary is not None:
+        sessions = written(affected_sessions(events, boundary), "affected-sessions")
+        members = deliveries.join(sessions, "session_id", "left_semi").select("event_id").distinct()
+        deliveries = deliveries.join(members, "event_id", "left_semi")
+    newest = latest_per_key(deliveries, ["event_id"], ["ingestion_time", "event_time", "event_type"])
+    if sessions is not None:
+        newest = newest.join(sessions, "session_id", "left_semi")
     active = products.filter("is_active").select("product_id", "category", money("price").alias("price"))
     return (
         dimension_join(newest, active, ["product_id"], "left")
@@ -184,7 +199,30 @@ def daily_revenue_since(orders, payments, refunds, rates, boundary) -> DataFrame
     small table of known size.
     """
     dates = written(affected_dates(orders, payments, refunds, boundary), "affected-dates")
-    return revenue_by_day(paid_orders(orders, payments, refunds, rates, dates=dates))
+    return _revenue_on(dates, orders, payments, refunds, rates)
+
+
+def _revenue_on(dates: DataFrame, orders, payments, refunds, rates) -> DataFrame:
+    """Daily revenue of ``dates`` only. All inputs are cut to the orders that ever fell on them before any dedup."""
+    dated = orders.withColumn("order_date", F.to_date("order_time"))
+    ids = written(dimension_join(dated, dates, ["order_date"], "left_semi").select("order_id").distinct(), "affected-orders")
+    own = [frame.join(ids, "order_id", "left_semi") for frame in (orders, payments, refunds)]
+    return revenue_by_day(paid_orders(*own, rates, dates=dates))
+
+
+def publish_daily_revenue(orders, payments, refunds, rates, path: str, boundary=None) -> None:
+    """Write daily revenue by date: all of it, or the dates that anything newer than ``boundary`` touches.
+
+    A date on which no order is left loses its partition. Running it again writes the same.
+    """
+    if boundary is None:
+        replace_partitions(daily_revenue(orders, payments, refunds, rates), path, ["order_date"])
+        return
+    spark = orders.sparkSession
+    dates = written(affected_dates(orders, payments, refunds, boundary), "affected-dates")
+    days = written(_revenue_on(dates, orders, payments, refunds, rates), "daily-revenue")
+    replace_partitions(days, path, ["order_date"])
+    clear_partitions(spark, path, "order_date", dates.join(days, "order_date", "left_anti"))
 
 
 def rolling_features(transactions: DataFrame, users: DataFrame, by_rows: bool = False) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tideline.operators.joins import dimension_join
-from tideline.operators.partitions import by_count
 from tideline.operators.skew import heavy_key_join, salted_join
 from tideline.sinks.layout import overwrite, replace_partitions
 
@@ -23,11 +22,10 @@ def skew_safe(
 
 
 def tuned(
-    fact: DataFrame, dimension: DataFrame, keys: Sequence[str], identity: Sequence[str], salts: int, partitions: int,
-    path: str,
+    fact: DataFrame, dimension: DataFrame, keys: Sequence[str], identity: Sequence[str], salts: int, path: str,
 ) -> None:
-    """Repartition, salt every key, join, and cap the rows per output file."""
-    overwrite(salted_join(by_count(fact, partitions), dimension, keys, identity, salts), path, FILE_ROWS)
+    """Salt every key, join, and cap the rows per output file; the join's own shuffle spreads the rows."""
+    overwrite(salted_join(fact, dimension, keys, identity, salts), path, FILE_ROWS)
 
 
 def flat(fact: DataFrame, dimension: DataFrame, keys: Sequence[str], path: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tideline.operators.rolling import rolling_days
 from tideline.streaming import aggregates, sinks
@@ -45,11 +46,14 @@ def activity_7d(events: DataFrame) -> DataFrame:
 
 def upsert_run(spark: SparkSession, stream: DataFrame, root: str, keys: list[str]) -> DataFrame:
     """Upsert everything available into ``root/table`` and return the table."""
-    columns = stream.columns
+    schema = stream.schema
     with sinks.start_settings(spark):
         query = sinks.upsert_to(stream, f"{root}/table", f"{root}/checkpoint", keys)
     sinks.finish(query)
-    return spark.read.parquet(f"{root}/table").select(*columns)
+    if not sinks.has_content(spark, f"{root}/table"):  # a stream without rows
+        return spark.createDataFrame([], schema)
+    stored = StructType([*schema.fields, StructField(sinks.DAY, DateType())])
+    return spark.read.schema(stored).parquet(f"{root}/table").select(*schema.names)
 
 
 def append_run(spark: SparkSession, stream: DataFrame, root: str) -> DataFrame:

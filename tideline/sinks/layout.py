@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.operators.partitions import balanced, clustered
 from tideline.sinks import snapshots
@@ -38,6 +39,13 @@ def replace_partitions(
     )
 
 
+def clear_partitions(spark: SparkSession, path: str, column: str, values: DataFrame) -> None:
+    """Remove the partitions of ``values``, a frame of one column with few rows (dates that have no rows any more)."""
+    for row in values.select(F.col(column).cast("string")).toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={row[0]}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def compact(spark: SparkSession, path: str, root: str, partition_by: tuple[str, ...] = ()) -> int:
     """Rewrite many small files as few of the advisory size, published as a new snapshot."""
     table = spark.read.parquet(path)

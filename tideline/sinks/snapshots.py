@@ -38,6 +38,12 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return _numbers(spark, root, complete=True)
 
 
+def next_number(spark: SparkSession, root: str) -> int:
+    """The number that the next publish takes; one that an aborted write used is not taken again."""
+    known = _numbers(spark, root, complete=False)
+    return known[-1] + 1 if known else 1
+
+
 def exists(spark: SparkSession, root: str) -> bool:
     """Whether the table has been loaded before: choose first load or merge by it."""
     return bool(versions(spark, root))
@@ -64,8 +70,7 @@ def publish(
     that fails, and the plan of ``df`` runs only once.
     """
     spark = df.sparkSession
-    known = _numbers(spark, root, complete=False)
-    number = known[-1] + 1 if known else 1
+    number = next_number(spark, root)
     path = folder(root, number)
     writer = df.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
     if partition_by:

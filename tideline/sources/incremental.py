@@ -1,12 +1,15 @@
 """Incremental reads bounded by ingestion time.
 
 The boundary is kept in a small control table. It moves only after the output
-has been committed, so a failed run is simply repeated.
+has been committed. A run writes parts that are named by the boundary it starts
+from, so a failed run is repeated and replaces what it had written. More rows
+may still arrive with the latest time seen: they stay in a part of their own
+that the next run reads again. Rows without a time are a part as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,20 +38,27 @@ def stored_boundary(spark: SparkSession, control: str) -> datetime | None:
 
 
 def run_incremental(
-    spark: SparkSession, source: DataFrame, control: str, publish: Callable[[DataFrame], None],
-    time: str = "ingestion_time",
+    spark: SparkSession, source: DataFrame, control: str, root: str, time: str = "ingestion_time",
 ) -> datetime | None:
-    """Read past the stored boundary, publish, then store the new boundary.
+    """Publish below ``root`` what arrived from the stored boundary on, then store the new boundary.
 
-    The upper end is fixed before the read: rows that arrive meanwhile belong to
-    the next run. Returns the new boundary.
+    Rows up to the latest time of the run (not including it) are closed for good.
+    Returns the new boundary.
     """
-    boundary = stored_boundary(spark, control)
-    batch = newer_than(source, boundary, time)
+    boundary, kind = stored_boundary(spark, control), source.schema[time].dataType
+    batch = source if boundary is None else source.filter(F.col(time) >= moment(boundary, kind))
     upper = next_boundary(batch, time).first()["boundary"]
+    source.filter(F.col(time).isNull()).write.mode("overwrite").parquet(f"{root}/untimed")
     if upper is None:
         return boundary
-    publish(batch.filter(F.col(time) <= moment(upper, source.schema[time].dataType)))
-    row = spark.range(1).select(moment(upper, source.schema[time].dataType).alias("boundary"))
-    snapshots.publish(row, control)
+    name = "start" if boundary is None else re.sub(r"\W", "-", str(boundary))
+    at = moment(upper, kind)
+    batch.filter(F.col(time) < at).write.mode("overwrite").parquet(f"{root}/closed/{name}")
+    batch.filter(F.col(time) == at).write.mode("overwrite").parquet(f"{root}/latest")
+    snapshots.publish(spark.range(1).select(at.alias("boundary")), control)
     return upper
+
+
+def read_published(spark: SparkSession, root: str, schema) -> DataFrame:
+    """All rows published so far."""
+    return spark.read.schema(schema).parquet(f"{root}/closed/*", f"{root}/latest", f"{root}/untimed")

@@ -16,17 +16,19 @@ DAY = "window_date"
 
 
 @contextmanager
-def start_settings(spark: SparkSession, per_core: int = 3) -> Iterator[None]:
+def start_settings(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
     """Settings that a stream takes over when it starts, restored afterwards.
 
-    At most ``per_core`` state partitions per core and never more than
-    configured: a stream keeps the number it starts with for good. Sessions of
-    one key are merged inside each map task, so a hot key sends few rows.
+    A stream keeps the number of state partitions it starts with for good, so it
+    is what the caller names or the session has configured, never a guess from
+    the executors that happen to be there. Sessions of one key are merged inside
+    each map task, so a hot key sends few rows.
     """
     partitions = "spark.sql.shuffle.partitions"
     merge_first = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
     before = {key: spark.conf.get(key) for key in (partitions, merge_first)}
-    spark.conf.set(partitions, str(min(int(before[partitions]), per_core * spark.sparkContext.defaultParallelism)))
+    if state_partitions:
+        spark.conf.set(partitions, str(state_partitions))
     spark.conf.set(merge_first, "true")
     try:
         yield
@@ -41,38 +43,48 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, once: bool = True)
     return (writer.trigger(availableNow=True) if once else writer).format("parquet").start(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def has_content(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there and, as a folder, holds anything."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(folder) and len(fs.listStatus(folder)) > 0
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def window_upsert(path: str, staging: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: upsert window totals by ``window_start`` and ``keys``.
 
     The target is partitioned by the day a window starts on. A batch touches few
     days, and only those are merged and replaced. The merged days are written to
-    a staging folder first, because the target cannot be overwritten while it is
-    read. Totals are complete per key, so a replayed batch writes the same rows.
+    a staging folder of the batch first, because the target cannot be overwritten
+    while it is read. If a crash left the target half replaced, the replay finds
+    the finished merge (its success marker) and publishes that as it stands,
+    instead of merging with a target that lacks rows.
     """
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         incoming = batch.withColumn(DAY, F.to_date("window_start"))
-        if not _exists(spark, path):
-            replace_partitions(incoming, path, [DAY])
+        step = f"{staging}/batch-{batch_id}"
+        if has_content(spark, f"{step}/merged/_SUCCESS"):
+            replace_partitions(spark.read.parquet(f"{step}/merged"), path, [DAY])
             return
-        # Two slots: a batch never needs the files of the one before the last.
-        step = f"{staging}/slot-{batch_id % 2}"
         incoming.write.mode("overwrite").parquet(f"{step}/incoming")
         incoming = spark.read.schema(incoming.schema).parquet(f"{step}/incoming")
         if incoming.isEmpty():
             return
-        days = incoming.select(DAY).distinct()
-        target = spark.read.schema(incoming.schema).parquet(path).join(days, DAY, "left_semi")
-        merged = upsert(target.select(*incoming.columns), incoming, ["window_start", *keys])
+        merged = incoming
+        if has_content(spark, path):
+            days = incoming.select(DAY).distinct()
+            target = spark.read.schema(incoming.schema).parquet(path).join(days, DAY, "left_semi")
+            merged = upsert(target.select(*incoming.columns), incoming, ["window_start", *keys])
         merged.write.mode("overwrite").parquet(f"{step}/merged")
         replace_partitions(spark.read.parquet(f"{step}/merged"), path, [DAY])
+        _remove(spark, f"{staging}/batch-{batch_id - 2}")  # only the last batch can be replayed
 
     return upsert_batch
 
