@@ -340,6 +340,13 @@ _CLOSED_SESSIONS = """
                <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '1' DAY FROM events)"""
 
 
+_MERGED_CLAUSES = f"""
+            SELECT p_partkey AS product_id, p_type AS category,
+                   CASE WHEN p_size <= 40 AND {_NEW_PRICE} <= {_OLD_PRICE} THEN p_retailprice
+                        ELSE CAST({_NEW_PRICE} AS DOUBLE) END AS price
+            FROM part WHERE p_partkey % 17 <> 0"""
+
+
 def statements() -> dict[str, str]:
     revenue_inputs = "fx_orders fx_payments fx_refunds fx_rates"
     next_dim = "fx_updates fx_first fx_next dim newest current"
@@ -401,11 +408,8 @@ def statements() -> dict[str, str]:
             SELECT product_id, price, units_sold, seq, revenue FROM latest
             UNION ALL SELECT product_id, price, 0, 0, 0.0 FROM fx_products
             WHERE is_active AND product_id NOT IN (SELECT product_id FROM latest)"""),
-        "merge_clauses": f"""
-            SELECT p_partkey AS product_id, p_type AS category,
-                   CASE WHEN p_size <= 40 AND {_NEW_PRICE} <= {_OLD_PRICE} THEN p_retailprice
-                        ELSE CAST({_NEW_PRICE} AS DOUBLE) END AS price
-            FROM part WHERE p_partkey % 17 <> 0""",
+        "merge_clauses": _MERGED_CLAUSES,
+        "merge_clauses_shuffled": _MERGED_CLAUSES,
         "merge_expressions": f"""
             SELECT p_partkey AS product_id, CASE WHEN p_size <= 40 THEN p_type ELSE 'NEW' END AS category,
                    CASE WHEN p_size <= 40 THEN (p_retailprice + CAST({_NEW_PRICE} AS DOUBLE)) / 2
@@ -430,6 +434,7 @@ def statements() -> dict[str, str]:
         "scd2_apply_changed_only": _sql(next_dim, _apply(insert_new=False)),
         "product_scd2": _PRODUCT_SCD2,
         "scd2_history": _sql("fx_updates", _history("fx_updates")),
+        "scd2_history_sliced": _sql("fx_updates", _history("fx_updates")),
         "cdc_scd2_history": _sql("fx_cdc", _CDC_HISTORY),
         "scd2_late_detect": _sql("fx_updates fx_ontime fx_behind ontime_dim", """
             SELECT l.* FROM fx_behind l JOIN ontime_dim c ON l.customer_id = c.customer_id

@@ -12,6 +12,7 @@ from tideline.catalog.inputs import table
 from tideline.functions.hashing import row_hash
 from tideline.functions.scalars import money, money_out
 from tideline.operators import cdc, dedup, joins, merge, partitions, scd, skew
+from tideline.operators.ordered import SplitPolicy
 from tideline.plans import dimensions, marts, medallion, skewjobs, streams
 from tideline.plans.dimensions import CITIES, CUSTOMERS, PRODUCTS
 from tideline.session import working_folder, written
@@ -157,6 +158,15 @@ def product_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_clauses(spark, sf_dir, joins.BROADCAST_BYTES)
+
+
+def merge_clauses_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge by one full outer join, as for a large source."""
+    return _merged_clauses(spark, sf_dir, 0)
+
+
+def _merged_clauses(spark: SparkSession, sf_dir: str, broadcast_limit: int) -> DataFrame:
     """Conditional update, delete and insert of one merge.
 
     Updates that lower a price are ignored, discontinued products are deleted,
@@ -172,7 +182,7 @@ def merge_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
         update={"price": "new_price"}, update_when=F.col("s.new_price") > F.col("t.price"),
         delete_when=F.col("s.discontinued"),
         insert={"product_id": "product_id", "category": "category", "price": "new_price"},
-        insert_when=~F.col("s.discontinued"),
+        insert_when=~F.col("s.discontinued"), broadcast_limit=broadcast_limit,
     )
 
 
@@ -252,6 +262,11 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.build_history(_updates(spark, sf_dir), CUSTOMERS)
 
 
+def scd2_history_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history with a policy under which the largest keys of any table are cut into slices."""
+    return scd.build_history(_updates(spark, sf_dir), CUSTOMERS, split=SplitPolicy(max_share=1e-6, min_rows=8))
+
+
 def cdc_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.feed_history(inputs.change_feed(spark, sf_dir))
 
@@ -576,8 +591,8 @@ ALL: tuple[Query, ...] = (
     regional_sales, daily_txn_totals, unreadable_times, top3_drivers, session_metrics, session_metrics_incremental,
     daily_revenue, daily_revenue_last_payment, daily_revenue_since, daily_revenue_run, unrated_orders, rolling_30d, rolling_30_rows,
     incremental_events, next_watermark, latest_by_ingestion, latest_by_two_times, dedup_single_key, dedup_composite,
-    row_hash_customers, silver_revenue, product_upsert, merge_clauses, merge_expressions, merge_source_conflicts, cdc_latest_state,
-    cdc_late_events, scd2_initial, scd2_changes, scd2_apply, scd2_apply_changed_only, product_scd2, scd2_history,
+    row_hash_customers, silver_revenue, product_upsert, merge_clauses, merge_clauses_shuffled, merge_expressions, merge_source_conflicts, cdc_latest_state,
+    cdc_late_events, scd2_initial, scd2_changes, scd2_apply, scd2_apply_changed_only, product_scd2, scd2_history, scd2_history_sliced,
     cdc_scd2_history, scd2_late_detect, scd2_late_fix, scd2_late_split, scd2_as_of, scd2_multi_active, scd2_overlaps,
     key_profile, top_key_share, skew_metrics, salted_join, heavy_key_join, salted_agg, broadcast_join,
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
