@@ -109,7 +109,7 @@ class _Rows:
 
     def __post_init__(self):
         self.count = np.diff(self.start)
-        self.row = np.repeat(np.arange(len(self.count)), self.count)
+        self.row = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.index], len(self.count))
@@ -118,7 +118,7 @@ class _Rows:
         return np.bincount(self.index, r[self.row], self.width)
 
     def only(self, columns: np.ndarray) -> _Rows:
-        new = np.full(self.width, -1)
+        new = np.full(self.width, -1, np.int32)
         new[columns] = np.arange(len(columns))
         good = new[self.index] >= 0
         counts = np.bincount(self.row[good], minlength=len(self.count))
@@ -231,7 +231,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
     if y.min() == y.max():
         return Model({}, 60.0 if y[0] else -60.0)
     lists = known.column("x").combine_chunks()
-    x = _Rows(np.asarray(lists.flatten()).astype(np.int64), np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))].astype(np.int64), len(vocabulary))
+    x = _Rows(np.asarray(lists.flatten()), np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))].astype(np.int64), len(vocabulary))
     codes, often = np.unique(np.asarray(known.column("swapped").combine_chunks().flatten()).astype(np.int64), return_counts=True)
     pairs = (codes // len(vocabulary), codes % len(vocabulary), often / len(y))
     w, _ = _fit(x, y, pairs, L1, L2)
