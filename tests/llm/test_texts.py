@@ -144,6 +144,15 @@ def test_fingerprints_and_groups_equal_brute_force(odd_docs, odd_rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({w[2] for w in want})
 
 
+def test_survivors_are_rows_and_not_ids(spark):
+    """Null ids of unlike texts and one id with unlike texts: each group keeps a row of its own."""
+    a, b, c, d, e = (" ".join(f"{x}{i * i % 89}" for i in range(60)) for x in "abcde")
+    rows = [(None, a, 1), (None, b, 2), (None, c, 3), (None, c, 3), (7, d, 4), (7, e, 5), (7, d, 4), (9, d, 6), (None, e, 7), (3, None, 8), (3, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size int").repartition(3)
+    kept = sorted(map(tuple, simhash.one_per_group(docs).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[1], rows[2], rows[4], rows[5], rows[9]], key=repr)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2 ** 64 - 1), st.integers(0, 7)), min_size=1, max_size=150))
 def test_bit_sliced_pairs_are_all_pairs(items):

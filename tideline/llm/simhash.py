@@ -195,6 +195,12 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_links, "u long, v long")
 
 
+def _placed(distinct: DataFrame) -> DataFrame:
+    """``distinct``, a row per fingerprint, with the ``root`` of its group."""
+    rooted = components(fingerprint_links(distinct.select("fp"))).select(F.col("u").alias("fp"), "root")
+    return distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` for each row of ``docs``.
 
@@ -202,18 +208,24 @@ def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
     never become a component's id unless the component has no other.
     """
     prints = written(fingerprints(docs.select("doc_id", F.col(text).alias("text"))), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct")
-    rooted = components(fingerprint_links(distinct.select("fp"))).select(F.col("u").alias("fp"), "root")
-    placed = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(written(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_print = written(placed.join(least, "root").select("fp", "root", "component_id"), "components")
     return prints.join(by_print, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_per_group(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One document of each group: the one with the least id; of equal ids, and without any id, one row."""
-    groups = grouped(docs, text)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "root").distinct()
-    kept = kept.select(F.col("doc_id").alias(own := free_name(docs, "kept_id")), F.col("root").alias(root := free_name(docs, "root")))
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "inner").drop(own)
-    return joined.dropDuplicates(["doc_id", root]).select(*docs.columns)
+    """One document of each group: the one with the least id, null ids last; of equal ids the text with the least digest.
+
+    Neither ids nor null ids need to be unique: a row is known by its id and its
+    text, and a text belongs to one group only. Rows equal in both are one.
+    """
+    digest = F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
+    prints = fingerprints(docs.select("doc_id", digest.alias("digest"), F.col(text).alias("text")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
+    distinct = written(prints.groupBy("fp").agg(first), "distinct")
+    key, own, own_key = (free_name(docs, c) for c in ("text_digest", "kept_id", "kept_digest"))
+    kept = _placed(distinct).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias(own), F.col("first.digest").alias(own_key))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & F.col(key).eqNullSafe(F.col(own_key))
+    return docs.withColumn(key, digest).join(kept, same, "left_semi").dropDuplicates(["doc_id", key]).select(*docs.columns)
