@@ -229,6 +229,16 @@ def test_words_alone_give_the_ids_of_the_text(texts):
         assert np.frombuffer(got, "<u4").tolist() == [*want, 1]
 
 
+@pytest.mark.parametrize("text", [
+    "<|ENDOFTEXT|>", "<|EndOfText|> <|endoftext|> <|StartOfText|>", "A<|endoftext|>B <|Endoftext|>. x<|ENDOFTEXT|>Y",
+    "<|endoftext|> <|ENDOFTEXT|> <|endoftext|>", "The <|END OF|> THE the The.",
+])
+def test_added_tokens_are_found_as_they_are_spelled(text):
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    want = [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == want
+
+
 def _encoder(made=[]):
     if not made:
         made.append(packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")))

@@ -24,6 +24,7 @@ each. An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -54,12 +55,15 @@ class WordEncoder:
 
     The vocabulary splits at white space, so the ids of a text are those of its words in a row, and a
     mark after letters is a token of its own. Words used lately are kept: those of the last two generations.
+    Capitals do not matter but in an added token, which the vocabulary looks for in the text as it stands.
     """
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
+        added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)")
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
         self.end = np.array([END_ID], "<u4").tobytes()
@@ -92,11 +96,10 @@ class WordEncoder:
             self.known[word] = self.before[word]
         return word in self.known
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
+    def _parts(self, word: bytes) -> tuple[bytes, ...]:
         """The word without its capitals and without one closing mark, and that mark, where both stand alone."""
-        if word.isascii():
-            word = word.lower()
+        if word.isascii() and not self.added.search(lower := word.lower()):
+            word = lower
         if word[-1:] in _MARKS and word[:-1].decode().isalpha():
             return word[:-1], word[-1:]
         return (word,)
