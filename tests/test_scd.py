@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +172,29 @@ def test_unsound_dimension_is_not_published(spark, tmp_path):
     assert snapshots.publish(stored, root) == 2 and snapshots.versions(spark, root) == [2]
 
 
+def test_updates_outlive_the_snapshot_they_led_to(spark, tmp_path, monkeypatch):
+    """Old snapshots are removed, one run fails in between: the history is that of the published runs."""
+    root = str(tmp_path / "dim")
+    for i in range(3):
+        dimensions.maintain(spark, updates(spark, GOLDEN[i:i + 1]), root, DIM)
+    shutil.rmtree(snapshots.folder(root, 1))
+    shutil.rmtree(snapshots.folder(root, 2))
+
+    def fails(*args):
+        raise CheckFailed("not sound")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(dimensions, "require_sound_dimension", fails)
+        with pytest.raises(CheckFailed):
+            dimensions.maintain(spark, updates(spark, [(*GOLDEN[3][:1], "never", *GOLDEN[3][2:])]), root, DIM)
+    assert dimensions.maintain(spark, updates(spark, GOLDEN[3:5]), root, DIM) == 5
+    shutil.rmtree(snapshots.folder(root, 3))
+    shutil.rmtree(snapshots.folder(root, 4))  # what the failed run left
+    dimensions.maintain(spark, updates(spark, GOLDEN[5:]), root, DIM)
+    assert shown(snapshots.read(spark, root)) == EXPECTED
+    assert "never" not in {r["name"] for r in snapshots.read(spark, root).collect()}
+
+
 def test_changed_only_leaves_unknown_keys_out(spark, tmp_path):
     root = str(tmp_path / "dim")
     dimensions.maintain(spark, updates(spark, GOLDEN[:1]), root, DIM)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,33 @@ def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_
     return scd.apply_updates(dimension, updates, dim, insert_new)
 
 
+_RUN = re.compile(r"^run-(\d{9})$")
+
+
+def _run_folder(log: str, number: int) -> str:
+    return f"{log}/run-{number:09d}"
+
+
+def _committed_runs(spark: SparkSession, root: str, log: str) -> list[str]:
+    """Folders of the runs whose snapshot was published, oldest first, whether or not it still exists.
+
+    A run is marked by the first one after it, which still finds its snapshot:
+    that is the newest then. The log of a failed run gets no marker.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(log).getFileSystem(spark._jsc.hadoopConfiguration())
+    marker = lambda number: path(_run_folder(log, number), "_COMMITTED")
+    published = snapshots.versions(spark, root)
+    for number in published:
+        if not fs.exists(marker(number)):
+            if not fs.exists(path(_run_folder(log, number))):
+                raise FileNotFoundError(f"no updates of snapshot {number} under {log}")
+            fs.create(marker(number)).close()
+    found = [_RUN.match(status.getPath().getName()) for status in fs.listStatus(path(log))]
+    numbers = sorted(int(m.group(1)) for m in found if m)
+    return [_run_folder(log, n) for n in numbers if n in published or fs.exists(marker(n))]
+
+
 def maintain(
     spark: SparkSession, updates: DataFrame, root: str, dim: Dimension, boundary=None, insert_new: bool = True,
     latest_only: bool = False,
@@ -42,6 +71,7 @@ def maintain(
     arrive. The updates of each run are kept beside the dimension, under the
     number of the snapshot they lead to: a failed run writes its part again,
     and the history of the keys in a batch is rebuilt from all of their updates.
+    Those of a published run count even when its snapshot has been removed.
 
     ``latest_only=True`` keeps no updates and looks at the newest one of each
     key in a batch (and at late ones): cheaper, but batching then shows in the history.
@@ -57,14 +87,14 @@ def maintain(
         stored = snapshots.read(spark, root).select(*dim.keys).distinct()
         batch = batch.join(stored, list(dim.keys), "left_semi")
     log = f"{root.rstrip('/')}-updates"
-    path = f"{log}/run-{snapshots.next_number(spark, root):09d}"
+    path = _run_folder(log, snapshots.next_number(spark, root))
+    earlier = _committed_runs(spark, root, log) if known else []
     columns = list(dict.fromkeys([*dim.keys, *dim.tracked, dim.time, *dim.tiebreak]))
     batch.select(*columns).write.mode("overwrite").parquet(path)
     batch = spark.read.schema(batch.select(*columns).schema).parquet(path)
     if not known:
         content = scd.build_history(batch, dim)
     else:
-        earlier = [f"{log}/run-{number:09d}" for number in snapshots.versions(spark, root)]
         content = scd.rebuild_from_log(
             snapshots.read(spark, root), spark.read.schema(batch.schema).parquet(*earlier), batch, dim
         )
