@@ -24,20 +24,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def tables():
     return TABLES
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, optionally of some columns."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def at(text):
-    """Zone-less time column value."""
-    from datetime import datetime
-
-    return datetime.fromisoformat(text)

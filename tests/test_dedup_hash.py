@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from support import plan, rows
 from tideline.functions.hashing import row_hash
 from tideline.functions.scalars import differs, money, money_out, parse_timestamp
 from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key

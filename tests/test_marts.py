@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import at, plan, rows
+from support import at, plan, rows
 from tideline.catalog import inputs
 from tideline.operators.rolling import rolling_days, rolling_rows
 from tideline.plans import marts

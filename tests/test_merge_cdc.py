@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, plan, rows
+from support import at, plan, rows
 from tideline.catalog import inputs
 from tideline.operators import cdc, merge
 from tideline.operators.checks import CheckFailed, require_empty

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from tideline.operators.ordered import SplitPolicy, window_groups, with_next, with_previous
 
 TIGHT = SplitPolicy(max_share=0.05, min_rows=1)

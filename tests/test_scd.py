@@ -3,7 +3,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from support import at, rows
 from tideline.catalog import inputs
 from tideline.operators import scd
 from tideline.operators.checks import CheckFailed, require_sound_dimension

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from support import plan, rows
 from tideline.catalog import inputs
 from tideline.operators import joins, partitions, skew
 

@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, plan, rows
+from support import at, plan, rows
 from tideline.catalog import inputs
 from tideline.plans import medallion, skewjobs
 from tideline.session import working_folder

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, rows
+from support import at, rows
 from tideline.plans import streams
 from tideline.streaming import aggregates, sinks
 from tideline.streaming.sources import parse_messages, table_stream
