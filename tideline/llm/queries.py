@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    chat, mixing, packing, quality_rules, quality_trees, simhash, substrings, toxicity, vector_links, warc,
+    chat, mixing, packing, piece_encoding, quality_rules, quality_trees, simhash, substrings, toxicity, vector_links, warc,
 )
 from tideline.llm.text import words_of
 from tideline.session import working_folder, written
@@ -87,6 +87,16 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(spark, f"{root}/deduplicated")
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = piece_encoding.decoded(piece_encoding.encoded(texts).drop("text"))
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": r"""
@@ -160,7 +170,7 @@ ORACLES: dict[str, str] = {
 
 ALL: tuple[Query, ...] = (
     op1_quality_trees, op2_quality_rules, op3_substring_dedup, op4_toxicity, op5_chat_format, op6_vector_links,
-    op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits,
+    op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits, op11_piece_encoding,
 )
 
 
