@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    chat, mixing, packing, piece_encoding, quality_rules, quality_trees, simhash, substrings, toxicity, vector_links, warc,
+    centroids, chat, hard_negatives, mixing, packing, piece_encoding, quality_rules, quality_trees, simhash, substrings, toxicity,
+    vector_links, warc,
 )
 from tideline.llm.text import words_of
 from tideline.session import working_folder, written
@@ -97,6 +98,42 @@ def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    relabelled = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), "embedding"
+    )
+    return hard_negatives.mined(relabelled, F.col("vec_id") % 100 == 0)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def _centroid_rounds() -> str:
+    """The clustering as SQL: per round, assignments ``a<i>`` and the next centroids ``c<i + 1>``."""
+    distance = "list_sum([(v.e[i] - c.e[i]) * (v.e[i] - c.e[i]) for i in range(1, 65)])"
+    nearest = f"""
+        SELECT r, vec_id, e, struct_extract(best, 'd') AS d, struct_extract(best, 'c') AS c FROM (
+            SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e, min({{'d': {distance}, 'c': c.c}}) AS best
+            FROM v CROSS JOIN {{0}} c GROUP BY v.r
+        )
+    """.replace("{'d'", "{{'d'").replace("c.c})", "c.c}})")
+    steps = []
+    for i in range(centroids.ROUNDS + 1):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(f'c{i}')})")
+        if i < centroids.ROUNDS:
+            steps.append(f"""
+                s{i} AS (SELECT c, p, CAST(floor_div AS BIGINT) AS x FROM (
+                    SELECT c, p, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+                    FROM (SELECT c, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{i}) GROUP BY c, p
+                )),
+                m{i} AS (SELECT c, list(x ORDER BY p) AS e FROM s{i} GROUP BY c),
+                c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (c))
+            """)
+    return ",\n".join(steps)
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": r"""
@@ -154,6 +191,39 @@ ORACLES: dict[str, str] = {
         SELECT v.vec_id, coalesce(counts.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
         FROM v JOIN roots ON v.vec_id = roots.i LEFT JOIN counts ON v.vec_id = counts.i
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS MATERIALIZED (
+            SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)
+        ), p AS (
+            SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s WHERE same QUALIFY k <= 5
+        ), n AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM p JOIN s ON p.r = s.r AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+            QUALIFY rank <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n
+    """,
+    "op13_centroids": f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+            FROM embeddings WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS c, e
+            FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v WHERE vec_id IS NOT NULL ORDER BY h, e LIMIT 40)
+        ), {_centroid_rounds()},
+        t AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a5 GROUP BY c)
+        SELECT vec_id, c AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia,
+               (SELECT CAST(sum(d) AS BIGINT) FROM a5) AS inertia, sha256(array_to_string(c5.e, ',')) AS centroid_sha256
+        FROM a5 JOIN t USING (c) JOIN c5 USING (c)
+    """,
     "op10_warc_revisits": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
@@ -170,7 +240,8 @@ ORACLES: dict[str, str] = {
 
 ALL: tuple[Query, ...] = (
     op1_quality_trees, op2_quality_rules, op3_substring_dedup, op4_toxicity, op5_chat_format, op6_vector_links,
-    op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits, op11_piece_encoding,
+    op7_packing, op8_balanced_mix, op9_simhash_groups, op10_warc_revisits, op11_piece_encoding, op12_hard_negatives,
+    op13_centroids,
 )
 
 
