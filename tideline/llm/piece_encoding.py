@@ -26,6 +26,7 @@ UTF-8 count as U+FFFD. Null ids and null lists decode to the empty text.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -36,10 +37,14 @@ from pyspark.sql import types as T
 
 from tideline.llm.text import pieces
 
-CACHED = 300_000
-PAIRS = 1_000_000
+CACHED = 200_000
+PAIRS = 500_000
 CHUNK_BYTES = 2 << 20
 SPACE = "▁"
+#: Numbers of pieces and characters in one key: ids, then code points, then the start of a stretch.
+NUMBER_BITS = 21
+FREE = 1 << 19
+START = (1 << NUMBER_BITS) - 1
 # Fixed values of the model format: types of pieces and the model type.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
@@ -65,15 +70,16 @@ class Vocabulary:
         self.scores = {p.piece: p.score for p in read.pieces if p.type == NORMAL}
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(read.pieces) if p.type == BYTE}
         long = [p for p in self.ids if len(p) > 1]
+        if not long or len(read.pieces) > FREE:
+            raise ValueError("only models with pieces of several characters, and at most half a million pieces")
         self.finder = ahocorasick.Automaton()
         for piece in long:
             self.finder.add_word(piece, len(piece))
         self.finder.make_automaton()
-        self.searchable = bool(long)
         # Merges never cross a place that no piece spans.
         alone = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in long)
         self.stretches = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+" if alone else r"(?s).+")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         # What an id stands for: bytes to write, or None for those that write nothing.
         surface = read.trainer_spec.unk_surface.encode()
         self.written = [
@@ -99,53 +105,55 @@ class Vocabulary:
 
     def follows(self, before: str, piece: str) -> bool:
         """Whether ``piece`` may stand behind ``before`` (at the start: behind nothing)."""
-        known = self.pairs.get((before, piece))
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs = {}
-            known = self.merged(before + piece) == ([before, piece] if before else [piece])
-            self.pairs[before, piece] = known
-        return known
-
-    def split(self, stretch: str) -> list[str]:
-        """The pieces of a stretch, characters without a piece among them."""
-        if stretch in self.ids and self.follows("", stretch):
-            return [stretch]
+        return self.merged(before + piece) == ([before, piece] if before else [piece])
+
+    def split(self, stretch: str) -> list[int]:
+        """The ids of the pieces of a stretch; a character without a piece is ``FREE`` and its code point."""
         longest = [1] * len(stretch)
-        if self.searchable:
-            for end, size in self.finder.iter(stretch):
-                if size > longest[end - size + 1]:
-                    longest[end - size + 1] = size
-        ids, failed, laid, at = self.ids, 0, [], 0
-        size = longest[0]
-        while at < len(stretch):
-            before = laid[-1] if laid else ""
+        for end, size in self.finder.iter(stretch):
+            longest[end - size + 1] = size  # ends come in order, so the longest one is last
+        ids, pairs, end = self.ids, self.pairs, len(stretch)
+        failed, laid, sizes, at, size, before = 0, [], [], 0, longest[0], START
+        while at < end:
             while size:
                 piece = stretch[at:at + size]
-                # A single character always exists; a longer prefix must be a piece.
-                if (size == 1 or piece in ids) and not failed >> (at + size) & 1 and self.follows(before, piece):
-                    break
+                number = ids.get(piece)
+                if number is None and size == 1:
+                    number = FREE + ord(piece)
+                # A longer prefix than a character must be a piece.
+                if number is not None and not failed >> (at + size) & 1:
+                    key = before << NUMBER_BITS | number
+                    fits = pairs.get(key)
+                    if fits is None:
+                        if len(pairs) >= PAIRS:
+                            pairs.clear()
+                        fits = pairs[key] = self.follows(stretch[at - sizes[-1]:at] if sizes else "", piece)
+                    if fits:
+                        break
                 size -= 1
             if size:
-                laid.append(piece)
+                laid.append(number)
+                sizes.append(size)
+                before = number
                 at += size
-                size = longest[at] if at < len(stretch) else 0
+                size = longest[at] if at < end else 0
             else:
                 failed |= 1 << at
                 if not laid:
                     raise ValueError(f"no encoding of {stretch!r}")
-                size = len(laid.pop())
+                laid.pop()
+                size = sizes.pop()
                 at -= size
                 size -= 1
+                before = laid[-1] if laid else START
         return laid
 
     def encode(self, stretch: str) -> bytes:
         """Little-endian 32-bit ids of a stretch."""
-        out: list[int] = []
-        for piece in self.split(stretch):
-            i = self.ids.get(piece)
-            out.extend([i] if i is not None else [self.bytes[b] for b in piece.encode()])
-        return np.array(out, "<i4").tobytes()
+        found = self.split(stretch)
+        if max(found) >= FREE:
+            found = [i for n in found for i in ([n] if n < FREE else [self.bytes[b] for b in chr(n - FREE).encode()])]
+        return struct.pack(f"<{len(found)}i", *found)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: bytes that form no character become U+FFFD each; the first space in front goes."""
