@@ -1,9 +1,10 @@
+import os
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from support import at, rows
+from support import at, plan, rows
 from tideline.catalog import inputs
 from tideline.operators import scd
 from tideline.operators.checks import CheckFailed, require_sound_dimension
@@ -11,7 +12,7 @@ from tideline.operators.ordered import SplitPolicy
 from tideline.operators.scd import Dimension
 from tideline.plans import dimensions
 from tideline.plans.dimensions import CUSTOMERS
-from tideline.sinks import snapshots
+from tideline.sinks import snapshots, zones
 
 DIM = Dimension(("customer_id",), ("name", "email", "address", "risk_level"), "updated_at", ("ingestion_time",))
 SHOWN = ("customer_id", "email", "risk_level", "effective_from", "effective_to", "is_current")
@@ -61,8 +62,8 @@ def test_batching_does_not_show_in_the_dimension(spark, batches, tmp_path):
     root = str(tmp_path / "dim")
     for batch in batches:
         dimensions.maintain(spark, updates(spark, [GOLDEN[i] for i in batch]), root, DIM)
-    assert shown(snapshots.read(spark, root)) == EXPECTED
-    assert snapshots.versions(spark, root) == list(range(1, len(batches) + 1))
+    assert shown(dimensions.read(spark, root)) == EXPECTED
+    assert zones.next_run(spark, root) == len(batches) + 1
 
 
 def test_latest_only_keeps_the_newest_of_a_batch(spark, tmp_path):
@@ -158,9 +159,9 @@ def test_feed_pipeline_by_batch_equals_history_at_once(spark, tables, tmp_path):
     feed = inputs.change_feed(spark, tables)
     parts = [feed.filter("seq % 2 = 0"), feed.filter("seq % 2 = 1")]
     silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
-    dimensions.run_feed(spark, feed.limit(0), parts[0], silver, gold)
-    dimensions.run_feed(spark, parts[0], parts[1], silver, gold)
-    assert rows(snapshots.read(spark, gold)) == rows(dimensions.feed_history(feed))
+    dimensions.run_feed(spark, parts[0], silver, gold, buckets=4)
+    dimensions.run_feed(spark, parts[1], silver, gold)
+    assert rows(dimensions.read(spark, gold)) == rows(dimensions.feed_history(feed))
 
 
 def test_unsound_dimension_is_not_published(spark, tmp_path):
@@ -172,31 +173,143 @@ def test_unsound_dimension_is_not_published(spark, tmp_path):
     assert snapshots.publish(stored, root) == 2 and snapshots.versions(spark, root) == [2]
 
 
-def test_updates_outlive_the_snapshot_they_led_to(spark, tmp_path, monkeypatch):
-    """Old snapshots are removed, one run fails in between: the history is that of the published runs."""
+def test_updates_outlive_old_pointers_and_failed_runs(spark, tmp_path, monkeypatch):
+    """Old pointers are removed, one run fails in between: the history is that of the published runs."""
     root = str(tmp_path / "dim")
     for i in range(3):
         dimensions.maintain(spark, updates(spark, GOLDEN[i:i + 1]), root, DIM)
-    shutil.rmtree(snapshots.folder(root, 1))
-    shutil.rmtree(snapshots.folder(root, 2))
+    shutil.rmtree(snapshots.folder(f"{root}/pointer", 1))
+    shutil.rmtree(snapshots.folder(f"{root}/pointer", 2))
 
     def fails(*args):
-        raise CheckFailed("not sound")
+        raise CheckFailed("not published")
 
     with monkeypatch.context() as broken:
-        broken.setattr(dimensions, "require_sound_dimension", fails)
+        broken.setattr(zones, "publish", fails)
         with pytest.raises(CheckFailed):
-            dimensions.maintain(spark, updates(spark, [(*GOLDEN[3][:1], "never", *GOLDEN[3][2:])]), root, DIM)
-    assert dimensions.maintain(spark, updates(spark, GOLDEN[3:5]), root, DIM) == 5
-    shutil.rmtree(snapshots.folder(root, 3))
-    shutil.rmtree(snapshots.folder(root, 4))  # what the failed run left
+            dimensions.maintain(spark, updates(spark, [("K5", "never", *GOLDEN[3][2:]), (*GOLDEN[3][:1], "never", *GOLDEN[3][2:])]), root, DIM)
+    assert dimensions.maintain(spark, updates(spark, GOLDEN[3:5]), root, DIM) == 4
     dimensions.maintain(spark, updates(spark, GOLDEN[5:]), root, DIM)
-    assert shown(snapshots.read(spark, root)) == EXPECTED
-    assert "never" not in {r["name"] for r in snapshots.read(spark, root).collect()}
+    assert shown(dimensions.read(spark, root)) == EXPECTED
+    assert "never" not in {r["name"] for r in dimensions.read(spark, root).collect()}
+
+
+def test_an_unsound_history_is_not_published(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "dim")
+    dimensions.maintain(spark, updates(spark, GOLDEN[:2]), root, DIM)
+    twice = scd.build_history(updates(spark, GOLDEN[2:3]), DIM)
+    with monkeypatch.context() as broken:
+        broken.setattr(scd, "build_history", lambda *args: twice.union(twice))
+        with pytest.raises(CheckFailed):
+            dimensions.maintain(spark, updates(spark, GOLDEN[2:3]), root, DIM)
+    assert shown(dimensions.read(spark, root)) == shown(scd.build_history(updates(spark, GOLDEN[:2]), DIM))
+
+
+def files(root):
+    """Every data file below a folder with its time and size."""
+    return {
+        os.path.join(d, f): (os.stat(os.path.join(d, f)).st_mtime_ns, os.stat(os.path.join(d, f)).st_size)
+        for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")
+    }
+
+
+@pytest.fixture(scope="module")
+def large_dimension(spark, tables, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("dimension") / "dim")
+    log = inputs.customer_updates(spark, tables)
+    dimensions.maintain(spark, log.filter("updated_at < '1999-01-01'"), root, CUSTOMERS, buckets=8)
+    return root, log
+
+
+def test_a_run_leaves_the_files_of_untouched_months_alone(spark, large_dimension, tmp_path):
+    """New versions add folders; a late update writes its own month again and no other."""
+    first, log = large_dimension
+    root = str(tmp_path / "dim")
+    shutil.copytree(first, root)
+    before, months = files(root), set(zones.current(spark, root).parts("closed"))
+    some = log.filter("customer_id % 50 = 1")
+    dimensions.maintain(spark, some.filter("updated_at >= '1999-01-01'"), root, CUSTOMERS)
+    assert {f: v for f, v in files(root).items() if f in before} == before
+    second = zones.current(spark, root)
+    assert all(second.parts("closed")[m] == [1] for m in months if m < 199812)
+    assert any(runs == [2] or runs == [1, 2] for runs in second.parts("closed").values())
+
+    # An update inside one closed version: only the month in which that version ended loses a row.
+    version = dimensions.read(spark, root).filter("not is_current").orderBy("effective_from", "customer_id").first()
+    late = log.limit(1).select(
+        *[F.lit(version[c]).alias(c) for c in ("customer_id", "name", "email", "address")], F.lit("NONE").alias("risk_level"),
+        F.expr(f"TIMESTAMP_NTZ'{version['effective_from']}' + INTERVAL 1 SECOND").alias("updated_at"), "ingestion_time", F.lit(0).cast("long").alias("seq"),
+    )
+    dimensions.maintain(spark, late, root, CUSTOMERS)
+    third = zones.current(spark, root)
+    ended = version["effective_to"].year * 100 + version["effective_to"].month
+    began = version["effective_from"].year * 100 + version["effective_from"].month
+    changed = {m for m in set(second.parts("closed")) | set(third.parts("closed")) if second.parts("closed").get(m) != third.parts("closed").get(m)}
+    assert changed == {ended, began} and third.parts("closed")[ended] == [3]
+    assert third.parts("open") == second.parts("open")
+    log_so_far = log.filter("updated_at < '1999-01-01' or customer_id % 50 = 1").unionByName(late)
+    assert rows(dimensions.read(spark, root)) == rows(scd.build_history(log_so_far, CUSTOMERS))
+
+
+def test_the_log_is_read_from_the_buckets_of_the_batch(spark, large_dimension):
+    root, log = large_dimension
+    layout, part = zones.current(spark, root), dimensions._bucket(["customer_id"], 8)
+    wanted = [r[0] for r in log.filter("customer_id = 7").select(part.alias("p")).distinct().collect()]
+    read = zones.read(spark, root, "log", layout, wanted)
+    shown_plan = plan(read)
+    assert "PartitionFilters: [isnotnull(part" in shown_plan or "PartitionFilters: [(part" in shown_plan or "PartitionFilters: [part" in shown_plan
+    assert len(read.inputFiles()) < len(zones.read(spark, root, "log", layout).inputFiles())
+    assert all(f"part={wanted[0]}/" in f for f in read.inputFiles())
+    assert read.filter("customer_id = 7").count() == log.filter("customer_id = 7 and updated_at < '1999-01-01'").count()
+
+
+def test_as_of_reads_no_month_that_ended_before(spark, large_dimension):
+    root, log = large_dimension
+    got = dimensions.read_as_of(spark, root, "1997-06-15 00:00:00")
+    months = {int(f.split("part=")[1].split("/")[0]) for f in got.inputFiles() if "/closed/" in f}
+    assert months and min(months) >= 199706
+    history = scd.build_history(log.filter("updated_at < '1999-01-01'"), CUSTOMERS)
+    assert rows(got) == rows(scd.as_of(history, "1997-06-15 00:00:00"))
+
+
+def test_a_part_of_many_folders_becomes_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zones, "MOST_FOLDERS", 3)
+    root = str(tmp_path / "dim")
+    for i in (0, 1, 2, 5, 6, 3):
+        dimensions.maintain(spark, updates(spark, GOLDEN[i:i + 1]), root, DIM, buckets=1)
+    layout = zones.current(spark, root)
+    assert all(len(runs) <= 3 for parts in layout.folders.values() for runs in parts.values())
+    assert shown(dimensions.read(spark, root)) == EXPECTED
+    left = zones.unlisted(spark, root, layouts=1)
+    assert left
+    for folder in left:
+        shutil.rmtree(folder)
+    assert shown(dimensions.read(spark, root)) == EXPECTED
+
+
+def test_a_feed_without_rows_gives_an_empty_dimension(spark, tmp_path):
+    root = str(tmp_path / "dim")
+    dimensions.maintain(spark, updates(spark, GOLDEN).limit(0), root, DIM)
+    assert dimensions.read(spark, root).count() == 0 and dimensions.read(spark, root).columns == DIM.columns
+    dimensions.maintain(spark, updates(spark, GOLDEN), root, DIM)
+    assert shown(dimensions.read(spark, root)) == EXPECTED
+
+
+def test_null_keys_and_replays_change_nothing_else(spark, tmp_path):
+    root = str(tmp_path / "dim")
+    nameless = [(None, *r[1:]) for r in GOLDEN[:3]]
+    dimensions.maintain(spark, updates(spark, nameless[:2] + GOLDEN[:4]), root, DIM, buckets=2)
+    once = zones.current(spark, root).folders
+    dimensions.maintain(spark, updates(spark, GOLDEN[:4]), root, DIM)
+    again = zones.current(spark, root).folders
+    assert (again["open"], again["closed"]) == (once["open"], once["closed"])
+    dimensions.maintain(spark, updates(spark, nameless[2:] + GOLDEN[4:]), root, DIM)
+    got = dimensions.read(spark, root)
+    assert shown(got) == shown(scd.build_history(updates(spark, nameless + GOLDEN), DIM))
 
 
 def test_changed_only_leaves_unknown_keys_out(spark, tmp_path):
     root = str(tmp_path / "dim")
     dimensions.maintain(spark, updates(spark, GOLDEN[:1]), root, DIM)
     dimensions.maintain(spark, updates(spark, GOLDEN[1:3]), root, DIM, insert_new=False)
-    assert {r[0] for r in rows(snapshots.read(spark, root))} == {"K7"}
+    assert {r[0] for r in rows(dimensions.read(spark, root))} == {"K7"}

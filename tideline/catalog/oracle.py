@@ -347,6 +347,11 @@ _MERGED_CLAUSES = f"""
             FROM part WHERE p_partkey % 17 <> 0"""
 
 
+_AS_OF = _sql("fx_updates all_dim", """
+    SELECT * FROM all_dim WHERE effective_from <= TIMESTAMP '1997-03-01 00:00:00'
+        AND (effective_to IS NULL OR effective_to > TIMESTAMP '1997-03-01 00:00:00')""")
+
+
 def statements() -> dict[str, str]:
     revenue_inputs = "fx_orders fx_payments fx_refunds fx_rates"
     next_dim = "fx_updates fx_first fx_next dim newest current"
@@ -441,9 +446,8 @@ def statements() -> dict[str, str]:
             WHERE c.is_current AND l.updated_at < c.effective_from"""),
         "scd2_late_fix": _sql("fx_updates", _history("fx_updates")),
         "scd2_late_split": _sql("fx_updates fx_ontime fx_behind ontime_dim", _LATE_SPLIT),
-        "scd2_as_of": _sql("fx_updates all_dim", """
-            SELECT * FROM all_dim WHERE effective_from <= TIMESTAMP '1997-03-01 00:00:00'
-                AND (effective_to IS NULL OR effective_to > TIMESTAMP '1997-03-01 00:00:00')"""),
+        "scd2_as_of": _AS_OF,
+        "customer_dimension_as_of": _AS_OF,
         "scd2_multi_active": _sql("fx_updates all_dim faulty", """
             SELECT customer_id, CAST(sum(CAST(is_current AS INTEGER)) AS BIGINT) AS active_count FROM faulty
             GROUP BY customer_id HAVING sum(CAST(is_current AS INTEGER)) > 1"""),

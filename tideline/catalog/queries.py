@@ -30,6 +30,8 @@ FEED_SPLIT = "1998-06-01 00:00:00"
 LATE_NOW = "2000-01-01 00:00:00"
 AS_OF = "1997-03-01 00:00:00"
 SALTS = 8
+# Buckets of the keys of a stored dimension; more of them suit larger tables.
+FEW_BUCKETS = 8
 # The skewed input has one user with nine events in ten.
 HEAVY_SHARE = 0.01
 
@@ -536,9 +538,18 @@ def customer_dimension_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First load, then one batch with new, changed and late rows; checked before each publish."""
     root = working_folder(spark, "customers")
     updates = _updates(spark, sf_dir)
-    dimensions.maintain(spark, inputs.is_first_load(updates), root, CUSTOMERS)
+    dimensions.maintain(spark, inputs.is_first_load(updates), root, CUSTOMERS, buckets=FEW_BUCKETS)
     dimensions.maintain(spark, inputs.is_next_batch(updates), root, CUSTOMERS)
-    return snapshots.read(spark, root)
+    return dimensions.read(spark, root)
+
+
+def customer_dimension_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published dimension at one moment, from the months that end after it; the updates came in four batches."""
+    root = working_folder(spark, "customers")
+    for quarter in range(4):
+        batch = _updates(spark, sf_dir).filter(F.pmod(F.xxhash64("seq"), F.lit(4)) == quarter)
+        dimensions.maintain(spark, batch, root, CUSTOMERS, buckets=FEW_BUCKETS)
+    return dimensions.read_as_of(spark, root, AS_OF)
 
 
 def change_feed_silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -558,9 +569,9 @@ def change_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "feed")
     feed = inputs.change_feed(spark, sf_dir)
     even, odd = feed.filter(F.col("seq") % 2 == 0), feed.filter(F.col("seq") % 2 == 1)
-    dimensions.run_feed(spark, feed.filter(F.lit(False)), even, f"{root}/silver", f"{root}/gold")
-    dimensions.run_feed(spark, even, odd, f"{root}/silver", f"{root}/gold")
-    return snapshots.read(spark, f"{root}/gold")
+    dimensions.run_feed(spark, even, f"{root}/silver", f"{root}/gold", FEW_BUCKETS)
+    dimensions.run_feed(spark, odd, f"{root}/silver", f"{root}/gold")
+    return dimensions.read(spark, f"{root}/gold")
 
 
 def _dated_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -598,7 +609,7 @@ ALL: tuple[Query, ...] = (
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
     compact_and_cluster, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
     stream_sessions, stream_preagg_rollup, stream_append, stream_audit,
-    stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, change_feed_silver_run, change_feed_run,
+    stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, customer_dimension_as_of, change_feed_silver_run, change_feed_run,
     skew_safe_output, tuned_join_output, flat_join_output,
 )
 

@@ -1,17 +1,19 @@
-"""Dimension pipelines: one plan from one snapshot, checked, then published once."""
+"""Dimension pipelines: what a batch changes, checked, then published once."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import cdc, scd
 from tideline.operators.checks import require_sound_dimension
+from tideline.operators.ordered import null_safe
 from tideline.operators.scd import Dimension
 from tideline.session import written
-from tideline.sinks import snapshots
+from tideline.sinks import snapshots, zones
 from tideline.sources.incremental import newer_than
 
 CUSTOMERS = Dimension(
@@ -19,6 +21,7 @@ CUSTOMERS = Dimension(
 )
 PRODUCTS = Dimension(("product_id",), ("product_name", "category", "price", "status"), "updated_at")
 CITIES = Dimension(("customer_id",), ("city",), "event_time", ("seq",))
+_FRESH, _SIDE = "__fresh", "__side"
 
 
 def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_new: bool = True) -> DataFrame:
@@ -33,72 +36,110 @@ def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_
     return scd.apply_updates(dimension, updates, dim, insert_new)
 
 
-_RUN = re.compile(r"^run-(\d{9})$")
+BUCKETS = 64
+OPEN, CLOSED, LOG = "open", "closed", "log"
 
 
-def _run_folder(log: str, number: int) -> str:
-    return f"{log}/run-{number:09d}"
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _committed_runs(spark: SparkSession, root: str, log: str) -> list[str]:
-    """Folders of the runs whose snapshot was published, oldest first, whether or not it still exists.
+def _month(time: str) -> Column:
+    return (F.year(time) * 100 + F.month(time)).cast("int")
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    return zones.exists(spark, root) or snapshots.exists(spark, root)
+
+
+def read(spark: SparkSession, root: str) -> DataFrame:
+    """All versions of the dimension at ``root``."""
+    if not zones.exists(spark, root):
+        return snapshots.read(spark, root)
+    layout = zones.current(spark, root)
+    return zones.read(spark, root, OPEN, layout).unionByName(zones.read(spark, root, CLOSED, layout))
 
-    A run is marked by the first one after it, which still finds its snapshot:
-    that is the newest then. The log of a failed run gets no marker.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(log).getFileSystem(spark._jsc.hadoopConfiguration())
-    marker = lambda number: path(_run_folder(log, number), "_COMMITTED")
-    published = snapshots.versions(spark, root)
-    for number in published:
-        if not fs.exists(marker(number)):
-            if not fs.exists(path(_run_folder(log, number))):
-                raise FileNotFoundError(f"no updates of snapshot {number} under {log}")
-            fs.create(marker(number)).close()
-    found = [_RUN.match(status.getPath().getName()) for status in fs.listStatus(path(log))]
-    numbers = sorted(int(m.group(1)) for m in found if m)
-    return [_run_folder(log, n) for n in numbers if n in published or fs.exists(marker(n))]
+
+def read_as_of(spark: SparkSession, root: str, when: datetime | str) -> DataFrame:
+    """Versions in force at ``when``; months of versions that had ended by then are not read."""
+    if not zones.exists(spark, root):
+        return scd.as_of(read(spark, root), when)
+    layout = zones.current(spark, root)
+    at = datetime.fromisoformat(str(when))
+    later = [m for m in layout.parts(CLOSED) if m >= at.year * 100 + at.month]
+    versions = zones.read(spark, root, OPEN, layout).unionByName(zones.read(spark, root, CLOSED, layout, later))
+    return scd.as_of(versions, when)
 
 
 def maintain(
     spark: SparkSession, updates: DataFrame, root: str, dim: Dimension, boundary=None, insert_new: bool = True,
-    latest_only: bool = False,
+    latest_only: bool = False, deleted: Column | None = None, extra: Sequence[str] = (), buckets: int = BUCKETS,
 ) -> int:
-    """Load or advance the dimension at ``root`` with updates newer than ``boundary``.
+    """Load or advance the dimension at ``root`` with updates newer than ``boundary``; returns the run's number.
 
     Every update of a key becomes part of its history, so the result is the
     same however the updates are cut into batches and in whatever order these
-    arrive. The updates of each run are kept beside the dimension, under the
-    number of the snapshot they lead to: a failed run writes its part again,
-    and the history of the keys in a batch is rebuilt from all of their updates.
-    Those of a published run count even when its snapshot has been removed.
+    arrive. ``read`` gives the dimension. It has three zones, published together:
+
+    - open versions and the log of all updates, each by bucket of the key,
+    - closed versions by the month they end in.
+
+    A run reads the log of the keys in its batch, from their buckets only, and
+    builds their histories without and with the batch. What differs is all that
+    is written: months that only gain versions get a folder more and keep their
+    files, and only a month that loses a version (a late update split it) is
+    written again. The check looks at the keys of the batch; all others are as they were when checked before.
+
+    ``deleted`` marks updates that end a version and open none; ``extra`` names
+    the columns it needs. ``buckets`` counts for the first run and is then kept.
 
     ``latest_only=True`` keeps no updates and looks at the newest one of each
     key in a batch (and at late ones): cheaper, but batching then shows in the history.
     ``insert_new=False`` is the changed-only variant: unknown keys are left out.
     """
     batch = newer_than(updates, boundary)
-    known = snapshots.exists(spark, root)
-    check = lambda d: require_sound_dimension(d, dim.keys)
     if latest_only:
+        known = snapshots.exists(spark, root)
         content = next_state(snapshots.read(spark, root), batch, dim, insert_new) if known else scd.initial_load(batch, dim)
-        return snapshots.publish(content, root, check=check)
-    if known and not insert_new:
-        stored = snapshots.read(spark, root).select(*dim.keys).distinct()
-        batch = batch.join(stored, list(dim.keys), "left_semi")
-    log = f"{root.rstrip('/')}-updates"
-    path = _run_folder(log, snapshots.next_number(spark, root))
-    earlier = _committed_runs(spark, root, log) if known else []
-    columns = list(dict.fromkeys([*dim.keys, *dim.tracked, dim.time, *dim.tiebreak]))
-    batch.select(*columns).write.mode("overwrite").parquet(path)
-    batch = spark.read.schema(batch.select(*columns).schema).parquet(path)
-    if not known:
-        content = scd.build_history(batch, dim)
-    else:
-        content = scd.rebuild_from_log(
-            snapshots.read(spark, root), spark.read.schema(batch.schema).parquet(*earlier), batch, dim
-        )
-    return snapshots.publish(content, root, check=check)
+        return snapshots.publish(content, root, check=lambda d: require_sound_dimension(d, dim.keys))
+    layout, run = zones.current(spark, root), zones.next_run(spark, root)
+    first = not layout.notes
+    buckets = buckets if first else int(layout.notes["buckets"])
+    part = _bucket(dim.keys, buckets)
+    columns = list(dict.fromkeys([*dim.keys, *dim.tracked, dim.time, *dim.tiebreak, *extra]))
+    # The bucket is a hash of the key, so later batches take the column types of the first one.
+    kinds = batch.select(*columns).schema if first else layout.schema(LOG)
+    batch = written(batch.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in columns]), "batch")
+    if first:
+        layout.notes["buckets"] = str(buckets)
+        layout.note_schema(LOG, batch.schema)
+    touched_parts = [r[0] for r in batch.select(part.alias(zones.PART)).distinct().collect()]
+    log = zones.read(spark, root, LOG, layout, touched_parts)
+    if not first and not insert_new:
+        batch = written(batch.join(log.select(*dim.keys).distinct(), list(dim.keys), "left_semi"), "batch")
+
+    touched = batch.select(*[F.col(k).alias(f"__touched_{k}") for k in dim.keys]).distinct()
+    earlier = log.join(touched, null_safe([(k, f"__touched_{k}") for k in dim.keys]), "left_semi")
+    points = written(
+        earlier.withColumn(_FRESH, F.lit(False)).unionByName(batch.withColumn(_FRESH, F.lit(True))), "touched-updates"
+    )
+    after = written(scd.build_history(points, dim, deleted), "touched-history")
+    require_sound_dimension(after, dim.keys)
+    if first:
+        layout.note_schema(OPEN, after.schema)
+        layout.note_schema(CLOSED, after.schema)
+    before = scd.build_history(points.filter(~F.col(_FRESH)), dim, deleted)
+    # A version that is there before and after counts 0 and is left alone.
+    sides = before.withColumn(_SIDE, F.lit(-1)).unionByName(after.withColumn(_SIDE, F.lit(1)))
+    differing = written(sides.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE)).filter(F.col(_SIDE) != 0), "differing-versions")
+
+    none = batch.filter(F.lit(False))
+    zones.change(spark, root, LOG, layout, run, batch, none, part, list(dim.keys))
+    for zone, own, place in ((OPEN, F.col(scd.CURRENT), part), (CLOSED, ~F.col(scd.CURRENT), _month(scd.TO))):
+        rows = differing.filter(own)
+        added, removed = (rows.filter(side).drop(_SIDE) for side in (F.col(_SIDE) > 0, F.col(_SIDE) < 0))
+        zones.change(spark, root, zone, layout, run, added, removed, place, [*dim.keys, scd.FROM])
+    return zones.publish(spark, root, layout)
 
 
 def feed_history(events: DataFrame, dim: Dimension = CITIES) -> DataFrame:
@@ -106,22 +147,17 @@ def feed_history(events: DataFrame, dim: Dimension = CITIES) -> DataFrame:
     return scd.build_history(cdc.valid_operations(events), dim, F.col("operation") == cdc.DELETE)
 
 
-def run_feed(spark: SparkSession, log: DataFrame, batch: DataFrame, silver_root: str, gold_root: str) -> None:
+def run_feed(spark: SparkSession, batch: DataFrame, silver_root: str, gold_root: str, buckets: int = BUCKETS) -> None:
     """Bring the latest-state table and the history table up to date with ``batch``.
 
-    ``log`` is the stored change feed before ``batch``. The history of the keys
-    in the batch is rebuilt from it, so late events and deletes end up in place.
+    The history keeps the events it was built from, so late events and deletes
+    of any batch end up in place. ``read`` gives it.
     """
     dim = CITIES
     first = not snapshots.exists(spark, silver_root)
     state = cdc.empty_state(batch, dim.keys, dim.tracked, dim.time, dim.tiebreak) if first else snapshots.read(spark, silver_root)
     snapshots.publish(cdc.apply_feed(state, batch, dim.keys, dim.tracked, dim.time, dim.tiebreak), silver_root)
-
-    if not snapshots.exists(spark, gold_root):
-        history = feed_history(log.unionByName(batch))
-    else:
-        history = scd.rebuild_from_log(
-            snapshots.read(spark, gold_root), cdc.valid_operations(log), cdc.valid_operations(batch), dim,
-            F.col("operation") == cdc.DELETE,
-        )
-    snapshots.publish(history, gold_root, check=lambda d: require_sound_dimension(d, dim.keys))
+    maintain(
+        spark, cdc.valid_operations(batch), gold_root, dim, deleted=F.col("operation") == cdc.DELETE, extra=("operation",),
+        buckets=buckets,
+    )
