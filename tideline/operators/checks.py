@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tideline.operators.ordered import SplitPolicy
 from tideline.operators.scd import multiple_active, overlapping
 
 
@@ -20,6 +21,6 @@ def require_empty(offending: DataFrame, message: str) -> None:
         raise CheckFailed(f"{message}: {sample[0].asDict()}")
 
 
-def require_sound_dimension(dimension: DataFrame, keys: Sequence[str]) -> None:
+def require_sound_dimension(dimension: DataFrame, keys: Sequence[str], split: SplitPolicy | None = SplitPolicy()) -> None:
     require_empty(multiple_active(dimension, keys), "several active versions of one key")
-    require_empty(overlapping(dimension, keys), "overlapping versions")
+    require_empty(overlapping(dimension, keys, split), "overlapping versions")

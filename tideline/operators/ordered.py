@@ -62,6 +62,13 @@ class Groups:
         return self.rows.drop(SLICE, SLICES)
 
 
+def has_heavy_key(df: DataFrame, keys: Sequence[str], policy: SplitPolicy = SplitPolicy()) -> bool:
+    """Whether a key of ``df`` would be cut: one job over the keys, for several windows over the same rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    size = counts.agg(F.sum("__n").alias("total"), F.max("__n").alias("largest")).first()
+    return (size["largest"] or 0) > max(policy.min_rows, (size["total"] or 0) * policy.max_share)
+
+
 def window_groups(
     df: DataFrame, keys: Sequence[str], along: str, policy: SplitPolicy | None = SplitPolicy(),
     profile_of: DataFrame | None = None,

@@ -7,10 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators import cdc, scd
 from tideline.operators.checks import require_sound_dimension
-from tideline.operators.ordered import null_safe
+from tideline.operators.ordered import SplitPolicy, has_heavy_key, null_safe
 from tideline.operators.scd import Dimension
 from tideline.session import written
 from tideline.sinks import snapshots, zones
@@ -21,7 +22,8 @@ CUSTOMERS = Dimension(
 )
 PRODUCTS = Dimension(("product_id",), ("product_name", "category", "price", "status"), "updated_at")
 CITIES = Dimension(("customer_id",), ("city",), "event_time", ("seq",))
-_FRESH, _SIDE = "__fresh", "__side"
+_SIDE = "__side"
+ARRIVED = "arrived_in_run"
 
 
 def next_state(dimension: DataFrame, updates: DataFrame, dim: Dimension, insert_new: bool = True) -> DataFrame:
@@ -104,42 +106,51 @@ def maintain(
         return snapshots.publish(content, root, check=lambda d: require_sound_dimension(d, dim.keys))
     layout, run = zones.current(spark, root), zones.next_run(spark, root)
     first = not layout.notes
-    buckets = buckets if first else int(layout.notes["buckets"])
-    part = _bucket(dim.keys, buckets)
     columns = list(dict.fromkeys([*dim.keys, *dim.tracked, dim.time, *dim.tiebreak, *extra]))
-    # The bucket is a hash of the key, so later batches take the column types of the first one.
-    kinds = batch.select(*columns).schema if first else layout.schema(LOG)
-    batch = written(batch.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in columns]), "batch")
+    batch = batch.select(*columns)
     if first:
         layout.notes["buckets"] = str(buckets)
-        layout.note_schema(LOG, batch.schema)
-    touched_parts = [r[0] for r in batch.select(part.alias(zones.PART)).distinct().collect()]
-    log = zones.read(spark, root, LOG, layout, touched_parts)
+        layout.note_schema(LOG, T.StructType([*batch.schema.fields, T.StructField(ARRIVED, T.IntegerType())]))
+    part, kinds = _bucket(dim.keys, int(layout.notes["buckets"])), layout.schema(LOG)
+    # The bucket is a hash of the key, so later batches take the column types of the first one.
+    batch = batch.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in columns])
     if not first and not insert_new:
-        batch = written(batch.join(log.select(*dim.keys).distinct(), list(dim.keys), "left_semi"), "batch")
-
-    touched = batch.select(*[F.col(k).alias(f"__touched_{k}") for k in dim.keys]).distinct()
-    earlier = log.join(touched, null_safe([(k, f"__touched_{k}") for k in dim.keys]), "left_semi")
-    points = written(
-        earlier.withColumn(_FRESH, F.lit(False)).unionByName(batch.withColumn(_FRESH, F.lit(True))), "touched-updates"
-    )
-    after = written(scd.build_history(points, dim, deleted), "touched-history")
-    require_sound_dimension(after, dim.keys)
+        batch = written(batch, "batch")
+        parts = [r[0] for r in batch.select(part).distinct().collect()]  # at most `buckets`
+        batch = batch.join(zones.read(spark, root, LOG, layout, parts).select(*dim.keys).distinct(), list(dim.keys), "left_semi")
+
+    crowded = layout.crowded(LOG)
+    arrived = batch.withColumn(ARRIVED, F.lit(run))
+    if crowded:
+        arrived = arrived.unionByName(zones.read(spark, root, LOG, layout, crowded))
+    parts = zones.write(spark, root, run, {LOG: (arrived, part)})[LOG]
+    for p in parts:
+        layout.parts(LOG)[p] = [run] if p in crowded else [*layout.parts(LOG).get(p, []), run]
+    log = zones.read(spark, root, LOG, layout, parts)
+    # Every update of the batch's keys, once for the history without the batch and once for the one with it.
+    fresh = F.col(ARRIVED) == run
+    touched = log.filter(fresh).select(*[F.col(k).alias(f"__touched_{k}") for k in dim.keys]).distinct()
+    points = log.join(touched, null_safe([(k, f"__touched_{k}") for k in dim.keys]), "left_semi")
+    points = points.withColumn(_SIDE, F.explode(F.when(fresh, F.array(F.lit(1))).otherwise(F.array(F.lit(-1), F.lit(1)))))
+    both = Dimension((_SIDE, *dim.keys), dim.tracked, dim.time, dim.tiebreak)
+    split = SplitPolicy() if has_heavy_key(log, dim.keys) else None
+    histories = written(scd.build_history(points, both, deleted, split, log.withColumn(_SIDE, F.lit(1))), "touched-histories")
+    require_sound_dimension(histories.filter(F.col(_SIDE) == 1), dim.keys, split)
     if first:
-        layout.note_schema(OPEN, after.schema)
-        layout.note_schema(CLOSED, after.schema)
-    before = scd.build_history(points.filter(~F.col(_FRESH)), dim, deleted)
-    # A version that is there before and after counts 0 and is left alone.
-    sides = before.withColumn(_SIDE, F.lit(-1)).unionByName(after.withColumn(_SIDE, F.lit(1)))
-    differing = written(sides.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE)).filter(F.col(_SIDE) != 0), "differing-versions")
-
-    none = batch.filter(F.lit(False))
-    zones.change(spark, root, LOG, layout, run, batch, none, part, list(dim.keys))
-    for zone, own, place in ((OPEN, F.col(scd.CURRENT), part), (CLOSED, ~F.col(scd.CURRENT), _month(scd.TO))):
+        for zone in (OPEN, CLOSED):
+            layout.note_schema(zone, histories.drop(_SIDE).schema)
+    # A version that is there without and with the batch counts 0 and is left alone.
+    sums = histories.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE))
+    differing = written(sums.filter(F.col(_SIDE) != 0), "differing-versions")
+
+    def of(own: Column, place: Column) -> zones.Change:
         rows = differing.filter(own)
         added, removed = (rows.filter(side).drop(_SIDE) for side in (F.col(_SIDE) > 0, F.col(_SIDE) < 0))
-        zones.change(spark, root, zone, layout, run, added, removed, place, [*dim.keys, scd.FROM])
-    return zones.publish(spark, root, layout)
+        return zones.Change(added, removed, place, [*dim.keys, scd.FROM])
+
+    current = F.col(scd.CURRENT)
+    zones.change(spark, root, layout, run, {OPEN: of(current, part), CLOSED: of(~current, _month(scd.TO))})
+    return zones.publish(spark, root, run, layout)
 
 
 def feed_history(events: DataFrame, dim: Dimension = CITIES) -> DataFrame:

@@ -1,19 +1,22 @@
 """Tables of several zones whose parts change one by one, published by one pointer.
 
-``<root>/<zone>/run=<n>/part=<p>/`` holds files that run ``n`` wrote once and
-nobody changes. ``<root>/pointer`` is a row of snapshots that list which
-folders make up the table. A run writes its folders first and the pointer last,
-so readers see all of it or nothing, and parts that it leaves alone keep their
-files. A failed run is not listed; its number is used again and its folders
-are overwritten. One writer at a time is assumed. The pointer has a row per
-part and folder, which bounds it by the parts and ``MOST_FOLDERS``.
+``<root>/run=<n>/zone=<z>/part=<p>/`` holds files that run ``n`` wrote once and
+nobody changes. ``<root>/pointer-<n>.json`` lists the folders that make up the
+table after run ``n``. A run writes its folders first and its pointer last (by
+renaming it into place), so readers see all of it or nothing, and parts that it
+leaves alone keep their files. A failed run has no pointer; its number is used
+again and its folders are overwritten. One writer at a time is assumed. The
+pointer has an entry per part and folder, which bounds it by the parts and
+``MOST_FOLDERS``.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +24,16 @@ from pyspark.sql import types as T
 
 from tideline.operators.ordered import null_safe
 from tideline.operators.partitions import balanced
-from tideline.sinks import snapshots
 
-PART = "part"
-#: A part of more folders than this is rewritten as one by the next run that adds to it.
+ZONE, PART = "zone", "part"
+#: A part of this many folders is written again as one by the next run that adds to it.
 MOST_FOLDERS = 16
-_POINTER = "zone string, part int, run int, note string"
+_POINTER = re.compile(r"^pointer-(\d{9})\.json$")
 
 
 @dataclass
 class Layout:
-    """The folders of a table: ``{zone: {part: runs}}``, and what was noted beside them."""
+    """The folders of a table, ``{zone: {part: runs}}``, and what was noted beside them."""
 
     folders: dict[str, dict[int, list[int]]] = field(default_factory=dict)
     notes: dict[str, str] = field(default_factory=dict)
@@ -39,6 +41,9 @@ class Layout:
     def parts(self, zone: str) -> dict[int, list[int]]:
         return self.folders.setdefault(zone, {})
 
+    def crowded(self, zone: str) -> set[int]:
+        return {p for p, runs in self.parts(zone).items() if len(runs) >= MOST_FOLDERS}
+
     def note_schema(self, zone: str, schema: T.StructType) -> None:
         self.notes[f"schema of {zone}"] = schema.json()
 
@@ -46,109 +51,156 @@ class Layout:
         return T.StructType.fromJson(json.loads(self.notes[f"schema of {zone}"]))
 
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/pointer"
+def _files(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    folder, fs = _files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def runs(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the published runs whose pointer is still there, oldest first."""
+    return sorted(int(m.group(1)) for m in map(_POINTER.match, _names(spark, root)) if m)
 
 
 def exists(spark: SparkSession, root: str) -> bool:
-    return snapshots.exists(spark, _pointer(root))
+    return bool(runs(spark, root))
 
 
 def next_run(spark: SparkSession, root: str) -> int:
     """One more than the run that was published last."""
-    known = snapshots.versions(spark, _pointer(root))
+    known = runs(spark, root)
     return known[-1] + 1 if known else 1
 
 
+def _pointer(root: str, run: int) -> str:
+    return f"{root.rstrip('/')}/pointer-{run:09d}.json"
+
+
+def layout_of(spark: SparkSession, root: str, run: int) -> Layout:
+    path, fs = _files(spark, _pointer(root, run))
+    stream = fs.open(path)
+    try:
+        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Layout({z: {int(p): list(r) for p, r in parts.items()} for z, parts in found["folders"].items()}, found["notes"])
+
+
 def current(spark: SparkSession, root: str) -> Layout:
     """The published layout; an empty one before the first run."""
-    layout = Layout()
-    if exists(spark, root):
-        for row in snapshots.read(spark, _pointer(root)).orderBy("zone", "part", "run").collect():
-            if row["part"] is None:
-                layout.notes[row["zone"]] = row["note"]
-            else:
-                layout.parts(row["zone"]).setdefault(row["part"], []).append(row["run"])
-    return layout
+    known = runs(spark, root)
+    return layout_of(spark, root, known[-1]) if known else Layout()
 
 
-def publish(spark: SparkSession, root: str, layout: Layout) -> int:
+def publish(spark: SparkSession, root: str, run: int, layout: Layout) -> int:
     """Make ``layout`` the content of the table."""
-    rows = [(name, None, None, text) for name, text in layout.notes.items()]
-    rows += [(zone, p, run, None) for zone, parts in layout.folders.items() for p, runs in parts.items() for run in runs]
-    return snapshots.publish(spark.createDataFrame(rows, _POINTER).coalesce(1), _pointer(root))
-
-
-def _run_folder(root: str, zone: str, run: int) -> str:
-    return f"{root.rstrip('/')}/{zone}/run={run}"
+    target, fs = _files(spark, _pointer(root, run))
+    draft, _ = _files(spark, _pointer(root, run) + ".draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(json.dumps({"folders": layout.folders, "notes": layout.notes}).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(draft, target):
+        raise FileExistsError(f"run {run} of {root} was published by somebody else")
+    return run
+
+
+def write(
+    spark: SparkSession, root: str, run: int, contents: Mapping[str, tuple[DataFrame, Column]], max_records_per_file: int = 0,
+) -> dict[str, set[int]]:
+    """Write the rows of ``{zone: (rows, part)}`` as folders of ``run``; the parts that got any, by zone.
+
+    The zones of one call have the same columns. Large parts are several files.
+    """
+    frames = [df.withColumns({ZONE: F.lit(zone), PART: part.cast("int")}) for zone, (df, part) in contents.items()]
+    path = f"{root.rstrip('/')}/run={run}"
+    dealt = balanced(reduce(DataFrame.unionByName, frames), ZONE, PART)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+    for zone in contents:  # what a failed run of this number may have left
+        folder, fs = _files(spark, f"{path}/{ZONE}={zone}")
+        fs.delete(folder, True)
+    writer.partitionBy(ZONE, PART).parquet(path)
+    return {
+        zone: {int(n.removeprefix(f"{PART}=")) for n in _names(spark, f"{path}/{ZONE}={zone}") if n.startswith(f"{PART}=")}
+        for zone in contents
+    }
 
 
-def write(df: DataFrame, root: str, zone: str, run: int, part: Column, max_records_per_file: int = 0) -> list[int]:
-    """Write ``df`` as the folders of ``run``; returns the parts it has rows of. Large parts are several files."""
-    spark, path = df.sparkSession, _run_folder(root, zone, run)
-    dealt = balanced(df.withColumn(PART, part.cast("int")), PART)
-    dealt.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy(PART).parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    return sorted(int(n.removeprefix(f"{PART}=")) for n in names if n.startswith(f"{PART}="))
+def _folder(root: str, zone: str, part: int, run: int) -> str:
+    return f"{root.rstrip('/')}/run={run}/{ZONE}={zone}/{PART}={part}"
 
 
 def read(spark: SparkSession, root: str, zone: str, layout: Layout, parts: Iterable[int] | None = None) -> DataFrame:
     """Rows of a zone, or of some parts of it; folders of other parts are not even listed."""
     schema, known = layout.schema(zone), layout.parts(zone)
     wanted = sorted(known if parts is None else set(parts) & set(known))
-    folders = [f"{_run_folder(root, zone, run)}/{PART}={p}" for p in wanted for run in known[p]]
+    folders = [_folder(root, zone, p, run) for p in wanted for run in known[p]]
     if not folders:
         return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-    base = f"{root.rstrip('/')}/{zone}"
-    return spark.read.schema(stored).option("basePath", base).parquet(*folders).filter(F.col(PART).isin(wanted)).select(*schema.names)
+    found = spark.read.schema(stored).option("basePath", root.rstrip("/")).parquet(*folders)
+    return found.filter(F.col(PART).isin(wanted)).select(*schema.names)
+
+
+@dataclass
+class Change:
+    """Rows that join and leave a zone. The part of a row follows from the columns ``identity``, which tell rows apart."""
+
+    added: DataFrame
+    removed: DataFrame
+    part: Column
+    identity: Sequence[str]
 
 
-def change(
-    spark: SparkSession, root: str, zone: str, layout: Layout, run: int, added: DataFrame, removed: DataFrame, part: Column,
-    identity: list[str], max_records_per_file: int = 0,
-) -> None:
-    """Add rows to a zone and take rows out of it, in ``layout`` and in new folders of ``run``.
+def change(spark: SparkSession, root: str, layout: Layout, run: int, changes: Mapping[str, Change]) -> None:
+    """Carry out changes of zones with the same columns, in ``layout`` and in new folders of ``run``.
 
     Parts that lose rows, and parts of too many folders, are written again; the
-    others only get a folder more. ``identity`` names the columns that tell the
-    stored rows apart (null equals null). ``part`` follows from these columns.
+    others only get a folder more.
     """
-    known = layout.parts(zone)
-    placed = added.select(part.cast("int").alias(PART)).distinct()
-    gone = removed.select(part.cast("int").alias(PART)).distinct()
-    # One row per part, so both lists are as bounded as the pointer is.
-    crowded = {p for p, runs in known.items() if len(runs) >= MOST_FOLDERS}
-    again = {r[0] for r in gone.collect()} | (crowded and crowded & {r[0] for r in placed.collect()})
-    content = added
-    if again & set(known):
-        out = removed.select(*[F.col(c).alias(f"__out_{c}") for c in identity])
-        kept = read(spark, root, zone, layout, again).join(out, null_safe([(c, f"__out_{c}") for c in identity]), "left_anti")
-        content = kept.unionByName(added)
-    written = set(write(content, root, zone, run, part, max_records_per_file))
-    for p in again - written:
-        known.pop(p, None)
-    for p in written:
-        known[p] = [run] if p in again else [*known.get(p, []), run]
-
-
-def unlisted(spark: SparkSession, root: str, layouts: int = 2) -> list[str]:
-    """Folders that none of the newest ``layouts`` pointers lists; nobody who reads those needs them."""
-    versions = snapshots.versions(spark, _pointer(root))[-layouts:]
-    listed: set[str] = set()
-    zones: set[str] = set()
-    for number in versions:
-        for row in snapshots.read(spark, _pointer(root), number).filter(F.col("part").isNotNull()).collect():
-            zones.add(row["zone"])
-            listed.add(f"{_run_folder(root, row['zone'], row['run'])}/{PART}={row['part']}")
+    marks = [
+        df.select(F.lit(zone).alias(ZONE), c.part.cast("int").alias(PART), F.lit(gone).alias("gone"))
+        for zone, c in changes.items() for df, gone in ((c.added, False), (c.removed, True))
+    ]
+    # One row per part at most, so the list is as bounded as the pointer is.
+    touched = reduce(DataFrame.unionByName, marks).groupBy(ZONE, PART).agg(F.max("gone").alias("gone")).collect()
+    again: dict[str, set[int]] = {zone: set() for zone in changes}
+    for row in touched:
+        if row[PART] in layout.parts(row[ZONE]) and (row["gone"] or row[PART] in layout.crowded(row[ZONE])):
+            again[row[ZONE]].add(row[PART])
+    contents = {}
+    for zone, c in changes.items():
+        rows = c.added
+        if again[zone]:
+            out = c.removed.select(*[F.col(k).alias(f"__out_{k}") for k in c.identity])
+            stored = read(spark, root, zone, layout, again[zone])
+            rows = stored.join(out, null_safe([(k, f"__out_{k}") for k in c.identity]), "left_anti").unionByName(rows)
+        contents[zone] = (rows, c.part)
+    if not touched:
+        return
+    for zone, written in write(spark, root, run, contents).items():
+        known = layout.parts(zone)
+        for p in again[zone] - written:
+            known.pop(p)
+        for p in written:
+            known[p] = [run] if p in again[zone] else [*known.get(p, []), run]
+
+
+def unlisted(spark: SparkSession, root: str, newest: int = 2) -> list[str]:
+    """Folders that none of the newest pointers lists; only readers of older ones would miss them."""
+    kept = {
+        _folder(root, zone, p, run)
+        for number in runs(spark, root)[-newest:] for zone, parts in layout_of(spark, root, number).folders.items()
+        for p, numbers in parts.items() for run in numbers
+    }
     found = []
-    for zone in sorted(zones):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{zone}")
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        for run in fs.listStatus(path):
-            for folder in fs.listStatus(run.getPath()):
-                name = f"{root.rstrip('/')}/{zone}/{run.getPath().getName()}/{folder.getPath().getName()}"
-                if folder.getPath().getName().startswith(f"{PART}=") and name not in listed:
-                    found.append(name)
+    for run in (n for n in _names(spark, root) if n.startswith("run=")):
+        for zone in (n for n in _names(spark, f"{root}/{run}") if n.startswith(f"{ZONE}=")):
+            parts = [n for n in _names(spark, f"{root}/{run}/{zone}") if n.startswith(f"{PART}=")]
+            found += [path for n in parts if (path := f"{root.rstrip('/')}/{run}/{zone}/{n}") not in kept]
     return found
