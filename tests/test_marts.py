@@ -141,7 +141,28 @@ def test_a_date_without_orders_left_loses_its_partition(spark, tmp_path):
     rates = spark.sql("SELECT 'C0' AS currency, CAST(1 AS DECIMAL(10,4)) AS fx_rate")
     path = str(tmp_path / "days")
     marts.publish_daily_revenue(orders, payments, refunds, rates, path)
-    assert spark.read.parquet(path).count() == 2
+    assert marts.published_daily_revenue(spark, path).count() == 2
     marts.publish_daily_revenue(moved, payments, refunds, rates, path, "2024-01-04 00:00:00")
     shown = lambda df: rows(df, F.col("order_date").cast("string"), "total_orders", "gross_revenue")
-    assert shown(spark.read.parquet(path)) == shown(marts.daily_revenue(moved, payments, refunds, rates)) == [("2024-01-02", 2, 12.0)]
+    assert shown(marts.published_daily_revenue(spark, path)) == shown(marts.daily_revenue(moved, payments, refunds, rates)) == [("2024-01-02", 2, 12.0)]
+
+
+def test_an_order_without_time_gets_one_later(spark, tmp_path):
+    """A null date is published, refreshed and cleared like any other; untouched months keep their files."""
+    _, payments, refunds, rates = world(spark)
+    kinds = "order_id int, amount decimal(18,2), currency string, order_time timestamp_ntz, ingestion_time timestamp_ntz"
+    paid = spark.createDataFrame([(i * 10, i, Decimal(5), "SUCCESS", at("2024-01-01")) for i in (5, 6, 7)], payments.schema)
+    first = [(5, Decimal(5), "C0", None, at("2024-01-01")), (6, Decimal(6), "C0", at("2024-02-02"), at("2024-01-01")), (7, Decimal(7), "C0", at("2024-03-03"), at("2024-01-01"))]
+    second = [*first, (5, Decimal(5), "C0", at("2000-05-05"), at("2024-06-01")), (7, Decimal(9), "C0", None, at("2024-06-01"))]
+    third = [*second, (7, Decimal(9), "C0", at("2024-03-03"), at("2024-07-01"))]
+    path = str(tmp_path / "days")
+    publish = lambda given, boundary=None: marts.publish_daily_revenue(
+        spark.createDataFrame(given, kinds), paid, refunds, rates, path, boundary)
+    publish(first)
+    untouched = {f for f in spark.read.parquet(path).inputFiles() if "202402" in f}
+    for given, boundary in ((second, "2024-05-01"), (third, "2024-06-15")):
+        publish(given, boundary)
+        full = marts.daily_revenue(spark.createDataFrame(given, kinds), paid, refunds, rates)
+        assert rows(marts.published_daily_revenue(spark, path)) == rows(full)
+        assert untouched <= set(spark.read.parquet(path).inputFiles())
+    assert not any("HIVE_DEFAULT" in f for f in spark.read.parquet(path).inputFiles())

@@ -33,15 +33,19 @@ def _deliveries(again: Column) -> Column:
     return F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
-def clicks_from(events: DataFrame) -> DataFrame:
-    """Clickstream; every tenth event arrives again, changed, five hours later."""
+def clicks_from(events: DataFrame, days_earlier: Column | None = None) -> DataFrame:
+    """Clickstream; every tenth event arrives again, changed, five hours later.
+
+    ``days_earlier`` moves the time of the second delivery back by whole days.
+    """
     second = F.col("delivery") == 1
+    events = events if days_earlier is None else events.withColumn("earlier", days_earlier)
     return events.withColumn("delivery", _deliveries(F.col("event_id") % 10 == 0)).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
         F.when(second, F.lit("click")).otherwise(F.col("event_type")).alias("event_type"),
-        F.col("ts").alias("event_time"),
+        (F.col("ts") if days_earlier is None else F.expr("ts - earlier * delivery * INTERVAL '1' DAY")).alias("event_time"),
         _later("ts", "(event_id % 73 + 5 * delivery)", "HOUR").alias("ingestion_time"),
         F.concat_ws("-", "user_id", F.to_date("ts")).alias("session_id"),
         F.element_at(F.array(F.lit("web"), F.lit("ios"), F.lit("android")), (F.col("event_id") % 3 + 1).cast("int")).alias("device"),
@@ -53,6 +57,11 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks_from(table(spark, sf_dir, "events"))
 
 
+def moving_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clickstream in which every third second delivery dates its event one day earlier, and with it the session."""
+    return clicks_from(table(spark, sf_dir, "events"), F.when(F.col("event_id") % 30 == 0, 1).otherwise(0))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),

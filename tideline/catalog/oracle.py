@@ -169,12 +169,12 @@ def _apply(insert_new: bool) -> str:
         WHERE n.updated_at >= c.effective_from AND n.record_hash <> c.record_hash{added}"""
 
 
-def _sessions(where: str) -> str:
+def _sessions(where: str, deliveries: str = "fx_events") -> str:
     return f"""
         , newest AS (
             SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingestion_time DESC) AS rn
-                FROM fx_events
+                FROM {deliveries}
             ) WHERE rn = 1 AND {where}
         )
         SELECT session_id, user_id, min(event_time) AS session_start, max(event_time) AS session_end,
@@ -513,6 +513,10 @@ def statements() -> dict[str, str]:
         "product_table_run": _sql("fx_sales fx_silver", """
             SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY product_id
                 ORDER BY seq DESC, price DESC, units_sold DESC) AS rn FROM fx_silver) WHERE rn = 1"""),
+        "session_metrics_run": _sql("fx_events fx_products", _sessions("TRUE", """(
+            SELECT * REPLACE (event_time - CASE WHEN CAST(event_id AS BIGINT) % 30 = 0
+                                                 AND ingestion_time = event_time + (CAST(event_id AS BIGINT) % 73 + 5) * INTERVAL '1' HOUR
+                                           THEN INTERVAL '1' DAY ELSE INTERVAL '0' DAY END AS event_time) FROM fx_events)""")),
         "customer_dimension_run": _sql("fx_updates", _history("fx_updates")),
         "change_feed_silver_run": _sql("fx_cdc", _CDC_LATEST),
         "change_feed_run": _sql("fx_cdc", _CDC_HISTORY),

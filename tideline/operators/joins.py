@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.operators.ordered import null_safe
+
 # 32 MB as estimated by the optimizer. The estimate starts from file sizes and
 # filters do not lower it, so it errs towards not broadcasting.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -34,6 +36,13 @@ def dimension_join(
     return fact.join(side, list(keys), how)
 
 
+def rows_of(df: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str = "left_semi", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``df`` whose key is in ``wanted`` (``left_anti``: is not); a null key equals a null key."""
+    renamed = wanted.select(*[F.col(k).alias(f"__wanted_{k}") for k in keys])
+    side = F.broadcast(renamed) if is_small(renamed, limit) else renamed
+    return df.join(side, null_safe([(k, f"__wanted_{k}") for k in keys]), how)
+
+
 def sum_before_join(df: DataFrame, keys: Sequence[str], **sums) -> DataFrame:
     """Reduce the many-rows side to one row per join key: ``total=column`` pairs."""
     return df.groupBy(*keys).agg(*[F.sum(column).alias(name) for name, column in sums.items()])

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import count_where, differs, money, money_out, money_total, parse_timestamp
 from tideline.operators.dedup import latest_per_key, one_per_key, top_per_key
-from tideline.operators.joins import dimension_join, sum_before_join
+from tideline.operators.joins import dimension_join, rows_of, sum_before_join
 from tideline.operators.rolling import daily_totals, rolling_days, rolling_rows
 from tideline.session import written
-from tideline.sinks.layout import clear_partitions, replace_partitions
+from tideline.sinks.layout import replace_partitions, replace_within
 from tideline.sources.incremental import newer_than
 
 # Column types of the daily transaction file, length of the rolling
@@ -20,6 +20,7 @@ TRANSACTION_SCHEMA = (
 )
 FEATURE_DAYS = 30
 MISMATCH_TOLERANCE = 0.01
+MONTH = "order_month"
 
 
 def regional_sales(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -71,11 +72,12 @@ def affected_sessions(events: DataFrame, boundary) -> DataFrame:
     return events.join(touched, "event_id", "left_semi").select("session_id").distinct()
 
 
-def session_metrics(events: DataFrame, products: DataFrame, boundary=None) -> DataFrame:
+def session_metrics(events: DataFrame, products: DataFrame, boundary=None, sessions: DataFrame | None = None) -> DataFrame:
     """Metrics per session of the newest delivery of each event.
 
     With a ``boundary``, the sessions that anything newer touches, each from all
-    of its events, ready to replace what was published of them.
+    of its events, ready to replace what was published of them; ``sessions``
+    gives them where they are known already.
 
     ``total_value`` sums the product price over all events of the session, views
     included. Products that are not active count without price and category.
@@ -83,14 +85,14 @@ def session_metrics(events: DataFrame, products: DataFrame, boundary=None) -> Da
     deliveries = events.select(
         "event_id", "ingestion_time", "session_id", "user_id", "event_time", "event_type", "product_id"
     )
-    sessions = None
-    if boundary is not None:
+    if sessions is None and boundary is not None:
         sessions = written(affected_sessions(events, boundary), "affected-sessions")
-        members = deliveries.join(sessions, "session_id", "left_semi").select("event_id").distinct()
+    if sessions is not None:
+        members = rows_of(deliveries, sessions, ["session_id"]).select("event_id").distinct()
         deliveries = deliveries.join(members, "event_id", "left_semi")
     newest = latest_per_key(deliveries, ["event_id"], ["ingestion_time", "event_time", "event_type"])
     if sessions is not None:
-        newest = newest.join(sessions, "session_id", "left_semi")
+        newest = rows_of(newest, sessions, ["session_id"])
     active = products.filter("is_active").select("product_id", "category", money("price").alias("price"))
     return (
         dimension_join(newest, active, ["product_id"], "left")
@@ -125,7 +127,7 @@ def paid_orders(
         "order_date", F.to_date("order_time")
     )
     if dates is not None:
-        newest_orders = dimension_join(newest_orders, dates, ["order_date"], "left_semi")
+        newest_orders = rows_of(newest_orders, dates, ["order_date"])
     if last_payment_only:
         last = latest_per_key(payments, ["order_id"], ["ingestion_time", "payment_id"])
         paid = last.filter(F.col("payment_status") == "SUCCESS").select("order_id", "paid_amount")
@@ -205,24 +207,38 @@ def daily_revenue_since(orders, payments, refunds, rates, boundary) -> DataFrame
 def _revenue_on(dates: DataFrame, orders, payments, refunds, rates) -> DataFrame:
     """Daily revenue of ``dates`` only. All inputs are cut to the orders that ever fell on them before any dedup."""
     dated = orders.withColumn("order_date", F.to_date("order_time"))
-    ids = written(dimension_join(dated, dates, ["order_date"], "left_semi").select("order_id").distinct(), "affected-orders")
+    ids = written(rows_of(dated, dates, ["order_date"]).select("order_id").distinct(), "affected-orders")
     own = [frame.join(ids, "order_id", "left_semi") for frame in (orders, payments, refunds)]
     return revenue_by_day(paid_orders(*own, rates, dates=dates))
 
 
+def _by_month(days: DataFrame) -> DataFrame:
+    return days.withColumn(MONTH, (F.year("order_date") * 100 + F.month("order_date")).cast("int"))
+
+
+def published_daily_revenue(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(MONTH)
+
+
 def publish_daily_revenue(orders, payments, refunds, rates, path: str, boundary=None) -> None:
-    """Write daily revenue by date: all of it, or the dates that anything newer than ``boundary`` touches.
+    """Write daily revenue by month: all of it, or the dates that anything newer than ``boundary`` touches.
 
-    A date on which no order is left loses its partition. Running it again writes the same.
+    A day is one row, so a partition holds a month of them; a later run reads
+    and replaces the months of the dates it recomputes, and no others. Orders
+    without a time form a date (and a month) of their own. A date on which no
+    order is left goes, and so does a month. Running it again writes the same.
     """
     if boundary is None:
-        replace_partitions(daily_revenue(orders, payments, refunds, rates), path, ["order_date"])
+        replace_partitions(_by_month(daily_revenue(orders, payments, refunds, rates)), path, [MONTH])
         return
     spark = orders.sparkSession
-    dates = written(affected_dates(orders, payments, refunds, boundary), "affected-dates")
-    days = written(_revenue_on(dates, orders, payments, refunds, rates), "daily-revenue")
-    replace_partitions(days, path, ["order_date"])
-    clear_partitions(spark, path, "order_date", dates.join(days, "order_date", "left_anti"))
+    dates = written(_by_month(affected_dates(orders, payments, refunds, boundary)), "affected-dates")
+    days = _by_month(_revenue_on(dates, orders, payments, refunds, rates))
+    months = [r[0] for r in dates.select(MONTH).distinct().collect()]
+    dated = [m for m in months if m is not None]
+    touched = F.col(MONTH).isin(dated) | F.col(MONTH).isNull() if None in months else F.col(MONTH).isin(dated)
+    stored = rows_of(spark.read.parquet(path).filter(touched), dates, ["order_date"], "left_anti")
+    replace_within(spark, stored.select(*days.columns).unionByName(days), path, MONTH, dates)
 
 
 def rolling_features(transactions: DataFrame, users: DataFrame, by_rows: bool = False) -> DataFrame:

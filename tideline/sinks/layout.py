@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.partitions import balanced, clustered
+from tideline.session import written
 from tideline.sinks import snapshots
 
 
+# Fixed value: the folder name of rows without a partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def overwrite(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
@@ -42,10 +47,26 @@ def replace_partitions(
 def clear_partitions(spark: SparkSession, path: str, column: str, values: DataFrame) -> None:
     """Remove the partitions of ``values``, a frame of one column with few rows (dates that have no rows any more)."""
     for row in values.select(F.col(column).cast("string")).toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={row[0]}")
+        name = NULL_PARTITION if row[0] is None else row[0]
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_within(
+    spark: SparkSession, content: DataFrame, path: str, column: str, gone: DataFrame, max_records_per_file: int = 0
+) -> None:
+    """Replace the partitions by ``column`` that ``content`` has, and remove those of ``gone`` that it lacks.
+
+    ``content`` may come from the table itself: it is written aside first.
+    """
+    staged = written(content, "replacement")
+    replace_partitions(staged, path, [column], max_records_per_file)
+    empty = gone.select(column).distinct().join(
+        staged.select(F.col(column).alias("__kept")).distinct(), F.col(column).eqNullSafe(F.col("__kept")), "left_anti"
+    )
+    clear_partitions(spark, path, column, empty)
+
+
 def compact(spark: SparkSession, path: str, root: str, partition_by: tuple[str, ...] = ()) -> int:
     """Rewrite many small files as few of the advisory size, published as a new snapshot."""
     table = spark.read.parquet(path)
