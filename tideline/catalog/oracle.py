@@ -522,6 +522,20 @@ def statements() -> dict[str, str]:
         "change_feed_run": _sql("fx_cdc", _CDC_HISTORY),
         "skew_safe_output": _sql("fx_skewed fx_users", _JOINED_DATED),
         "tuned_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),
+        "tuned_join_salted": _sql("fx_skewed fx_users", _JOINED_DATED),
+        "skew_metrics_run": _sql("fx_skewed fx_users", """
+            , runs AS (
+                SELECT 'run-2' AS run_id, f.user_id FROM fx_skewed f JOIN fx_users u ON f.user_id = u.user_id
+                UNION ALL SELECT 'run-1', f.user_id FROM fx_skewed f JOIN fx_users u ON f.user_id = u.user_id
+                WHERE event_time < TIMESTAMP '2024-01-15 00:00:00'
+            ), counts AS (
+                SELECT run_id, count(*) AS n, row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC) AS place
+                FROM runs GROUP BY run_id, user_id
+            )
+            SELECT run_id, CAST(sum(n) AS BIGINT) AS all_rows, max(n) AS largest_key_rows,
+                   CAST(sum(n) FILTER (place <= 10) AS BIGINT) AS top_rows,
+                   round(sum(n) FILTER (place <= 10) / sum(n), 6) AS top_share
+            FROM counts GROUP BY run_id"""),
         "flat_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),
         "stream_audit": _sql("fx_events fx_newest", """
             SELECT user_id AS merchant_id, CAST(count(*) AS BIGINT) AS published, CAST(count(*) AS BIGINT) AS recomputed,
