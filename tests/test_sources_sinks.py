@@ -1,3 +1,4 @@
+import os
 from pathlib import Path
 
 import pytest
@@ -5,9 +6,10 @@ from pyspark.sql import functions as F
 
 from support import at, plan, rows
 from tideline.catalog import inputs
+from tideline.operators import partitions
 from tideline.plans import medallion, skewjobs
 from tideline.session import working_folder
-from tideline.sinks import audit, evolution, layout, snapshots
+from tideline.sinks import audit, compaction, evolution, layout, snapshots
 from tideline.sources import incremental, tables as readers
 
 
@@ -156,8 +158,76 @@ def test_join_jobs(spark, tables, tmp_path):
     users = inputs.users(spark, tables)
     want = rows(fact.join(users, "user_id"), "event_id", "user_id", "user_segment")
     paths = [str(tmp_path / n) for n in "abc"]
-    skewjobs.skew_safe(fact, users, ["user_id"], ["event_id"], 4, "event_date", paths[0])
-    skewjobs.tuned(fact, users, ["user_id"], ["event_id"], 4, paths[1])
+    skewjobs.skew_safe(fact, users, ["user_id"], ["event_id"], "event_date", paths[0])
+    skewjobs.tuned(fact, users, ["user_id"], ["event_id"], paths[1])
     skewjobs.flat(fact, users, ["user_id"], paths[2])
     for path in paths:
         assert rows(spark.read.parquet(path), "event_id", "user_id", "user_segment") == want
+
+
+def test_large_files_stay_and_small_ones_end_near_the_target(spark, tables, tmp_path):
+    path, orders = str(tmp_path / "t able"), inputs.orders(spark, tables)
+    layout.append(orders.repartition(1), path, ["currency"])
+    large = {f.path: f.size for f in compaction.data_files(spark, path)}
+    target = max(large.values())
+    layout.append(orders.withColumn("order_id", -F.col("order_id")).repartition(9), path, ["currency"])
+    times = {p: os.stat(p.removeprefix("file:")).st_mtime_ns for p in large}
+    small = [f for f in compaction.data_files(spark, path) if f.path not in large]
+    want = rows(spark.read.parquet(path))
+    assert compaction.compact(spark, path, target, 0.5) == len(small) > 20
+    after = compaction.data_files(spark, path)
+    assert rows(spark.read.parquet(path)) == want
+    assert {p: os.stat(p.removeprefix("file:")).st_mtime_ns for p in large} == times
+    new = [f.size for f in after if f.path not in large]
+    assert len(new) <= len(small) / 3 and max(new) < 1.5 * target
+    assert not os.path.exists(f"{path}/_compacting")
+    assert compaction.compact(spark, path, max(new), 0.01) == 0
+
+
+def test_bins_stay_in_their_folder_and_below_the_target():
+    files_ = [compaction.DataFile(f"{d}/{i}", d, size) for d in "ab" for i, size in enumerate([90, 10, 60, 30, 30, 5, 74, 2])]
+    groups = compaction.bins(files_, 100)
+    assert all(len({f.folder for f in g}) == 1 and sum(f.size for f in g) <= 100 and len(g) > 1 for g in groups)
+    assert sorted(f.size for g in groups for f in g) == sorted(2 * [10, 60, 30, 30, 5, 74, 2])
+    assert compaction.bins(files_[:1], 1000) == []
+
+
+@pytest.mark.parametrize("stopped_at", ["delete", "rename"])
+def test_a_compaction_that_stops_is_completed(spark, tmp_path, monkeypatch, stopped_at):
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(10).write.parquet(path)
+    want = rows(spark.read.parquet(path))
+    with monkeypatch.context() as broken:
+        # The journal is written; the swap is not begun.
+        complete, calls = compaction.recover, []
+        broken.setattr(compaction, "recover", lambda s, p: calls.append(p) or (complete(s, p) if len(calls) == 1 else None))
+        compaction.compact(spark, path)
+    assert len(compaction.data_files(spark, path)) == 10 and os.path.exists(f"{path}/_compacting/plan.json")
+    if stopped_at == "rename":  # old files are gone, new ones not there yet
+        for f in compaction.data_files(spark, path):
+            os.remove(f.path.removeprefix("file:"))
+    assert compaction.recover(spark, path)
+    assert rows(spark.read.parquet(path)) == want and len(compaction.data_files(spark, path)) == 1
+
+
+def test_a_curve_prunes_for_either_column(spark, tables, tmp_path):
+    orders = inputs.orders(spark, tables)
+    when = F.lit(at("1997-03-03")).cast("timestamp_ntz")
+    left = {}
+    for name, laid in (("curve", partitions.curve_clustered(orders, ["user_id", "order_time"], 16)), ("range", partitions.clustered(orders, ["user_id", "order_time"], 16))):
+        laid.write.parquet(str(tmp_path / name))
+        table = spark.read.parquet(str(tmp_path / name))
+        assert rows(table) == rows(orders)
+        left[name] = [layout.files_left(table, "user_id", 77)[0], layout.files_left(table, "order_time", when)[0]]
+    assert max(left["curve"]) <= 10 and left["range"][1] > 12
+
+
+def test_curve_ranks_nulls_texts_and_one_value(spark):
+    df = spark.sql("SELECT id, IF(id % 4 = 0, NULL, concat('k', lpad(id, 4, '0'))) AS t, 5 AS same, NULL AS none FROM range(512)")
+    place = partitions.curve_place(df, ["t", "same", "none"], 4)
+    got = df.select("id", "t", place.alias("p")).collect()
+    assert all(r["p"] == 0 for r in got if r["t"] is None)
+    named = sorted((r["t"], r["p"]) for r in got if r["t"] is not None)
+    assert [p for _, p in named] == sorted(p for _, p in named) and len({p for _, p in named}) >= 15
+    assert rows(partitions.curve_clustered(df, ["t", "id"])) == rows(df)
+    assert partitions.curve_clustered(df.limit(0), ["t", "id"]).count() == 0

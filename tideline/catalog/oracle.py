@@ -492,6 +492,13 @@ def statements() -> dict[str, str]:
             SELECT product_id, category, price, is_active, CASE WHEN is_active THEN product_name END AS product_name
             FROM fx_products"""),
         "compact_and_cluster": _sql("fx_orders", f"SELECT * REPLACE ({_money('amount')} AS amount) FROM fx_orders"),
+        "curve_pruning": _sql("fx_orders", """
+            SELECT CAST(count(*) FILTER (user_id = 7) AS BIGINT) AS one_user,
+                   CAST(count(*) FILTER (order_time = TIMESTAMP '1997-03-03 00:00:00') AS BIGINT) AS one_day,
+                   true AS few_files_user, true AS few_files_day FROM fx_orders"""),
+        "compact_small_files": _sql("fx_orders", f"""
+            SELECT currency, CAST(count(*) AS BIGINT) AS order_rows, {_money('sum(amount)')} AS amount, true AS large_kept,
+                   true AS fewer_files FROM fx_orders GROUP BY currency"""),
         "csv_roundtrip": _sql("fx_transactions", "SELECT * FROM fx_transactions"),
         "stream_hourly_metrics": _sql("fx_events fx_newest", _HOURLY),
         "stream_sliding_14d": _windows(14),

@@ -17,7 +17,7 @@ from tideline.operators.ordered import SplitPolicy
 from tideline.plans import dimensions, marts, medallion, sessions, skewjobs, streams
 from tideline.plans.dimensions import CITIES, CUSTOMERS, PRODUCTS
 from tideline.session import working_folder, written
-from tideline.sinks import audit, evolution, layout, snapshots
+from tideline.sinks import audit, compaction, evolution, layout, snapshots
 from tideline.sources import incremental
 from tideline.sources import tables as readers
 from tideline.streaming import aggregates
@@ -399,6 +399,34 @@ def compact_and_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read(spark, f"{root}/clustered").withColumn("amount", money_out("amount"))
 
 
+def curve_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders along a curve through user and time in 64 files: rows of one user, of one day, and whether few files are left for each."""
+    root, orders = working_folder(spark, "curve"), inputs.orders(spark, sf_dir)
+    layout.cluster(orders, root, ["user_id", "order_time"], 64)
+    table, day = snapshots.read(spark, root), F.lit("1997-03-03 00:00:00").cast("timestamp_ntz")
+    counts = table.agg(F.count_if(F.col("user_id") == 7).alias("one_user"), F.count_if(F.col("order_time") == day).alias("one_day"))
+    few = {name: layout.files_left(table, column, value) for name, column, value in (("user", "user_id", 7), ("day", "order_time", day))}
+    return counts.select("*", *[F.lit(2 * left <= files).alias(f"few_files_{name}") for name, (left, files) in few.items()])
+
+
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of a large file and many small ones per currency: the large ones stay, the small ones become few."""
+    path, orders = working_folder(spark, "files"), inputs.orders(spark, sf_dir)
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    layout.append(orders.filter(half == 0).repartition(1), path, ["currency"])
+    large = compaction.data_files(spark, path)
+    layout.append(orders.filter(half == 1).repartition(12), path, ["currency"])
+    before = compaction.data_files(spark, path)
+    replaced = compaction.compact(spark, path, min(f.size for f in large))
+    after = compaction.data_files(spark, path)
+    return spark.read.parquet(path).groupBy("currency").agg(
+        F.count(F.lit(1)).alias("order_rows"), money_out(F.sum("amount")).alias("amount"),
+    ).select(
+        "*", F.lit({f.path for f in large} <= {f.path for f in after}).alias("large_kept"),
+        F.lit(replaced > 0 and 2 * len(after) < len(before)).alias("fewer_files"),
+    )
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "csv")
     inputs.transactions(spark, sf_dir).write.option("header", True).csv(path)
@@ -634,7 +662,7 @@ ALL: tuple[Query, ...] = (
     cdc_scd2_history, scd2_late_detect, scd2_late_fix, scd2_late_split, scd2_as_of, scd2_multi_active, scd2_overlaps,
     key_profile, top_key_share, skew_metrics, salted_join, heavy_key_join, salted_agg, broadcast_join,
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
-    compact_and_cluster, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
+    compact_and_cluster, curve_pruning, compact_small_files, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
     stream_sessions, stream_preagg_rollup, stream_append, stream_audit,
     stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, customer_dimension_as_of, change_feed_silver_run, change_feed_run,
     skew_safe_output, tuned_join_output, tuned_join_salted, skew_metrics_run, flat_join_output,

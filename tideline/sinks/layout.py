@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.partitions import balanced, clustered
+from tideline.operators.partitions import balanced, clustered, curve_clustered
 from tideline.session import written
 from tideline.sinks import snapshots
 
@@ -76,5 +76,14 @@ def compact(spark: SparkSession, path: str, root: str, partition_by: tuple[str,
 def cluster(
     df: DataFrame, root: str, keys: Sequence[str], files: int | None = None, max_records_per_file: int = 0
 ) -> int:
-    """Write sorted by range of ``keys`` so that a key filter skips most files."""
-    return snapshots.publish(clustered(df, keys, files), root, max_records_per_file=max_records_per_file)
+    """Write so that a filter on any of ``keys`` skips most files: sorted by one key, or along a curve through several."""
+    laid = clustered(df, keys, files) if len(keys) == 1 else curve_clustered(df, keys, files)
+    return snapshots.publish(laid, root, max_records_per_file=max_records_per_file)
+
+
+def files_left(table: DataFrame, column: str, value) -> tuple[int, int]:
+    """Files that a filter ``column = value`` leaves by the least and greatest value of each, and all files."""
+    spans = table.groupBy(F.input_file_name()).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    inside = F.lit(value).between(F.col("low"), F.col("high"))
+    found = spans.agg(F.count_if(inside).alias("left"), F.count(F.lit(1)).alias("files")).first()
+    return found["left"], found["files"]
