@@ -5,6 +5,8 @@ from support import at, plan, rows
 from tideline.catalog import inputs
 from tideline.operators import cdc, merge
 from tideline.operators.checks import CheckFailed, require_empty
+from tideline.operators.scd import Dimension
+from tideline.plans import feeds
 
 LIMITS = [32 << 20, 0]
 
@@ -121,3 +123,65 @@ def test_null_keys_match_each_other(spark, limit):
     assert rows(merge.merge(stored, batch, ["k"], update={"n": F.col("t.n") + F.col("s.n")}, insert={"k": "k"}, broadcast_limit=limit)) == [
         (2, "b", 2), (None, "z", 18)
     ]
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("key", [2, None])
+def test_a_repeated_source_key_stops_the_job(spark, target, limit, key):
+    twice = spark.createDataFrame([(key, "B", 21), (key, "B", 22), (4, "D", 41)], "k int, name string, n int")
+    for merged in (
+        lambda: merge.merge(target, twice, ["k"], update={"name": "name"}, broadcast_limit=limit),
+        lambda: merge.merge(target, twice, ["k"], insert={"k": "k"}, insert_when=F.lit(False), broadcast_limit=limit),
+        lambda: merge.upsert(target, twice, ["k"], limit),
+    ):
+        with pytest.raises(Exception, match="several source rows for the key"):
+            merged().collect()
+    assert len(rows(merge.upsert(target, twice.filter("n <> 22"), ["k"], limit))) == len(rows(target)) + 1 + (key is None)
+
+
+def test_the_check_reads_the_source_once(target, source):
+    text = plan(merge.one_row_per_key(source, ["k"]))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("LocalTableScan") <= 1
+
+
+DIM = Dimension(("customer_id",), ("city",), "event_time", ("seq",))
+
+
+def advance(spark, root, events, keep="10 days"):
+    return feeds.advance(spark, events, root, DIM, keep, buckets=4)
+
+
+def test_marks_of_deletes_go_behind_the_horizon_and_old_events_are_refused(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    first = feed(spark, (1, "A", "INSERT", "2024-01-01"), (1, "A", "DELETE", "2024-01-03"), (2, "B", "INSERT", "2024-01-03"))
+    assert advance(spark, root, first) == feeds.Retention("2023-12-24 00:00:00.000000", 0)
+    replay = feed(spark, (1, "A", "INSERT", "2024-01-01"), (2, "Z", "UPDATE", "2024-01-02"))
+    advance(spark, root, replay)
+    assert rows(feeds.live(spark, root, DIM), "customer_id", "city") == [(2, "B")]
+    assert feeds.state(spark, root).filter(cdc.DELETED).count() == 1
+    # A newer event of another key moves the horizon past the mark, whose bucket gets no event.
+    advance(spark, root, feed(spark, (3, "C", "INSERT", "2024-01-20")))
+    assert feeds.state(spark, root).filter(cdc.DELETED).count() == 0
+    late = feed(spark, (1, "A", "INSERT", "2024-01-01"), (4, "D", "INSERT", "2024-01-09"), (5, "E", "INSERT", "2024-01-10"), (6, "F", "NOOP", "2024-01-01"))
+    assert advance(spark, root, late) == feeds.Retention("2024-01-10 00:00:00.000000", 2)
+    assert rows(feeds.live(spark, root, DIM), "customer_id", "city") == [(2, "B"), (3, "C"), (5, "E")]
+
+
+def test_the_state_is_bounded_by_the_horizon(spark, tmp_path):
+    """Every day ten keys come and go: the marks are those of the days kept, however long the feed runs."""
+    root, sizes = str(tmp_path / "feed"), []
+    for day in range(1, 13):
+        keys = [(100 * day + i, "X", o, f"2024-01-{day:02d} {h}") for i in range(10) for o, h in (("INSERT", "01:00"), ("DELETE", "02:00"))]
+        advance(spark, root, feed(spark, *keys), "3 days")
+        sizes.append(feeds.state(spark, root).count())
+    assert max(sizes) <= 40 and sizes[-1] == sizes[5]
+    assert feeds.live(spark, root, DIM).count() == 0
+
+
+def test_events_without_time_and_keys_without_value(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    odd = feed(spark, (1, "A", "INSERT", "2024-01-01"), (None, "N", "INSERT", "2024-01-01"), (None, "M", "UPDATE", "2024-01-02"))
+    untimed = odd.filter("city = 'A'").withColumn("event_time", F.lit(None).cast("timestamp_ntz")).withColumn("city", F.lit("Q"))
+    assert advance(spark, root, odd.unionByName(untimed)).refused == 1
+    advance(spark, root, odd.limit(0))
+    assert rows(feeds.live(spark, root, DIM), "customer_id", "city") == [(1, "A"), (None, "M")]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from support import at, rows
 from tideline.plans import streams
-from tideline.streaming import aggregates, sinks
+from tideline.streaming import aggregates, progress, sinks
 from tideline.streaming.sources import parse_messages, table_stream
 
 
@@ -178,3 +178,57 @@ def test_state_partitions_are_the_configured_ones(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "800"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def activity(spark, *events):
+    return spark.createDataFrame([(u, at(t)) for u, t in events], "user_id long, ts timestamp_ntz")
+
+
+def roll_up_once(spark, root, events):
+    events.write.mode("append").parquet(f"{root}/arriving")
+    stream = table_stream(spark, f"{root}/arriving", events.schema).select("user_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    daily = aggregates.flat_window(aggregates.daily_counts(stream, ["user_id"], "event_timestamp", "90 days"))
+    return streams.roll_up_run(spark, daily, root)
+
+
+def test_a_second_run_refreshes_only_what_changed(spark, tmp_path):
+    root = str(tmp_path)
+    first = activity(spark, (1, "2024-01-01 10:00"), (1, "2024-01-10 10:00"), (1, "2024-01-20 10:00"), (2, "2024-01-02 10:00"), (2, "2024-02-20 10:00"), (None, "2024-01-02 10:00"))
+    second = activity(spark, (1, "2024-01-08 10:00"), (3, "2024-01-09 10:00"), (None, "2024-01-03 10:00"))
+    roll_up_once(spark, root, first)
+    kept = {f for f in streams.rolled_up(spark, root).inputFiles() if "2024-02-20" in f}
+    got = roll_up_once(spark, root, second)
+    both = first.union(second).groupBy("user_id", F.to_date("ts").alias("event_date")).agg(F.count("*").alias("event_count"))
+    want = streams.roll_up(both.withColumn("window_start", F.col("event_date")))
+    assert rows(got, *want.columns) == rows(want)
+    assert kept and kept <= set(got.inputFiles())
+    assert not (tmp_path / "changed").exists()
+    assert rows(roll_up_once(spark, root, second.limit(0)), *want.columns) == rows(want)
+
+
+def test_a_roll_up_that_stops_is_repeated(spark, tmp_path, monkeypatch):
+    root, events = str(tmp_path), activity(spark, (1, "2024-01-01 10:00"), (1, "2024-01-05 10:00"))
+
+    def fails(*args):
+        raise OSError("gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(streams, "replace_within", fails)
+        with pytest.raises(OSError):
+            roll_up_once(spark, root, events)
+    assert rows(roll_up_once(spark, root, events.limit(0)), "rolling_count") == [(1,), (2,)]
+
+
+def test_progress_has_a_row_per_event_and_the_late_rows(spark, topic, tmp_path):
+    for i, time in enumerate(["10:00", "20:00", "19:00", "10:30", "11:30"]):
+        topic.put(message(str(i), "m", 1.0, f"2024-01-01 {time}:00"))
+    events = parse_messages(topic.stream(), streams.MESSAGE_SCHEMA)
+    once = aggregates.distinct_events(events, ["transaction_id"], "event_time", "2 hours")
+    kept = streams.watched_run(spark, once, str(tmp_path / "out"))
+    assert rows(kept, "transaction_id") == [("0",), ("1",), ("2",)]
+    events = progress.progress(spark, str(tmp_path / "out" / "progress"))
+    assert events.filter("input_rows = 1").count() == 5 and events.count() == events.select("run_id", "batch_id").distinct().count()
+    assert rows(progress.late_drops(spark, str(tmp_path / "out" / "progress")), "input_rows", "late_rows_dropped") == [(5, 2)]
+    # A run without news adds events, but no rows.
+    streams.watched_run(spark, once, str(tmp_path / "out"))
+    assert rows(progress.late_drops(spark, str(tmp_path / "out" / "progress")), "input_rows", "late_rows_dropped") == [(5, 2)]

@@ -511,6 +511,18 @@ def statements() -> dict[str, str]:
                            RANGE BETWEEN INTERVAL '13' DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_count
             FROM daily""",
         "stream_append": _CLOSED_HOURS,
+        "stream_late_drops": _sql("fx_events", """
+            , placed AS (
+                SELECT event_time, CAST(greatest(0, floor(date_diff('hour', TIMESTAMP '2024-01-01', ingestion_time) / 72)) AS INTEGER) AS b
+                FROM fx_events
+            ), capped AS (SELECT event_time, least(b, 10) AS b FROM placed),
+            seen AS (SELECT b, max(event_time) AS latest FROM capped GROUP BY b),
+            marks AS (
+                SELECT s.b, (SELECT max(latest) FROM seen o WHERE o.b < s.b - 1) - INTERVAL '1' DAY AS watermark FROM seen s
+            )
+            SELECT CAST(count(*) AS BIGINT) AS input_rows,
+                   CAST(count(*) FILTER (event_time <= date_trunc('millisecond', watermark)) AS BIGINT) AS late_rows_dropped
+            FROM capped JOIN marks USING (b)"""),
         "stream_activity_append": _windows(14, """
             HAVING start + INTERVAL '14' DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '2' DAY FROM events)"""),
         "incremental_boundary_run": _sql("fx_events", """
@@ -526,6 +538,7 @@ def statements() -> dict[str, str]:
                                            THEN INTERVAL '1' DAY ELSE INTERVAL '0' DAY END AS event_time) FROM fx_events)""")),
         "customer_dimension_run": _sql("fx_updates", _history("fx_updates")),
         "change_feed_silver_run": _sql("fx_cdc", _CDC_LATEST),
+        "change_feed_retention_run": _sql("fx_cdc", _CDC_LATEST),
         "change_feed_run": _sql("fx_cdc", _CDC_HISTORY),
         "skew_safe_output": _sql("fx_skewed fx_users", _JOINED_DATED),
         "tuned_join_output": _sql("fx_skewed fx_users", _JOINED_DATED),

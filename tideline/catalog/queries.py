@@ -14,13 +14,13 @@ from tideline.functions.scalars import money, money_out
 from tideline.operators import cdc, dedup, joins, merge, partitions, scd, skew
 from tideline.operators.joins import planned_bytes
 from tideline.operators.ordered import SplitPolicy
-from tideline.plans import dimensions, marts, medallion, sessions, skewjobs, streams
+from tideline.plans import dimensions, feeds, marts, medallion, sessions, skewjobs, streams
 from tideline.plans.dimensions import CITIES, CUSTOMERS, PRODUCTS
 from tideline.session import working_folder, written
 from tideline.sinks import audit, compaction, evolution, layout, snapshots
 from tideline.sources import incremental
 from tideline.sources import tables as readers
-from tideline.streaming import aggregates
+from tideline.streaming import aggregates, progress
 from tideline.streaming.sources import event_time, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,8 @@ FEED_SPLIT = "1998-06-01 00:00:00"
 LATE_NOW = "2000-01-01 00:00:00"
 AS_OF = "1997-03-01 00:00:00"
 SALTS = 8
+FILES_PER_ARRIVAL = 2
+LATE_DELAY = "1 day"
 # Buckets of the keys of a stored dimension; more of them suit larger tables.
 FEW_BUCKETS = 8
 
@@ -491,10 +493,29 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_preagg_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = aggregates.flat_window(
-        aggregates.daily_counts(_timed_events(spark, sf_dir), ["user_id"], "event_timestamp", "2 days")
-    )
-    return streams.roll_up(streams.upsert_run(spark, daily, working_folder(spark, "daily"), ["user_id"]))
+    """Two runs over growing input; the second refreshes only the sums that its users and days show in."""
+    root, events = working_folder(spark, "daily"), table(spark, sf_dir, "events")
+    split = F.lit(INCREMENTAL_BOUNDARY).cast("timestamp_ntz")
+    for arrived in (events.filter(F.col("ts") < split), events.filter(F.col("ts") >= split)):
+        layout.append(arrived, f"{root}/arriving")
+        stream = table_stream(spark, f"{root}/arriving", events.schema).select("user_id", F.col("ts").alias("event_timestamp"))
+        daily = aggregates.daily_counts(event_time(stream, "event_timestamp"), ["user_id"], "event_timestamp", "2 days")
+        rolled = streams.roll_up_run(spark, aggregates.flat_window(daily), root)
+    return rolled
+
+
+def stream_late_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries in the order they arrive, a micro-batch per three days; rows that came after the watermark, as noted on the way."""
+    root, clicks = working_folder(spark, "late"), inputs.clicks(spark, sf_dir)
+    edges = [F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz") for day in range(4, 32, 3)]
+    at = F.col("ingestion_time")
+    for low, high in zip([None, *edges], [*edges, None]):
+        part = clicks.filter((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
+        layout.append(part.repartition(FILES_PER_ARRIVAL), f"{root}/arriving")
+    stream = table_stream(spark, f"{root}/arriving", clicks.schema, maxFilesPerTrigger=FILES_PER_ARRIVAL)
+    once = aggregates.distinct_events(event_time(stream, "event_time"), ["event_id"], "event_time", LATE_DELAY)
+    streams.watched_run(spark, once, root)
+    return progress.late_drops(spark, f"{root}/progress").select("input_rows", "late_rows_dropped")
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -601,6 +622,17 @@ def change_feed_silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.live(state, CITIES.keys, CITIES.tracked)
 
 
+def change_feed_retention_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest state with deletes kept for 400 days: four batches in time, each with a replay of the one before, then the first year once more."""
+    feed, root = inputs.change_feed(spark, sf_dir), working_folder(spark, "retention")
+    year = F.year("event_time")
+    for first, last in ((1995, 1996), (1997, 1998), (1999, 1999), (2000, 2010)):
+        replayed = (year == first - 1) & (F.month("event_time") > 6)
+        feeds.advance(spark, feed.filter(year.between(first, last) | replayed), root, CITIES, "400 days", FEW_BUCKETS)
+    feeds.advance(spark, feed.filter(year == 1995), root, CITIES, "400 days")
+    return feeds.live(spark, root, CITIES)
+
+
 def change_feed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed in two batches of which each has events older than the other's."""
     root = working_folder(spark, "feed")
@@ -663,8 +695,8 @@ ALL: tuple[Query, ...] = (
     key_profile, top_key_share, skew_metrics, salted_join, heavy_key_join, salted_agg, broadcast_join,
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
     compact_and_cluster, curve_pruning, compact_small_files, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
-    stream_sessions, stream_preagg_rollup, stream_append, stream_audit,
-    stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, customer_dimension_as_of, change_feed_silver_run, change_feed_run,
+    stream_sessions, stream_preagg_rollup, stream_append, stream_late_drops, stream_audit,
+    stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, customer_dimension_as_of, change_feed_silver_run, change_feed_retention_run, change_feed_run,
     skew_safe_output, tuned_join_output, tuned_join_salted, skew_metrics_run, flat_join_output,
 )
 

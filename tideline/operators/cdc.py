@@ -53,7 +53,7 @@ def apply_feed(
     stored = F.struct(F.col("t.updated_at").alias("at"), *[F.col(f"t.{c}") for c in tiebreak])
     values = {name: name for name in [*tracked, *tiebreak, "hash_value"]}
     values |= {"updated_at": time, DELETED: F.col(f"s.{operation}") == DELETE}
-    return merge(state, source, keys, update=values, update_when=newer >= stored, insert=values | {k: k for k in keys})
+    return merge(state, source, keys, update=values, update_when=newer >= stored, insert=values | {k: k for k in keys}, unique=True)
 
 
 def late_events(events: DataFrame, now: datetime | str, allowed: str = "1 day", time: str = "event_time") -> DataFrame:

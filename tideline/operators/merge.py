@@ -1,8 +1,9 @@
 """Keyed merge of a change set into a table.
 
 Parquet has no row-level update, so a merge gives the new content of the table;
-``sinks.snapshots`` publishes it. Both sides hold at most one row per key
-(``conflicting_keys`` checks the source), so no key can be hot in the join.
+``sinks.snapshots`` publishes it. Both sides hold at most one row per key, so no
+key can be hot in the join; a source in which a key repeats stops the job
+(``conflicting_keys`` lists such keys).
 """
 
 from __future__ import annotations
@@ -41,6 +42,18 @@ def matched_pairs(
     return kept.unionByName(added.select(F.lit(None).cast(t.schema["t"].dataType).alias("t"), "s"))
 
 
+def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` as it is, in a plan that fails when two of its rows share a key (null equals null).
+
+    The check is part of the plan: rows are grouped where they are read, then by
+    key, and a count above one raises. There is no second look at the source.
+    """
+    grouped = source.groupBy(*keys).agg(F.any_value(F.struct(*source.columns)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    failure = F.raise_error(F.concat(F.lit("several source rows for the key "), key))
+    return grouped.select(F.when(F.col("__n") > 1, failure).otherwise(F.col("__row")).alias("__row")).select("__row.*")
+
+
 def _value(given: str | Column) -> Column:
     return F.col(f"s.{given}") if isinstance(given, str) else given
 
@@ -56,14 +69,20 @@ def merge(
     insert: Mapping[str, str | Column] | None = None,
     insert_when: Column | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
+    unique: bool = False,
 ) -> DataFrame:
-    """New content of ``target``.
+    """New content of ``target``; a key with several source rows fails the job.
 
     ``update`` and ``insert`` map target columns to source columns or to
     expressions over ``t.<column>`` and ``s.<column>``; ``None`` switches the clause off. Conditions are written over ``t.<column>`` and
     ``s.<column>``. A matched row is deleted before it is considered for update.
-    Target columns that ``insert`` leaves out become null.
+    Target columns that ``insert`` leaves out become null. ``unique`` says that
+    the source has one row per key by construction, and saves the check.
     """
+    if not unique:
+        small = is_small(source, broadcast_limit)
+        source = one_row_per_key(source, keys)
+        broadcast_limit = broadcast_limit if small else 0
     pairs = matched_pairs(target, source, keys, broadcast_limit)
     has_target, has_source = F.col("t").isNotNull(), F.col("s").isNotNull()
     matched = has_target & has_source
@@ -96,16 +115,18 @@ def merge(
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_BYTES
+    target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_BYTES, unique: bool = False
 ) -> DataFrame:
-    """Type 1 merge: source rows replace or join the target by key, every column.
+    """Type 1 merge: source rows replace or join the target by key, every column. A key with several source rows fails the job.
 
     No clause looks at a target row that the source replaces, so this needs no
     outer join: the target without the source's keys, and then the source. The
     planner sends a small source to the target instead of shuffling it.
+    ``unique`` as in ``merge``.
     """
-    incoming = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
     small = is_small(source, broadcast_limit)
+    incoming = source.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    incoming = incoming if unique else one_row_per_key(incoming, keys)
     incoming = written(incoming, "merge-source") if small else incoming
     arriving = incoming.select(*[F.col(k).alias(_KEY + k) for k in keys])
     arriving = F.broadcast(arriving) if small else arriving

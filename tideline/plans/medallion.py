@@ -27,7 +27,7 @@ def latest_sale(silver: DataFrame) -> DataFrame:
 
 
 def merged_products(products: DataFrame, silver: DataFrame) -> DataFrame:
-    return upsert(products, latest_sale(silver), ["product_id"])
+    return upsert(products, latest_sale(silver), ["product_id"], unique=True)
 
 
 def run(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_root: str) -> int:

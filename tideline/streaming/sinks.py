@@ -50,14 +50,16 @@ def has_content(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder) and len(fs.listStatus(folder)) > 0
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def window_upsert(path: str, staging: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def window_upsert(path: str, staging: str, keys: Sequence[str], changed: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: upsert window totals by ``window_start`` and ``keys``.
 
+    With ``changed``, each batch leaves there which keys and days it touched.
+
     The target is partitioned by the day a window starts on. A batch touches few
     days, and only those are merged and replaced. The merged days are written to
     a staging folder of the batch first, because the target cannot be overwritten
@@ -77,26 +79,28 @@ def window_upsert(path: str, staging: str, keys: Sequence[str]) -> Callable[[Dat
         incoming = spark.read.schema(incoming.schema).parquet(f"{step}/incoming")
         if incoming.isEmpty():
             return
+        if changed:
+            incoming.select(*keys, DAY).distinct().write.mode("overwrite").parquet(f"{changed}/batch={batch_id}")
         merged = incoming
         if has_content(spark, path):
             days = incoming.select(DAY).distinct()
             target = spark.read.schema(incoming.schema).parquet(path).join(days, DAY, "left_semi")
-            merged = upsert(target.select(*incoming.columns), incoming, ["window_start", *keys])
+            merged = upsert(target.select(*incoming.columns), incoming, ["window_start", *keys], unique=True)
         merged.write.mode("overwrite").parquet(f"{step}/merged")
         replace_partitions(spark.read.parquet(f"{step}/merged"), path, [DAY])
-        _remove(spark, f"{staging}/batch-{batch_id - 2}")  # only the last batch can be replayed
+        remove(spark, f"{staging}/batch-{batch_id - 2}")  # only the last batch can be replayed
 
     return upsert_batch
 
 
 def upsert_to(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], once: bool = True
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], once: bool = True, changed: str | None = None
 ) -> StreamingQuery:
     """Keep ``path`` at the latest totals of a flat windowed aggregate (update mode)."""
     writer = (
         stream.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(window_upsert(path, f"{checkpoint}-staging", keys))
+        .foreachBatch(window_upsert(path, f"{checkpoint}-staging", keys, changed))
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
