@@ -243,3 +243,24 @@ def _encoder(made=[]):
     if not made:
         made.append(packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")))
     return made[0]
+
+
+@pytest.mark.parametrize("texts", [
+    ["w " * 36], ["w " * 35], [" ".join("abcdefg"[i % 7] for i in range(60))], [" ".join(f"w{i % 34}" for i in range(90))],
+    [" ".join(f"w{i % 36}" for i in range(71))], ["x y " * 5000], [" ".join(map(str, range(80)))] * 3,
+    [" ".join(map(str, range(80))), " ".join(map(str, range(40, 120)))],
+])
+def test_repeats_within_one_text_and_copies_in_one_or_many_tasks(spark, texts):
+    want = sorted(removed(texts))
+    for parts in (1, 3):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(parts)
+        got = substrings.report(docs).select("n_words", "n_removed", "kept_sha256").collect()
+        assert sorted(map(tuple, got)) == want
+
+
+def test_a_text_of_one_word_is_one_span():
+    packer = substrings._Packer(4, np.array([0], np.uint64), np.full(substrings.FILTER_WORDS, ~np.uint64(0)), 35)
+    chunk = substrings._Chunk([b"w " * 3000])
+    packer.hot = np.unique(chunk.super_kmers()[3])
+    packer.add(chunk, [b"d"])
+    assert packer.spans == [(b"d", 0, 3000)]

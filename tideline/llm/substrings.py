@@ -7,6 +7,9 @@ twice their length. Equal windows have equal minimisers, so they meet in one
 bucket, where words become exact codes, windows are sorted by a hash of their
 codes and equal hashes are confirmed code by code.
 
+- A window whose minimiser occurs at one place of the corpus cannot repeat. The minimisers that occur again make a Bloom
+  filter of fixed size (``FILTER_WORDS`` words of 64 bits), and strings that it rules out are not sent. It keeps
+  every repeated minimiser, so nothing is lost; the fuller it gets, the more of the others are sent as well.
 - A minimiser with more than ``MOST_ALIKE`` super-k-mers (or a millionth of all, if that is more) would
   crowd its bucket. Those are counted first; their windows travel singly, to the bucket of the window's
   own hash, and each batch of text sends a window only once, marked if it has seen it twice.
@@ -36,6 +39,8 @@ GRAM = 6
 MOST_ALIKE = 2000
 BUCKETS_PER_PARTITION = 16
 FLUSH_BYTES = 24 << 20
+#: 16 MB, whatever the size of the corpus.
+FILTER_WORDS = 1 << 21
 _GRAM_BASE = 0xD6E8FEB86659FD93
 
 
@@ -67,7 +72,8 @@ class _Chunk:
         for j in range(1, GRAM):
             grams += words[j: len(words) - GRAM + 1 + j] * np.uint64(scale)
             scale = scale * _GRAM_BASE % (1 << 64)
-        low, reach, want = mix(grams), 1, width - GRAM + 1
+        self.grams = mix(grams)
+        low, reach, want = self.grams, 1, width - GRAM + 1
         while reach * 2 <= want:
             low = np.minimum(low[:-reach], low[reach:])
             reach *= 2
@@ -79,21 +85,64 @@ class _Chunk:
         begins = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])])
         return owner[begins], window[begins], np.diff(np.r_[begins, len(window)]), least[begins]
 
+    def holding_two(self, window: np.ndarray, n: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
+        """Which super-k-mers hold their minimiser at two places: only those can repeat a window within themselves."""
+        if not len(window):
+            return np.zeros(0, bool)
+        size = n + width - GRAM
+        here = self.grams[ranges(window, size)] == np.repeat(least, size)
+        return np.add.reduceat(here.astype(np.int64), np.cumsum(size) - size) > 1
+
     def packed(self, word: int, n: int) -> bytes:
         return self.data[self.start[word]: self.end[word + n - 1]]
 
 
 def _minimisers(width: int):
+    """Minimisers of each text of a task and of one copy of it, so that copies of a text count however they are dealt."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        repeated: set[bytes] = set()
         for batch in pieces(batches, "text"):
-            chunk = _Chunk(_first_copies(as_bytes(batch.column("text")), seen)[0])
-            found, counts = np.unique(chunk.super_kmers(width)[3], return_counts=True)
+            fresh, _, again = _first_copies(as_bytes(batch.column("text")), seen)
+            second = []
+            for digest, text in again:
+                if digest not in repeated:
+                    repeated.add(digest)
+                    second.append(text)
+            chunk = _Chunk(fresh + second)
+            _, window, n, least = chunk.super_kmers(width)
+            # A string that may hold a window twice counts as two.
+            found, counts = np.unique(np.r_[least, least[chunk.holding_two(window, n, least, width)]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["minimiser", "n"])
 
     return run
 
 
+def _filter_bits(minimisers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word and mask of each minimiser in the filter: three bits of one word."""
+    h = mix(minimisers ^ np.uint64(_GRAM_BASE))
+    word = h % np.uint64(FILTER_WORDS)
+    mask = np.zeros(len(h), np.uint64)
+    for shift in (58, 52, 46):
+        mask |= np.uint64(1) << ((h >> np.uint64(shift)) & np.uint64(63))
+    return word, mask
+
+
+def _masks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        word, mask = _filter_bits(np.asarray(batch.column("minimiser")).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(mask.view(np.int64))], ["word", "mask"])
+
+
+def _repeated_filter(counted: DataFrame) -> np.ndarray:
+    """The filter of the minimisers in ``counted``; at most ``FILTER_WORDS`` rows reach the driver."""
+    found = counted.select("minimiser").mapInArrow(_masks, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    words = np.zeros(FILTER_WORDS, np.uint64)
+    words[np.asarray(found.column("word").combine_chunks())] = np.asarray(found.column("mask").combine_chunks()).view(np.uint64)
+    return words
+
+
 def _first_copies(texts: list[bytes], seen: set[bytes]) -> tuple[list[bytes], list[bytes], list[tuple[bytes, bytes]]]:
     """Texts that this task has not had yet, their digests, and (digest, text) of the others."""
     fresh, digests, again = [], [], []
@@ -131,8 +180,8 @@ def _unblob(blob: bytes):
 class _Packer:
     """Collects packed strings of one task and hands them over by bucket."""
 
-    def __init__(self, buckets: int, hot: np.ndarray, width: int):
-        self.buckets, self.hot, self.width = buckets, hot, width
+    def __init__(self, buckets: int, hot: np.ndarray, repeated: np.ndarray, width: int):
+        self.buckets, self.hot, self.repeated, self.width = buckets, hot, repeated, width
         self.clear()
 
     def clear(self):
@@ -143,6 +192,9 @@ class _Packer:
 
     def add(self, chunk: _Chunk, digests: list[bytes]):
         text, window, n, least = chunk.super_kmers(self.width)
+        word, mask = _filter_bits(least)
+        may_repeat = self.repeated[word] & mask == mask
+        text, window, n, least = text[may_repeat], window[may_repeat], n[may_repeat], least[may_repeat]
         where = np.searchsorted(self.hot, least)
         is_hot = (where < len(self.hot)) & (self.hot[np.minimum(where, len(self.hot) - 1)] == least) if len(self.hot) else np.zeros(len(least), bool)
         begin = window - chunk.first_word[text]
@@ -166,13 +218,21 @@ class _Packer:
                 else:
                     if not known[2]:
                         known[2] = True
-                        self.spans.append((known[0], known[1], known[1] + self.width))
-                    self.spans.append((digest, at, at + self.width))
+                        self.span(known[0], known[1], known[1] + self.width)
+                    self.span(digest, at, at + self.width)
+
+    def span(self, digest: bytes, low: int, high: int):
+        """Note a span; one that goes on from the last is joined to it, so a text of one word makes one span."""
+        if self.spans and self.spans[-1][0] == digest and self.spans[-1][1] <= low <= self.spans[-1][2]:
+            self.spans[-1] = (digest, self.spans[-1][1], max(high, self.spans[-1][2]))
+        else:
+            self.spans.append((digest, low, high))
+            self.bytes += 150
 
     def whole(self, digest: bytes, text: bytes):
         words = len(text.split())
         if words >= self.width:
-            self.spans.append((digest, 0, words))
+            self.span(digest, 0, words)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         singles = list(self.single.items())
@@ -204,9 +264,9 @@ class _Packer:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
 
-def _packing(buckets: int, hot, width: int):
+def _packing(buckets: int, shared, width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, seen = _Packer(buckets, hot.value, width), set()
+        packer, seen = _Packer(buckets, *shared.value, width), set()
         for batch in pieces(batches, "text"):
             fresh, digests, again = _first_copies(as_bytes(batch.column("text")), seen)
             packer.add(_Chunk(fresh), digests)
@@ -303,7 +363,7 @@ def repeated_spans(texts: DataFrame, width: int = WINDOW, most_alike: int = MOST
     # More than a millionth of all each: at most a million of them, 8 MB.
     hot = np.sort(np.array([r[0] for r in counted.filter(F.col("n") > limit).select("minimiser").toLocalIterator()], np.int64).view(np.uint64))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(hot)
+    shared = spark.sparkContext.broadcast((hot, _repeated_filter(counted)))
     packed = texts.mapInArrow(_packing(parts * BUCKETS_PER_PARTITION, shared, width), "bucket long, blob binary")
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
     spans = dealt.mapInArrow(_solving(width), "digest binary, low int, high int")
@@ -340,7 +400,7 @@ def removed(docs: DataFrame, text: str = "text", width: int = WINDOW) -> DataFra
             texts, spans = as_bytes(batch.column(text)), batch.column(name).to_pylist()
             nulls = batch.column(text).is_null().to_pylist()
             new = [
-                None if gone else (b" ".join(kept_words(t, s)[0]) if s else t).decode() for t, s, gone in zip(texts, spans, nulls)
+                None if gone else (b" ".join(kept_words(t, s)[0]) if s else t).decode("utf-8", "replace") for t, s, gone in zip(texts, spans, nulls)
             ]
             columns = [pa.array(new, pa.string()) if c == text else batch.column(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
