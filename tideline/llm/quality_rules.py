@@ -1,13 +1,17 @@
 """Quality rules whose cutoffs come with a bound on how often they reject good documents.
 
 Each rule rejects a document whose measure exceeds a cutoff. Cutoffs are not
-set by hand: good documents of a labelled holdout are counted above each
-candidate cutoff, per stratum (language), and a cutoff is used only if the
-exact binomial tail shows, at the corrected level, that the rule rejects at
-most its share of ``max_false_rejection`` of the good documents. Candidates are
-tried from the mildest to the strictest and the walk ends at the first that
-fails, so the walk needs no correction; strata and rules are corrected by
-Bonferroni. With too few labels no cutoff passes and the rule rejects nothing.
+set by hand. Per stratum (language) there is one walk over settings of all
+rules together: each step makes one rule stricter. A quarter of the labelled
+good documents and the bad ones put the steps in order (what costs no good
+ones comes first); steps that catch nothing bad are left out. The other good
+documents are the holdout: after each step, those that any rule rejects are
+counted, and a setting is used only if the exact binomial tail shows, at the
+corrected level, that all rules together reject at most
+``max_false_rejection`` of the good documents. The order is fixed before the
+holdout is looked at and the walk ends at the first step that fails, so the
+walk needs no correction; strata are corrected by Bonferroni. With too few
+labels (see ``labels_needed``) no step passes and only the base rules reject.
 
 Everything is a DataFrame expression. A null text has no words and fails the
 base rules, null strata form a stratum of their own, strata without labels
@@ -17,6 +21,8 @@ the input keep their names (new ones are added beside them).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +35,8 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
 MAX_FALSE_REJECTION = 0.02
 CONFIDENCE = 0.95
+#: One in so many labelled documents orders the steps; the others certify them.
+ORDERING = 4
 
 #: Rule, its measure as SQL over the base columns, and its candidate cutoffs from mild to strict.
 RULES = (
@@ -142,47 +150,80 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     return F.least(F.lit(1.0), F.exp(summed["total"]))
 
 
-def thresholds(labelled: DataFrame, stratum: str, good: str, measures: str = "measures",
+def _level(rule: str, cutoffs: tuple[float, ...], measures: str) -> Column:
+    """How many of a rule's cutoffs a document exceeds: with n of m, it is the n strictest."""
+    return sum((_measure(rule, measures) > F.lit(c)).cast("int") for c in cutoffs)
+
+
+def thresholds(labelled: DataFrame, stratum: str, good: str, measures: str = "measures", key: str = "doc_id",
                max_false_rejection: float = MAX_FALSE_REJECTION, confidence: float = CONFIDENCE) -> DataFrame:
     """One row per stratum with a map of the certified cutoffs, from measured, labelled documents.
 
-    Rows whose ``good`` is 1 and that the base rules keep count as good. The
-    level is divided by the strata found and by the rules; rules without a
-    certified cutoff are missing from the map.
+    Rows whose ``good`` is 1 and that the base rules keep count as good. Those
+    of a quarter of the keys (and the bad ones) order the steps, the others certify them.
+    Rules without a certified cutoff are missing from the map; a stratum needs ``labels_needed`` good documents for one.
     """
-    is_good = F.col(good) == 1
-    # How many of a rule's cutoffs a document exceeds; the count of a level is what a strict cutoff adds.
-    level = F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), sum((_measure(rule, measures) > F.lit(c)).cast("int") for c in cutoffs).alias("level"))
-        for rule, _, cutoffs in RULES
+    levels = [_level(rule, cutoffs, measures).alias(f"l{r}") for r, (rule, cutoffs) in enumerate((n, c) for n, _, c in RULES)]
+    names = [f"l{r}" for r in range(len(RULES))]
+    base = labelled.filter(~base_failed(F.col(measures))).select(
+        F.col(stratum).alias("stratum"), (F.col(good) == 1).alias("good"), (F.pmod(F.xxhash64(key), F.lit(ORDERING)) == 0).alias("orders"), *levels
+    )
+    # Written: a row per stratum and combination of levels, few whatever the number of documents.
+    counted = written(base.groupBy("stratum", "good", "orders", *names).agg(F.count(F.lit(1)).alias("n")), "strata")
+
+    # Step (r, j) sets rule r to its j-th cutoff. Its cost and catch, of that rule alone, place it in the walk.
+    each = F.explode(F.array(*[
+        F.struct(F.lit(r).alias("r"), (F.lit(len(cutoffs)) - F.col(f"l{r}")).alias("j"), F.lit(len(cutoffs)).alias("m"))
+        for r, (_, _, cutoffs) in enumerate(RULES)
     ]))
-    levels = labelled.filter(~base_failed(F.col(measures))).select(F.col(stratum).alias("stratum"), is_good.alias("good"), level.alias("at"))
-    # Written: a few rows per stratum and rule; the correction needs the number of strata.
-    counted = written(levels.groupBy("stratum", "at.rule", "at.level").agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
-    ), "strata")
-    corrected = (1 - confidence) / len(RULES) / max(1, counted.select("stratum").distinct().count())
-    share = max_false_rejection / len(RULES)
-    own = Window.partitionBy("stratum", "rule")
-    above = own.orderBy(F.desc("level"))
-    walk = counted.select(
-        "stratum", "rule", "level", F.sum("good").over(own).alias("n_good"),
-        F.sum("good").over(above).alias("k"), F.sum("bad").over(above).alias("caught"),
-    ).filter("level > 0 AND n_good > 0")
-    # A count above the expected one fails by itself; below it the tail is summed.
-    passes = F.when(F.col("k") > F.col("n_good") * share, F.lit(False)).otherwise(
-        binomial_tail(F.col("k"), F.col("n_good"), share) <= corrected
+    exceeding = counted.select("stratum", "good", "orders", "n", each.alias("s")).select("*", "s.*").filter("j < m")
+    per_step = exceeding.groupBy("stratum", "r", "j").agg(
+        F.sum(F.when(F.col("good") & F.col("orders"), F.col("n")).otherwise(0)).alias("cost"),
+        F.sum(F.when(~F.col("good"), F.col("n")).otherwise(0)).alias("added"),
+    )
+    milder = Window.partitionBy("stratum", "r").orderBy("j")
+    walk = Window.partitionBy("stratum").orderBy("cost", F.desc("caught"), "r", "j")
+    steps = per_step.select(
+        "stratum", "r", "j", "added", F.sum("cost").over(milder).alias("cost"), F.sum("added").over(milder).alias("caught")
+    ).filter("added > 0").withColumn("at", F.row_number().over(walk))
+    steps = steps.groupBy(F.col("stratum").alias("of")).agg(F.collect_list(F.struct("r", "j", "at")).alias("steps"))
+
+    # The step at which a combination of levels is rejected first, by whatever rule.
+    hits = lambda s: F.exists(F.array(*[
+        F.struct(F.lit(r).alias("r"), F.lit(len(cutoffs)).alias("m"), F.col(f"l{r}").alias("l")) for r, (_, _, cutoffs) in enumerate(RULES)
+    ]), lambda own: (own["r"] == s["r"]) & (own["l"] > 0) & (s["j"] >= own["m"] - own["l"]))
+    reached = counted.join(steps, F.col("stratum").eqNullSafe(F.col("of")), "left").withColumn(
+        "first", F.array_min(F.transform(F.filter("steps", hits), lambda s: s["at"]))
     )
-    cutoff = F.coalesce(*[
-        F.when((F.col("rule") == rule) & (F.col("best.level") == len(cutoffs) - i), F.lit(cutoff))
-        for rule, _, cutoffs in RULES for i, cutoff in enumerate(cutoffs)
-    ])
-    # Counts only rise towards stricter cutoffs, so those that pass are the head of the walk. Of them the
-    # mildest that catches as many bad documents as the strictest is taken.
-    best = walk.filter(passes).groupBy("stratum", "rule").agg(F.max(F.struct("caught", "level")).alias("best"))
-    return best.select("stratum", "rule", cutoff.alias("cutoff")).groupBy("stratum").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")
+    certifies = F.col("good") & ~F.col("orders")
+    by_first = reached.groupBy("stratum", "first").agg(
+        F.sum(F.when(certifies, F.col("n")).otherwise(0)).alias("good"), F.sum(F.when(~F.col("good"), F.col("n")).otherwise(0)).alias("bad")
     )
+    whole, so_far = Window.partitionBy("stratum"), Window.partitionBy("stratum").orderBy(F.asc_nulls_last("first"))
+    sums = by_first.select(
+        "stratum", "first", F.sum("good").over(whole).alias("n_good"), F.sum("good").over(so_far).alias("k"), F.sum("bad").over(so_far).alias("caught")
+    ).filter("first IS NOT NULL AND n_good > 0")
+    corrected = (1 - confidence) / max(1, counted.select("stratum").distinct().count())
+    # A count above the expected one fails by itself; below it the tail is summed.
+    passes = F.when(F.col("k") > F.col("n_good") * max_false_rejection, F.lit(False)).otherwise(
+        binomial_tail(F.col("k"), F.col("n_good"), max_false_rejection) <= corrected
+    )
+    # Rejections only grow along the walk, so the steps that pass are its head. Of them the first
+    # that catches as many bad documents as the last is taken.
+    best = sums.filter(passes).groupBy("stratum").agg(F.max(F.struct("caught", (-F.col("first")).alias("earliest"))).alias("best"))
+    taken = best.join(steps, F.col("stratum").eqNullSafe(F.col("of"))).select("stratum", F.filter("steps", lambda s: s["at"] <= -F.col("best.earliest")).alias("taken"))
+    cutoffs = F.map_from_entries(F.array_compact(F.array(*[
+        F.when(F.exists("taken", lambda s: s["r"] == r), F.struct(F.lit(rule).alias("key"), F.element_at(
+            F.array(*[F.lit(c) for c in cutoffs]),
+            F.array_max(F.transform(F.filter("taken", lambda s: s["r"] == r), lambda s: s["j"])).cast("int") + 1,
+        ).alias("value"))) for r, (rule, _, cutoffs) in enumerate(RULES)
+    ])))
+    return taken.select("stratum", cutoffs.alias("cutoffs"))
+
+
+def labels_needed(strata: int, max_false_rejection: float = MAX_FALSE_REJECTION, confidence: float = CONFIDENCE) -> int:
+    """Certifying good documents, none of them rejected, that a stratum needs for its first cutoff."""
+    return math.ceil(math.log((1 - confidence) / strata) / math.log(1 - max_false_rejection))
 
 
 def judged(measured_docs: DataFrame, cutoffs: DataFrame, stratum: str, measures: str = "measures",
@@ -205,15 +246,14 @@ def good_labels(labels: DataFrame, good: str = "quality") -> DataFrame:
     return labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(good).alias("good"))
 
 
-def certified_cutoffs(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """The cutoffs for ``docs`` from all of its labelled documents."""
-    holdout = docs.select("doc_id", F.col(stratum).alias("stratum"), F.col(text).alias("text")).join(good_labels(labels), "doc_id")
-    return thresholds(measured(holdout), "stratum", "good")
-
+def filtered(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
+    """The documents that no rule rejects, with the columns they came with; cutoffs come from the labelled ones of ``docs``.
 
-def keep_good(docs: DataFrame, cutoffs: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """The documents that no rule rejects, with the columns they came with."""
-    measures = free_name(docs, "measures")
-    verdict = free_name(docs, "verdict")
-    verdicts = judged(measured(docs, text, measures), cutoffs, stratum, measures, verdict)
-    return verdicts.filter(F.col(f"{verdict}.kept")).select(*docs.columns)
+    Texts are measured once: the measures are written beside them, and labels,
+    cutoffs and verdicts are read from there.
+    """
+    measures, verdict = free_name(docs, "measures"), free_name(docs, "verdict")
+    beside = written(measured(docs, text, measures), "measured")
+    narrow = beside.select("doc_id", F.col(stratum).alias("stratum"), F.col(measures).alias("measures"))
+    cutoffs = thresholds(narrow.join(good_labels(labels), "doc_id"), "stratum", "good")
+    return judged(beside, cutoffs, stratum, measures, verdict).filter(F.col(f"{verdict}.kept")).select(*docs.columns)
