@@ -17,8 +17,7 @@ from tideline.session import working_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cutoffs = quality_rules.certified_cutoffs(docs, table(spark, sf_dir, "labels"))
-    return quality_rules.keep_good(docs, cutoffs)
+    return quality_rules.filtered(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
