@@ -140,17 +140,31 @@ def _compare(prints, planes, member, tile, tile_size, radius):
     return member, tile, over
 
 
+def least_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least index that each of ``n`` reaches over the links (i, j)."""
+    root = np.arange(n)
+    while True:
+        new = root.copy()
+        np.minimum.at(new, i, root[j])
+        np.minimum.at(new, j, root[i])
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within the buckets of sorted rows (bucket, side, fp); equal pairs of a bucket leave once."""
+    """Links within the buckets of sorted rows (bucket, side, fp): from each fingerprint one to the first of its group there."""
 
     def solved(key: np.ndarray, fp: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
         i, j = near_pairs(fp, key)
         # In a task of two slices only pairs across them count; within a slice its own task counts.
         cross = side[i] != side[j]
         alone = (side[i] == 2) & (side[j] == 2)
-        i, j = i[cross | alone], j[cross | alone]
+        root = least_linked(len(fp), i[cross | alone], j[cross | alone])
+        linked = np.flatnonzero(root != np.arange(len(fp)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(fp[i].view(np.int64)), pa.array(fp[j].view(np.int64))], ["u", "v"]
+            [pa.array(fp[linked].view(np.int64)), pa.array(fp[root[linked]].view(np.int64))], ["u", "v"]
         )
 
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -172,7 +186,8 @@ def _links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """``(u, v)`` of fingerprints within the radius, from a frame of distinct ``fp``."""
+    """``(u, v)`` of fingerprints that are connected by links within the radius, at most one per fingerprint and
+    bucket: the links of a bucket themselves do not leave it. From a frame of distinct ``fp``."""
     keys = [
         F.xxhash64(F.lit(a * 8 + b), _block(*BLOCKS[a]), _block(*BLOCKS[b]))
         for a in range(len(BLOCKS)) for b in range(a + 1, len(BLOCKS))

@@ -10,8 +10,11 @@ term, the term is swapped for each other term of its set (neutral words such as
 "person" are members), and the squared change of the score is punished. So a
 group that happens to be mentioned in toxic texts gets no weight of its own.
 
-Identity terms are a parameter. An empty or null text has no words and gets the
-score of the base rate of such texts. Without labels every score is 0.
+Identity terms are a parameter. The penalty acts on what the labelled sentences
+mention: ``Model.swapped`` tells how many swaps there were. With none, as in
+texts of invented words, the model is the plain sparse one. An empty or null
+text has no words and gets the score of the base rate of such texts. Without
+labels every score is 0.
 """
 
 from __future__ import annotations
@@ -77,8 +80,8 @@ def features(text: str, terms: frozenset[str] = frozenset()) -> set[str]:
 class Model:
     """A base and weights by feature; stems are kept apart so that a text is scored without listing all of its features."""
 
-    def __init__(self, weights: dict[str, float], base: float, terms: frozenset[str] = frozenset()):
-        self.weights, self.base, self.terms = weights, base, terms
+    def __init__(self, weights: dict[str, float], base: float, terms: frozenset[str] = frozenset(), swapped: int = 0):
+        self.weights, self.base, self.terms, self.swapped = weights, base, terms, swapped
         self.words = {f: w for f, w in weights.items() if "*" not in f}
         self.stems: dict[int, dict[str, list[float]]] = {}
         for feature, weight in weights.items():
@@ -221,25 +224,35 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", text: s
         for batch in pieces(batches, "text"):
             texts = [t.decode() for t in as_bytes(batch.column("text"))]
             found = [sorted(own[w] for w in own.keys() & features(t, own_terms)) for t in texts]
-            swapped = [[own[a] * len(own) + own[b] for (a, b), n in sorted(swaps(t, own_sets).items()) for _ in range(n)] for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], ["x", "label"])
+
+    def swapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, own_sets, _ = shared.value
+        for batch in pieces(batches, "text"):
+            found: Counter = Counter()
+            for t in as_bytes(batch.column("text")):
+                found.update(swaps(t.decode(), own_sets))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int64())), batch.column("label")], ["x", "swapped", "label"]
+                [pa.array([own[a] for a, _ in found], pa.int64()), pa.array([own[b] for _, b in found], pa.int64()), pa.array(list(found.values()), pa.int64())],
+                ["a", "b", "n"],
             )
 
-    known = rows.mapInArrow(indexed, "x array<int>, swapped array<long>, label int").toArrow().combine_chunks()
+    known = rows.mapInArrow(indexed, "x array<int>, label int").toArrow().combine_chunks()
+    # One row per pair of terms of a set.
+    pairs_of = rows.mapInArrow(swapped, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).orderBy("a", "b").toArrow().combine_chunks()
     y = known.column("label").to_numpy().astype(float)
     if y.min() == y.max():
         return Model({}, 60.0 if y[0] else -60.0)
     lists = known.column("x").combine_chunks()
     x = _Rows(np.asarray(lists.flatten()), np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))].astype(np.int64), len(vocabulary))
-    codes, often = np.unique(np.asarray(known.column("swapped").combine_chunks().flatten()).astype(np.int64), return_counts=True)
-    pairs = (codes // len(vocabulary), codes % len(vocabulary), often / len(y))
+    a, b, n = (np.asarray(pairs_of.column(c).to_numpy()).astype(np.int64) for c in ("a", "b", "n"))
+    pairs = (a, b, n / len(y))
     w, _ = _fit(x, y, pairs, L1, L2)
     chosen = np.flatnonzero(np.abs(w) > 1e-6)
     new = np.full(len(vocabulary), -1)
     new[chosen] = np.arange(len(chosen))
     w, base = _fit(x.only(chosen), y, (new[pairs[0]], new[pairs[1]], pairs[2]), 0.0, L2)
-    return Model({vocabulary[c]: float(v) for c, v in zip(chosen.tolist(), w.tolist())}, base, terms)
+    return Model({vocabulary[c]: float(v) for c, v in zip(chosen.tolist(), w.tolist())}, base, terms, int(n.sum()))
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
