@@ -1,5 +1,6 @@
 """Classifiers, mixing, chat, vectors and archives: brute force, exact round trips, held-out accuracy."""
 
+import gzip
 import hashlib
 import sys
 from collections import Counter
@@ -75,6 +76,16 @@ def test_identity_terms_get_no_weight_of_their_own(spark):
     assert model.score("you are horrid") > 0.7
 
 
+def test_the_weight_of_a_planted_group_falls_with_swaps(spark):
+    """Toxic texts differ by the group alone: the plain model learns the group, the swaps take it back."""
+    texts = [(f"{who} zax {i}", y) for who, y in (("blind", 1), ("person", 0)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    swapped, plain = toxicity.train(docs, labels), toxicity.train(docs, labels, sets=(("somebody", "nobody"),))
+    assert plain.swapped == 0 and swapped.swapped > 500
+    assert plain.weights["blind"] > 1 and abs(swapped.weights.get("blind", 0)) < 0.1 * plain.weights["blind"]
+
+
 def test_targets_stop_at_the_cap_and_share_the_rest(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 500), ("z", 0)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.targets(sizes).collect()}
@@ -171,6 +182,27 @@ def test_links_equal_brute_force(spark, monkeypatch, tile):
     assert vector_links.linked(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("codewords", vector_links.CODEWORDS)
+def test_pairs_at_the_threshold_share_a_direction_in_every_code(codewords):
+    """Recall of the filters alone, on random pairs just above the threshold, whatever the size of the code."""
+    rng = np.random.default_rng(codewords)
+    n = 200 if codewords <= 32 else 40
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.normal(size=(n, 64))
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = 0.9801
+    y = cosine * x + np.sqrt(1 - cosine ** 2) * other
+    code = vector_links.Filters(64, codewords)
+    found = [set(), set()]
+    for side, v in zip(found, (x, y)):
+        for at in range(0, n, 8):
+            rows_, directions = code.directions(v[at:at + 8])
+            side.update(zip((rows_ + at).tolist(), directions.tolist()))
+    assert len({row for row, _ in found[0] & found[1]}) == n
+
+
 def test_archives_of_odd_pages(spark):
     long = "<p>é\r\n\r\nWARC/1.1\r\nWARC-Type: response</p>" * 60
     pages = [(1, "http://a/\r\nX: y", long), (2, None, long), (5, "u", long), (5, "u", long), (None, "n", long), (7, "s", "short"), (8, "s", "short"), (9, "e", None), (10, "e", "")]
@@ -190,6 +222,41 @@ def test_archives_of_odd_pages(spark):
     assert warc.resolved(spark, f"{root}/d").count() == 0
 
 
+def raw_records(path):
+    """(file, headers, block) of every record below a folder, warcinfo included."""
+    out = []
+    for file in sorted(Path(path.removeprefix("file:")).glob("*.gz")):
+        with gzip.open(file) as stream:
+            out += [(file.name, headers, block) for headers, block in warc.records_in(stream)]
+    return out
+
+
+def test_archives_have_fresh_headers_and_a_bound_in_bytes(spark):
+    bodies = [f"<p>{i % 7}</p>" * 400 for i in range(60)]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", b) for i, b in enumerate(bodies)], "page_id long, url string, html string").repartition(2)
+    root = working_folder(spark, "warc")
+    warc.write_pages(pages, f"{root}/a", "2020-01-01T00:00:00Z", 20_000)
+    warc.deduplicate(spark, f"{root}/a", f"{root}/b", "2021-02-03T04:05:06Z", 20_000)
+    old, new = raw_records(f"{root}/a"), raw_records(f"{root}/b")
+    for records in (old, new):
+        sizes = Counter()
+        for file, headers, block in records:
+            sizes[file] += len(block) + 400
+        assert len(sizes) >= 2 and max(sizes.values()) < 2 * 20_000
+        kinds = [h["warc-type"] for _, h, _ in records]
+        assert kinds.count("warcinfo") == len(sizes) and len({h["warc-record-id"] for _, h, _ in records}) == len(records)
+    named = {h["warc-record-id"]: h for _, h, _ in new}
+    assert not set(named) & {h["warc-record-id"] for _, h, _ in old}
+    assert all(h["warc-date"] == "2021-02-03T04:05:06Z" for h in named.values())
+    revisits = [h for h in named.values() if h["warc-type"] == "revisit"]
+    assert len(revisits) == 53
+    for h in revisits:
+        target = named[h["warc-refers-to"]]
+        assert target["warc-type"] == "response" and target["warc-payload-digest"] == h["warc-payload-digest"]
+        assert (h["warc-refers-to-target-uri"], h["warc-refers-to-date"]) == (target["warc-target-uri"], target["warc-date"])
+        assert h["x-capture-date"] == "2020-01-01T00:00:00Z" and int(target["x-page-id"]) > int(h["x-page-id"])
+
+
 @pytest.mark.parametrize("name", sorted(queries.statements()))
 def test_query_equals_its_sql(spark, name):
     small = "/root/testdata/sf0.001"

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import packing, quality_rules, simhash, substrings
+from tideline.llm import packing, quality_rules, queries, simhash, substrings
 from tideline.llm.components import components
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -49,7 +49,7 @@ def test_cutoffs_need_enough_labels_and_hold_the_bound(spark):
     """2,000 good rows certify a cutoff, 50 do not; a cutoff above which too many good rows lie is not taken."""
     def rows(lang, n, share, good):
         return spark.range(n).select(
-            F.lit(lang).alias("lang"), F.lit(good).alias("good"),
+            F.col("id").alias("doc_id"), F.lit(lang).alias("lang"), F.lit(good).alias("good"),
             F.struct(
                 F.lit(100).cast("long").alias("n_words"), F.lit(500).cast("long").alias("word_chars"),
                 F.when(F.col("id") < n * share, 300).otherwise(0).cast("long").alias("n_symbols"), F.lit(0).cast("long").alias("n_dup_lines"),
@@ -66,11 +66,56 @@ def test_cutoffs_need_enough_labels_and_hold_the_bound(spark):
     assert "symbols" not in found.get("small", {}) and "symbols" not in found.get("noisy", {})
 
 
+def walked(rows):
+    """Certified cutoffs by stratum, from (stratum, good, orders, value of each rule), by plain loops."""
+    found, strata = {}, {r[0] for r in rows}
+    for stratum in strata:
+        own = [r for r in rows if r[0] == stratum]
+        bad, ordering, holdout = ([r[3] for r in own if keep(r)] for keep in (lambda r: not r[1], lambda r: r[1] and r[2], lambda r: r[1] and not r[2]))
+        steps = []
+        for k, (_, _, cutoffs) in enumerate(quality_rules.RULES):
+            count = lambda values, j: sum(v[k] > cutoffs[j] for v in values) if j >= 0 else 0
+            steps += [(count(ordering, j), -count(bad, j), k, j) for j in range(len(cutoffs)) if count(bad, j) > count(bad, j - 1)]
+        steps.sort()
+        reached, best = {}, None
+        for *_, k, j in steps:
+            reached[k] = max(j, reached.get(k, -1))
+            broken = lambda v: any(v[r] > quality_rules.RULES[r][2][c] for r, c in reached.items())
+            n, lost = len(holdout), sum(map(broken, holdout))
+            tail = sum(math.comb(n, i) * 0.02 ** i * 0.98 ** (n - i) for i in range(lost + 1))
+            if not n or tail > 0.05 / len(strata):
+                break
+            caught = sum(map(broken, bad))
+            if best is None or caught > best[0]:
+                best = caught, {quality_rules.RULES[r][0]: quality_rules.RULES[r][2][c] for r, c in reached.items()}
+        if best:
+            found[stratum] = best[1]
+    return found
+
+
+def test_verdicts_equal_a_plain_walk(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = queries.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    labels = {r["doc_id"]: r["good"] for r in quality_rules.good_labels(queries.table(spark, sf, "labels")).collect()}
+    values = [quality_rules._measure(rule, "m").alias(rule) for rule, _, _ in quality_rules.RULES]
+    fold = (F.pmod(F.xxhash64("doc_id"), F.lit(quality_rules.ORDERING)) == 0).alias("orders")
+    rows = quality_rules.measured(docs, measures="m").select("doc_id", "lang", fold, quality_rules.base_failed(F.col("m")).alias("failed"), *values).collect()
+    labelled = [(r["lang"], labels[r["doc_id"]] == 1, r["orders"], r[4:]) for r in rows if r["doc_id"] in labels and not r["failed"]]
+    cutoffs = walked(labelled)
+    assert {"en", "de", "fr", "es"} == set(cutoffs) and quality_rules.labels_needed(4) == 217
+    want = {
+        r["doc_id"]: not r["failed"] and not any(r[rule] > c for rule, c in cutoffs.get(r["lang"], {}).items()) for r in rows
+    }
+    got = {r["doc_id"]: r["kept"] for r in queries.op2_quality_rules(spark, sf).collect()}
+    assert got == want
+    good = [d for d, g in labels.items() if g == 1]
+    assert sum(not want[d] for d in good) < 0.06 * len(good)  # the base rules and the certified share
+
+
 def test_rules_keep_columns_and_empty_tables(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     for docs in (odd_docs, no_docs):
-        cutoffs = quality_rules.certified_cutoffs(docs, labels)
-        kept = quality_rules.keep_good(docs, cutoffs)
+        kept = quality_rules.filtered(docs, labels)
         assert kept.columns == docs.columns
         assert all(len(WORD.findall(r["text"])) >= 20 for r in kept.collect())
 
