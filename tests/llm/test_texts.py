@@ -215,11 +215,37 @@ def test_crowded_buckets_are_cut_and_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE_ROWS", 16)
     prints = sorted({(a | a << 7) & 0xFFFF for a in range(200)})
     frame = spark.createDataFrame([(p,) for p in prints], "fp long")
-    got = {tuple(sorted(r)) for r in simhash.fingerprint_links(frame).collect()}
-    assert got == {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3}
+    links = [tuple(r) for r in simhash.fingerprint_links(frame).collect()]
+    near = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3]
+    assert groups_of(prints, links) == groups_of(prints, near)
 
 
-def test_components_of_chains_stars_and_loops(spark):
+def test_a_group_sends_links_and_not_pairs(spark):
+    prints = [1 << j for j in range(62)]  # all within two bits of each other
+    links = simhash.fingerprint_links(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()
+    assert groups_of(prints, map(tuple, links)) == {frozenset(prints)} and len(links) <= 10 * len(prints) < 62 * 61 / 2
+
+
+def groups_of(nodes, links):
+    """The connected groups, as a set of sets."""
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    found = {}
+    for n in nodes:
+        found.setdefault(find(n), set()).add(n)
+    return {frozenset(g) for g in found.values()}
+
+
+@pytest.mark.parametrize("heavy", [1_000_000, 5])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, heavy):
+    monkeypatch.setattr("tideline.llm.components.HEAVY_ROWS", heavy)
     chain = [(i, i + 1) for i in range(40)]
     edges = [*chain, *((100, k) for k in range(101, 130)), (7, 7), (200, 201), (201, 202), (202, 200)]
     got = {r["u"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
