@@ -4,7 +4,12 @@ Quality rules drop documents, near-duplicate groups keep one document each,
 repeated passages are cut out of the texts (a document may end up empty, but
 stays), the mix takes documents as often as its source's target asks for, and
 packing lays what is left out in sequences. All but the last return the
-columns of documents.
+columns of documents, whatever other columns the operators use inside.
+
+A null or empty text fails the base rules and goes in the first stage. Null ids
+are documents like others. Of rows equal in id and text one is left after the
+second stage, of ties there the least id and then the least digest of the text.
+Empty tables give empty results. Each operator states the rest.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ STAGES = [
     ("packing", sequences),
 ]
 
-#: Tokenizer ids and the sampling of the mix have no SQL expression; tests compare with brute force.
+#: Tokenizer ids and the sampling of the mix have no SQL expression; tests/llm compares each stage with plain loops.
 ORACLE_SQL = None
 
 
