@@ -499,6 +499,7 @@ def statements() -> dict[str, str]:
         "compact_small_files": _sql("fx_orders", f"""
             SELECT currency, CAST(count(*) AS BIGINT) AS order_rows, {_money('sum(amount)')} AS amount, true AS large_kept,
                    true AS fewer_files FROM fx_orders GROUP BY currency"""),
+        "named_format_roundtrip": _sql("fx_updates", "SELECT * FROM fx_updates"),
         "csv_roundtrip": _sql("fx_transactions", "SELECT * FROM fx_transactions"),
         "stream_hourly_metrics": _sql("fx_events fx_newest", _HOURLY),
         "stream_sliding_14d": _windows(14),

@@ -435,6 +435,13 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.csv(spark, path, marts.TRANSACTION_SCHEMA)
 
 
+def named_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer updates through a format chosen by its name, with a given schema."""
+    path, updates = working_folder(spark, "orc"), inputs.customer_updates(spark, sf_dir)
+    updates.write.format("orc").save(path)
+    return readers.load(spark, "orc", path, updates.schema)
+
+
 # -- streams -----------------------------------------------------------------
 
 
@@ -694,7 +701,7 @@ ALL: tuple[Query, ...] = (
     cdc_scd2_history, scd2_late_detect, scd2_late_fix, scd2_late_split, scd2_as_of, scd2_multi_active, scd2_overlaps,
     key_profile, top_key_share, skew_metrics, salted_join, heavy_key_join, salted_agg, broadcast_join,
     partition_report, composite_repartition, dynamic_overwrite_roundtrip, schema_evolution_roundtrip,
-    compact_and_cluster, curve_pruning, compact_small_files, csv_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
+    compact_and_cluster, curve_pruning, compact_small_files, csv_roundtrip, named_format_roundtrip, stream_hourly_metrics, stream_sliding_14d, stream_sliding_7d,
     stream_sessions, stream_preagg_rollup, stream_append, stream_late_drops, stream_audit,
     stream_activity_append, incremental_run, incremental_boundary_run, product_table_run, customer_dimension_run, customer_dimension_as_of, change_feed_silver_run, change_feed_retention_run, change_feed_run,
     skew_safe_output, tuned_join_output, tuned_join_salted, skew_metrics_run, flat_join_output,
