@@ -120,10 +120,11 @@ def maintain(
         batch = batch.join(zones.read(spark, root, LOG, layout, parts).select(*dim.keys).distinct(), list(dim.keys), "left_semi")
 
     crowded = layout.crowded(LOG)
-    arrived = batch.withColumn(ARRIVED, F.lit(run))
+    arrived = zones.placed(batch.withColumn(ARRIVED, F.lit(run)), LOG, part).drop(zones.GONE)
     if crowded:
-        arrived = arrived.unionByName(zones.read(spark, root, LOG, layout, crowded))
-    parts = zones.write(spark, root, run, {LOG: (arrived, part)})[LOG]
+        stored = zones.read(spark, root, LOG, layout, crowded, with_part=True)
+        arrived = arrived.unionByName(stored.withColumn(zones.ZONE, F.lit(LOG)))
+    parts = zones.write(spark, root, run, arrived).get(LOG, set())
     for p in parts:
         layout.parts(LOG)[p] = [run] if p in crowded else [*layout.parts(LOG).get(p, []), run]
     log = zones.read(spark, root, LOG, layout, parts)
@@ -140,16 +141,11 @@ def maintain(
         for zone in (OPEN, CLOSED):
             layout.note_schema(zone, histories.drop(_SIDE).schema)
     # A version that is there without and with the batch counts 0 and is left alone.
-    sums = histories.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE))
-    differing = written(sums.filter(F.col(_SIDE) != 0), "differing-versions")
-
-    def of(own: Column, place: Column) -> zones.Change:
-        rows = differing.filter(own)
-        added, removed = (rows.filter(side).drop(_SIDE) for side in (F.col(_SIDE) > 0, F.col(_SIDE) < 0))
-        return zones.Change(added, removed, place, [*dim.keys, scd.FROM])
-
+    sums = histories.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE)).filter(F.col(_SIDE) != 0)
     current = F.col(scd.CURRENT)
-    zones.change(spark, root, layout, run, {OPEN: of(current, part), CLOSED: of(~current, _month(scd.TO))})
+    zone, place = F.when(current, OPEN).otherwise(CLOSED), F.when(current, part).otherwise(_month(scd.TO))
+    differing = written(zones.placed(sums, zone, place, F.col(_SIDE) < 0).drop(_SIDE), "differing-versions")
+    zones.change(spark, root, layout, run, differing, [*dim.keys, scd.FROM])
     return zones.publish(spark, root, run, layout)
 
 

@@ -90,7 +90,7 @@ def advance(
         spent = F.col(cdc.DELETED) & (F.col("updated_at") < F.lit(horizon).cast(kinds["updated_at"].dataType))
         following = following.filter(~spent)
     if parts:
-        full = zones.write(spark, root, run, {STATE: (following, part)})[STATE]
+        full = zones.write(spark, root, run, zones.placed(following, STATE, part).drop(zones.GONE)).get(STATE, set())
         for p in parts:
             layout.parts(STATE).pop(p, None)
             marks.pop(str(p), None)

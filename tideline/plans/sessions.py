@@ -65,6 +65,7 @@ def publish(events: DataFrame, products: DataFrame, root: str, boundary=None, bu
         content = rows_of(stored, sessions, ["session_id"], "left_anti").select(*metrics.columns).unionByName(metrics)
     replace_within(spark, content, f"{root}/sessions", DATE, dates, FILE_ROWS)
 
-    change = zones.Change(rows_of(now, before, _PAIR, "left_anti"), rows_of(before, now, _PAIR, "left_anti"), part, _PAIR)
-    zones.change(spark, index, layout, run, {INDEX: change})
+    new, old = rows_of(now, before, _PAIR, "left_anti"), rows_of(before, now, _PAIR, "left_anti")
+    moves = zones.placed(new, INDEX, part).unionByName(zones.placed(old, INDEX, part, True))
+    zones.change(spark, index, layout, run, written(moves, "moved-sessions"), _PAIR)
     return zones.publish(spark, index, run, layout)

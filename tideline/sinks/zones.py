@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tideline.operators.ordered import null_safe
 from tideline.operators.partitions import balanced
 
-ZONE, PART = "zone", "part"
+ZONE, PART, GONE = "zone", "part", "gone"
 #: A part of this many folders is written again as one by the next run that adds to it.
 MOST_FOLDERS = 16
 _POINTER = re.compile(r"^pointer-(\d{9})\.json$")
@@ -110,85 +110,80 @@ def publish(spark: SparkSession, root: str, run: int, layout: Layout) -> int:
     return run
 
 
-def write(
-    spark: SparkSession, root: str, run: int, contents: Mapping[str, tuple[DataFrame, Column]], max_records_per_file: int = 0,
-) -> dict[str, set[int]]:
-    """Write the rows of ``{zone: (rows, part)}`` as folders of ``run``; the parts that got any, by zone.
+def write(spark: SparkSession, root: str, run: int, rows: DataFrame, max_records_per_file: int = 0) -> dict[str, set[int]]:
+    """Write ``rows``, which have the columns ``zone`` and ``part``, as folders of ``run``; the parts that got any, by zone.
 
-    The zones of one call have the same columns. Large parts are several files.
+    Large parts are several files. What a failed run of this number has left in these zones goes.
     """
-    frames = [df.withColumns({ZONE: F.lit(zone), PART: part.cast("int")}) for zone, (df, part) in contents.items()]
     path = f"{root.rstrip('/')}/run={run}"
-    dealt = balanced(reduce(DataFrame.unionByName, frames), ZONE, PART)
-    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
-    for zone in contents:  # what a failed run of this number may have left
-        folder, fs = _files(spark, f"{path}/{ZONE}={zone}")
-        fs.delete(folder, True)
-    writer.partitionBy(ZONE, PART).parquet(path)
-    return {
-        zone: {int(n.removeprefix(f"{PART}=")) for n in _names(spark, f"{path}/{ZONE}={zone}") if n.startswith(f"{PART}=")}
-        for zone in contents
-    }
+    staged = f"{path}/_new-{uuid.uuid4().hex}"
+    writer = balanced(rows, ZONE, PART).write.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy(ZONE, PART).parquet(staged)
+    written = {}
+    for name in (n for n in _names(spark, staged) if n.startswith(f"{ZONE}=")):
+        target, fs = _files(spark, f"{path}/{name}")
+        fs.delete(target, True)
+        fs.rename(_files(spark, f"{staged}/{name}")[0], target)
+        parts = [n for n in _names(spark, f"{path}/{name}") if n.startswith(f"{PART}=")]
+        written[name.removeprefix(f"{ZONE}=")] = {int(n.removeprefix(f"{PART}=")) for n in parts}
+    folder, fs = _files(spark, staged)
+    fs.delete(folder, True)
+    return written
 
 
 def _folder(root: str, zone: str, part: int, run: int) -> str:
     return f"{root.rstrip('/')}/run={run}/{ZONE}={zone}/{PART}={part}"
 
 
-def read(spark: SparkSession, root: str, zone: str, layout: Layout, parts: Iterable[int] | None = None) -> DataFrame:
+def read(
+    spark: SparkSession, root: str, zone: str, layout: Layout, parts: Iterable[int] | None = None, with_part: bool = False
+) -> DataFrame:
     """Rows of a zone, or of some parts of it; folders of other parts are not even listed."""
     schema, known = layout.schema(zone), layout.parts(zone)
     wanted = sorted(known if parts is None else set(parts) & set(known))
     folders = [_folder(root, zone, p, run) for p in wanted for run in known[p]]
-    if not folders:
-        return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-    found = spark.read.schema(stored).option("basePath", root.rstrip("/")).parquet(*folders)
-    return found.filter(F.col(PART).isin(wanted)).select(*schema.names)
+    if not folders:
+        return spark.createDataFrame([], stored if with_part else schema)
+    found = spark.read.schema(stored).option("basePath", root.rstrip("/")).parquet(*folders).filter(F.col(PART).isin(wanted))
+    return found.select(*schema.names, *([PART] if with_part else []))
 
 
-@dataclass
-class Change:
-    """Rows that join and leave a zone. The part of a row follows from the columns ``identity``, which tell rows apart."""
+def placed(rows: DataFrame, zone: str | Column, part: Column, gone: bool | Column = False) -> DataFrame:
+    """``rows`` as a part of a change: where they lie, and whether they leave."""
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return rows.withColumns({ZONE: as_column(zone), PART: part.cast("int"), GONE: as_column(gone)})
 
-    added: DataFrame
-    removed: DataFrame
-    part: Column
-    identity: Sequence[str]
 
-
-def change(spark: SparkSession, root: str, layout: Layout, run: int, changes: Mapping[str, Change]) -> None:
-    """Carry out changes of zones with the same columns, in ``layout`` and in new folders of ``run``.
+def change(spark: SparkSession, root: str, layout: Layout, run: int, changes: DataFrame, identity: Sequence[str]) -> None:
+    """Carry out ``changes`` (see ``placed``) in ``layout`` and in new folders of ``run``.
 
     Parts that lose rows, and parts of too many folders, are written again; the
-    others only get a folder more.
+    others only get a folder more. ``identity`` names the columns that tell rows
+    apart (null equals null); the part of a row follows from them. ``changes`` is read twice: pass a written table.
     """
-    marks = [
-        df.select(F.lit(zone).alias(ZONE), c.part.cast("int").alias(PART), F.lit(gone).alias("gone"))
-        for zone, c in changes.items() for df, gone in ((c.added, False), (c.removed, True))
-    ]
     # One row per part at most, so the list is as bounded as the pointer is.
-    touched = reduce(DataFrame.unionByName, marks).groupBy(ZONE, PART).agg(F.max("gone").alias("gone")).collect()
-    again: dict[str, set[int]] = {zone: set() for zone in changes}
-    for row in touched:
-        if row[PART] in layout.parts(row[ZONE]) and (row["gone"] or row[PART] in layout.crowded(row[ZONE])):
-            again[row[ZONE]].add(row[PART])
-    contents = {}
-    for zone, c in changes.items():
-        rows = c.added
-        if again[zone]:
-            out = c.removed.select(*[F.col(k).alias(f"__out_{k}") for k in c.identity])
-            stored = read(spark, root, zone, layout, again[zone])
-            rows = stored.join(out, null_safe([(k, f"__out_{k}") for k in c.identity]), "left_anti").unionByName(rows)
-        contents[zone] = (rows, c.part)
+    touched = changes.groupBy(ZONE, PART).agg(F.max(GONE).alias(GONE)).collect()
     if not touched:
         return
-    for zone, written in write(spark, root, run, contents).items():
-        known = layout.parts(zone)
-        for p in again[zone] - written:
+    again: dict[str, set[int]] = {}
+    for row in touched:
+        if row[PART] in layout.parts(row[ZONE]) and (row[GONE] or row[PART] in layout.crowded(row[ZONE])):
+            again.setdefault(row[ZONE], set()).add(row[PART])
+    content = changes.filter(~F.col(GONE)).drop(GONE)
+    for zone, parts in again.items():
+        out = changes.filter(F.col(GONE) & (F.col(ZONE) == zone)).select(*[F.col(k).alias(f"__out_{k}") for k in identity])
+        stored = read(spark, root, zone, layout, parts, with_part=True).withColumn(ZONE, F.lit(zone))
+        kept = stored.join(out, null_safe([(k, f"__out_{k}") for k in identity]), "left_anti")
+        content = content.unionByName(kept.select(*content.columns))
+    written = write(spark, root, run, content)
+    for zone in {row[ZONE] for row in touched}:
+        known, full = layout.parts(zone), written.get(zone, set())
+        rewritten = again.get(zone, set())
+        for p in rewritten - full:
             known.pop(p)
-        for p in written:
-            known[p] = [run] if p in again[zone] else [*known.get(p, []), run]
+        for p in full:
+            known[p] = [run] if p in rewritten else [*known.get(p, []), run]
 
 
 def unlisted(spark: SparkSession, root: str, newest: int = 2) -> list[str]:
