@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.text import NOT_SPACE, SPACE_CHAR, free_name, let, words_of
+from tideline.operators.joins import is_small
 from tideline.session import written
 
 WINDOW = 8
@@ -255,5 +256,7 @@ def filtered(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: st
     measures, verdict = free_name(docs, "measures"), free_name(docs, "verdict")
     beside = written(measured(docs, text, measures), "measured")
     narrow = beside.select("doc_id", F.col(stratum).alias("stratum"), F.col(measures).alias("measures"))
-    cutoffs = thresholds(narrow.join(good_labels(labels), "doc_id"), "stratum", "good")
+    cutoffs = written(thresholds(narrow.join(good_labels(labels), "doc_id"), "stratum", "good"), "cutoffs")
+    # A row per stratum: sent to the documents, whose texts then stay where they are.
+    cutoffs = F.broadcast(cutoffs) if is_small(cutoffs) else cutoffs
     return judged(beside, cutoffs, stratum, measures, verdict).filter(F.col(f"{verdict}.kept")).select(*docs.columns)

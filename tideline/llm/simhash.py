@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
@@ -239,8 +239,15 @@ def one_per_group(docs: DataFrame, text: str = "text") -> DataFrame:
     prints = fingerprints(docs.select("doc_id", digest.alias("digest"), F.col(text).alias("text")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
     distinct = written(prints.groupBy("fp").agg(first), "distinct")
-    key, own, own_key = (free_name(docs, c) for c in ("text_digest", "kept_id", "kept_digest"))
+    key = free_name(docs, "row_key")
     kept = _placed(distinct).groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias(own), F.col("first.digest").alias(own_key))
-    same = F.col("doc_id").eqNullSafe(F.col(own)) & F.col(key).eqNullSafe(F.col(own_key))
-    return docs.withColumn(key, digest).join(kept, same, "left_semi").dropDuplicates(["doc_id", key]).select(*docs.columns)
+    kept = kept.select(_row_key(F.col("first.doc_id"), F.col("first.digest")).alias(key))
+    # One key without nulls: the join and the choice among equal rows need one and the same shuffle.
+    keyed = docs.withColumn(key, _row_key(F.col("doc_id"), digest))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+
+
+def _row_key(doc_id: Column, digest: Column) -> Column:
+    """What stands for a row: its id and its text, in which null is unlike any value."""
+    named = F.when(doc_id.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), doc_id.cast("string")))
+    return F.unhex(F.md5(F.concat(F.coalesce(F.hex(digest), F.lit("-")), named).cast("binary")))
