@@ -419,7 +419,8 @@ def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = compaction.data_files(spark, path)
     layout.append(orders.filter(half == 1).repartition(12), path, ["currency"])
     before = compaction.data_files(spark, path)
-    replaced = compaction.compact(spark, path, min(f.size for f in large))
+    target = 8 * max(f.size for f in large)
+    replaced = compaction.compact(spark, path, target, small_share=min(f.size for f in large) / target)
     after = compaction.data_files(spark, path)
     return spark.read.parquet(path).groupBy("currency").agg(
         F.count(F.lit(1)).alias("order_rows"), money_out(F.sum("amount")).alias("amount"),
