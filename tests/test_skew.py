@@ -26,6 +26,17 @@ def test_salted_joins_equal_the_plain_join(fact, users, how, salts):
     assert rows(skew.heavy_key_join(fact, users, ["user_id"], ["event_id"], salts and 50 * salts, how)) == want
 
 
+def test_a_salted_join_copies_the_dimension_for_salts_that_occur(spark):
+    """With as many salts as the largest key needs, copies for all of them would be 40 million rows here, broadcast."""
+    fact = spark.range(2000).select(F.col("id").alias("event_id"), F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"))
+    dimension = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("name"))
+    joined = skew.salted_join(fact, dimension, ["k"], ["event_id"], 20_000)
+    assert "explode" not in plan(joined)
+    assert rows(joined) == rows(fact.join(dimension, "k"))
+    spread = fact.withColumn("__salt", skew.salt_of(["event_id"], 20_000))
+    assert skew._used_copies(dimension, spread, ["k"]).count() <= fact.count()
+
+
 def test_salts_follow_the_weight_of_a_key(fact, spark):
     total = fact.filter("user_id = 0").count()
     assert rows(skew.salt_counts(fact, ["user_id"], 100)) == [(0, -(-total // 100))]

@@ -114,21 +114,30 @@ def salt_counts(df: DataFrame, keys: Sequence[str], target_rows: int | None = No
     return written(counts.select(*keys, F.ceil(F.col("__n") / target).cast("int").alias(SALTS)), "salt-counts")
 
 
+def _used_copies(dimension: DataFrame, spread: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dimension`` once for every salt that occurs in ``spread`` with its key.
+
+    All salts for every key would be the dimension times the salts, which the planner takes for as small as the dimension.
+    """
+    return dimension.join(spread.select(*keys, _SALT).distinct(), list(keys)).select(*dimension.columns, _SALT)
+
+
 def salted_join(
     fact: DataFrame, dimension: DataFrame, keys: Sequence[str], identity: Sequence[str], salts: int | None = None, how: str = "inner"
 ) -> DataFrame:
     """Join in which every key is spread over ``salts`` partitions.
 
-    Each fact row has one salt and the dimension has a copy for every salt, so
-    the result is that of the plain join (``inner`` or ``left``). Without
-    ``salts`` there are as many as the largest key needs. ``heavy_key_join`` copies the heavy keys only.
+    Each fact row has one salt and the dimension has a copy for every salt that
+    its key's fact rows have, so the result is that of the plain join (``inner``
+    or ``left``) and a dimension row has no more copies than fact rows or
+    salts. Without ``salts`` there are as many as the largest key needs.
+    ``heavy_key_join`` copies the heavy keys only.
     """
     _kept_side(how)
     if salts is None:
         salts = salt_counts(fact, keys).agg(F.max(SALTS)).first()[0] or 1
     spread = fact.withColumn(_SALT, salt_of(identity, salts))
-    copies = dimension.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*keys, _SALT], how).drop(_SALT)
+    return spread.join(_used_copies(dimension, spread, keys), [*keys, _SALT], how).drop(_SALT)
 
 
 def _with_salts(df: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
