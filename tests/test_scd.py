@@ -313,3 +313,14 @@ def test_changed_only_leaves_unknown_keys_out(spark, tmp_path):
     dimensions.maintain(spark, updates(spark, GOLDEN[:1]), root, DIM)
     dimensions.maintain(spark, updates(spark, GOLDEN[1:3]), root, DIM, insert_new=False)
     assert {r[0] for r in rows(dimensions.read(spark, root))} == {"K7"}
+
+
+def test_a_run_shuffles_the_log_once(spark, tmp_path, monkeypatch):
+    """Windows, check and sums of the histories share one shuffle by key, and no history is written in between."""
+    root, plans = str(tmp_path / "dim"), []
+    dimensions.maintain(spark, updates(spark, GOLDEN[:3]), root, DIM)
+    keep = dimensions.written
+    monkeypatch.setattr(dimensions, "written", lambda df, purpose: (plans.append((purpose, plan(df))), keep(df, purpose))[1])
+    dimensions.maintain(spark, updates(spark, GOLDEN[3:]), root, DIM)
+    assert [(purpose, text.count("Exchange ")) for purpose, text in plans] == [("differing-versions", 1)]
+    assert shown(dimensions.read(spark, root)) == EXPECTED

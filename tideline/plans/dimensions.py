@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators import cdc, scd
-from tideline.operators.checks import require_sound_dimension
+from tideline.operators.checks import require_empty, require_sound_dimension, unsound
 from tideline.operators.ordered import SplitPolicy, has_heavy_key, null_safe
 from tideline.operators.scd import Dimension
 from tideline.session import written
@@ -22,7 +22,7 @@ CUSTOMERS = Dimension(
 )
 PRODUCTS = Dimension(("product_id",), ("product_name", "category", "price", "status"), "updated_at")
 CITIES = Dimension(("customer_id",), ("city",), "event_time", ("seq",))
-_SIDE = "__side"
+_SIDE, _UNSOUND = "__side", "__unsound"
 ARRIVED = "arrived_in_run"
 
 
@@ -129,22 +129,33 @@ def maintain(
         layout.parts(LOG)[p] = [run] if p in crowded else [*layout.parts(LOG).get(p, []), run]
     log = zones.read(spark, root, LOG, layout, parts)
     # Every update of the batch's keys, once for the history without the batch and once for the one with it.
-    fresh = F.col(ARRIVED) == run
-    touched = log.filter(fresh).select(*[F.col(k).alias(f"__touched_{k}") for k in dim.keys]).distinct()
-    points = log.join(touched, null_safe([(k, f"__touched_{k}") for k in dim.keys]), "left_semi")
+    fresh, heavy = F.col(ARRIVED) == run, has_heavy_key(log, dim.keys)
+    if heavy:
+        touched = log.filter(fresh).select(*[F.col(k).alias(f"__touched_{k}") for k in dim.keys]).distinct()
+        points = log.join(touched, null_safe([(k, f"__touched_{k}") for k in dim.keys]), "left_semi")
+    else:  # a key lies in one place: this shuffle serves the windows, the check and the sums below
+        of_key = Window.partitionBy(*dim.keys)
+        points = log.repartition(*dim.keys).withColumn("__touched", F.max(fresh).over(of_key)).filter("__touched").drop("__touched")
     points = points.withColumn(_SIDE, F.explode(F.when(fresh, F.array(F.lit(1))).otherwise(F.array(F.lit(-1), F.lit(1)))))
     both = Dimension((_SIDE, *dim.keys), dim.tracked, dim.time, dim.tiebreak)
-    split = SplitPolicy() if has_heavy_key(log, dim.keys) else None
-    histories = written(scd.build_history(points, both, deleted, split, log.withColumn(_SIDE, F.lit(1))), "touched-histories")
-    require_sound_dimension(histories.filter(F.col(_SIDE) == 1), dim.keys, split)
-    if first:
-        for zone in (OPEN, CLOSED):
-            layout.note_schema(zone, histories.drop(_SIDE).schema)
+    histories = scd.build_history(points, both, deleted, SplitPolicy() if heavy else None, log.withColumn(_SIDE, F.lit(1)))
+    if heavy:
+        histories = written(histories, "touched-histories")
+        require_sound_dimension(histories.filter(F.col(_SIDE) == 1), dim.keys)
+        histories = histories.withColumn(_UNSOUND, F.lit(False))
+    else:
+        histories = histories.withColumn(_UNSOUND, (F.col(_SIDE) == 1) & unsound([_SIDE, *dim.keys]))
     # A version that is there without and with the batch counts 0 and is left alone.
-    sums = histories.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE)).filter(F.col(_SIDE) != 0)
+    sums = histories.groupBy(*dim.columns).agg(F.sum(_SIDE).alias(_SIDE), F.max(_UNSOUND).alias(_UNSOUND))
+    sums = sums.filter((F.col(_SIDE) != 0) | F.col(_UNSOUND))
     current = F.col(scd.CURRENT)
     zone, place = F.when(current, OPEN).otherwise(CLOSED), F.when(current, part).otherwise(_month(scd.TO))
     differing = written(zones.placed(sums, zone, place, F.col(_SIDE) < 0).drop(_SIDE), "differing-versions")
+    require_empty(differing.filter(_UNSOUND).select(*dim.columns), "overlapping or several active versions of one key")
+    differing = differing.drop(_UNSOUND)
+    if first:
+        for zone in (OPEN, CLOSED):
+            layout.note_schema(zone, differing.select(*dim.columns).schema)
     zones.change(spark, root, layout, run, differing, [*dim.keys, scd.FROM])
     return zones.publish(spark, root, run, layout)
 
