@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from support import at, plan, rows
 from tideline.catalog import inputs
-from tideline.operators import cdc, merge
+from tideline.operators import cdc, joins, merge
 from tideline.operators.checks import CheckFailed, require_empty
 from tideline.operators.scd import Dimension
 from tideline.plans import feeds
@@ -185,3 +185,15 @@ def test_events_without_time_and_keys_without_value(spark, tmp_path):
     assert advance(spark, root, odd.unionByName(untimed)).refused == 1
     advance(spark, root, odd.limit(0))
     assert rows(feeds.live(spark, root, DIM), "customer_id", "city") == [(1, "A"), (None, "M")]
+
+
+def test_a_source_of_small_files_and_many_rows_is_not_broadcast(spark, tmp_path):
+    """A merge sends a source by the size of its rows, not by that of its compressed files."""
+    source = spark.range(100_000).select("id", *[F.lit("the same text in every row").alias(c) for c in "abc"])
+    source.write.parquet(str(tmp_path / "source"))
+    source, target = spark.read.parquet(str(tmp_path / "source")), spark.range(50_000, 150_000)
+    limit = 4 << 20
+    assert joins.is_small(source, limit) and not joins.fits(source, limit)
+    pairs = merge.matched_pairs(target, source, ["id"], limit)
+    assert "FullOuter" in plan(pairs) and pairs.count() == 150_000
+    assert "LeftOuter" in plan(merge.matched_pairs(target, source.limit(10), ["id"], limit))

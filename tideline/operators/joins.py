@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.ordered import null_safe
 
@@ -23,6 +24,21 @@ def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return planned_bytes(df) <= limit
 
 
+def fits(written: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of a written table fit as they are sent, by their count (from file footers) and the columns' default widths.
+
+    Compressed files can hold rows of many times their size.
+    """
+    width = 8 * (len(written.columns) + 1) + sum(_width(f.dataType) for f in written.schema.fields)
+    return written.count() * width <= limit
+
+
+def _width(kind: T.DataType) -> int:
+    if isinstance(kind, T.StructType):
+        return sum(8 + _width(f.dataType) for f in kind.fields)
+    return 24 if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 0
+
+
 def dimension_join(
     fact: DataFrame, dimension: DataFrame, keys: Sequence[str], how: str = "inner", limit: int = BROADCAST_BYTES
 ) -> DataFrame:

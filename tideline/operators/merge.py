@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.joins import BROADCAST_BYTES, is_small
+from tideline.operators.joins import BROADCAST_BYTES, fits, is_small
 from tideline.operators.ordered import null_safe
 from tideline.session import written
 
@@ -28,9 +28,12 @@ def matched_pairs(
     A source within the broadcast limit is written once and sent to the target,
     which is then not shuffled at all; source rows without a partner come from a
     second, key-only look at the target. A larger source takes one full outer join.
+    The plan only knows the size of compressed files, so the rows written are counted as well.
     """
     small = is_small(source, broadcast_limit)
-    source = written(source, "merge-source") if small else source
+    if small:
+        source = written(source, "merge-source")
+        small = fits(source, broadcast_limit)
     t = target.select(*[F.col(k).alias(f"{_KEY}t_{k}") for k in keys], F.struct(*target.columns).alias("t"))
     s = source.select(*[F.col(k).alias(f"{_KEY}s_{k}") for k in keys], F.struct(*source.columns).alias("s"))
     on = null_safe([(f"{_KEY}t_{k}", f"{_KEY}s_{k}") for k in keys])
@@ -129,6 +132,7 @@ def upsert(
     incoming = incoming if unique else one_row_per_key(incoming, keys)
     incoming = written(incoming, "merge-source") if small else incoming
     arriving = incoming.select(*[F.col(k).alias(_KEY + k) for k in keys])
+    small = small and fits(arriving, broadcast_limit)
     arriving = F.broadcast(arriving) if small else arriving
     return target.join(arriving, null_safe([(k, _KEY + k) for k in keys]), "left_anti").unionByName(incoming)
 
