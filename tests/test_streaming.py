@@ -232,3 +232,19 @@ def test_progress_has_a_row_per_event_and_the_late_rows(spark, topic, tmp_path):
     # A run without news adds events, but no rows.
     streams.watched_run(spark, once, str(tmp_path / "out"))
     assert rows(progress.late_drops(spark, str(tmp_path / "out" / "progress")), "input_rows", "late_rows_dropped") == [(5, 2)]
+
+
+def test_state_partitions_follow_the_size_of_the_input(spark, tables, tmp_path):
+    """A small input does not pay for as many state partitions as the session has configured, nor does a large one get more."""
+    before, events = spark.conf.get("spark.sql.shuffle.partitions"), spark.read.parquet(f"{tables}/events.parquet")
+    try:
+        for configured, wanted in (("200", sinks.LEAST_STATE_PARTITIONS), ("3", 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", configured)
+            assert sinks.state_partitions(events) == wanted
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        stream = table_stream(spark, f"{tables}/events.parque[t]", events.schema).select("user_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
+        daily = aggregates.flat_window(aggregates.daily_counts(stream, ["user_id"], "event_timestamp", "2 days"))
+        streams.roll_up_run(spark, daily, str(tmp_path), state_partitions=sinks.state_partitions(events))
+        assert len([p for p in (tmp_path / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]) == sinks.LEAST_STATE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

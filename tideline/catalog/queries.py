@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.catalog import inputs
 from tideline.catalog.inputs import table
@@ -21,6 +23,7 @@ from tideline.sinks import audit, compaction, evolution, layout, snapshots
 from tideline.sources import incremental
 from tideline.sources import tables as readers
 from tideline.streaming import aggregates, progress
+from tideline.streaming.sinks import state_partitions
 from tideline.streaming.sources import event_time, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +34,7 @@ FEED_SPLIT = "1998-06-01 00:00:00"
 LATE_NOW = "2000-01-01 00:00:00"
 AS_OF = "1997-03-01 00:00:00"
 SALTS = 8
-FILES_PER_ARRIVAL = 2
+FILES_PER_ARRIVAL, ARRIVING_FILE_BYTES = 2, 4 << 20
 LATE_DELAY = "1 day"
 # Buckets of the keys of a stored dimension; more of them suit larger tables.
 FEW_BUCKETS = 8
@@ -463,6 +466,10 @@ def _paced_event_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> D
     return table_stream(spark, folder, events.schema, maxFilesPerTrigger=max(1, files // batches))
 
 
+def _state_partitions(spark: SparkSession, sf_dir: str) -> int:
+    return state_partitions(table(spark, sf_dir, "events"))
+
+
 def _timed_events(spark: SparkSession, sf_dir: str, source=_event_stream) -> DataFrame:
     stream = source(spark, sf_dir).select("user_id", F.col("ts").alias("event_timestamp"))
     return event_time(stream, "event_timestamp")
@@ -480,23 +487,26 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_hourly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "hourly")
-    return streams.upsert_run(spark, streams.merchant_metrics(_messages(spark, sf_dir)), root, ["merchant_id"])
+    metrics = streams.merchant_metrics(_messages(spark, sf_dir))
+    return streams.upsert_run(spark, metrics, root, ["merchant_id"], state_partitions=_state_partitions(spark, sf_dir))
 
 
 def stream_sliding_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "sliding")
-    return streams.upsert_run(spark, streams.activity_14d(_timed_events(spark, sf_dir, _paced_event_stream)), root, ["user_id"])
+    activity = streams.activity_14d(_timed_events(spark, sf_dir, _paced_event_stream))
+    return streams.upsert_run(spark, activity, root, ["user_id"], state_partitions=_state_partitions(spark, sf_dir))
 
 
 def stream_sliding_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = working_folder(spark, "sliding")
-    return streams.upsert_run(spark, streams.activity_7d(_timed_events(spark, sf_dir)), root, ["user_id"])
+    activity = streams.activity_7d(_timed_events(spark, sf_dir))
+    return streams.upsert_run(spark, activity, root, ["user_id"], state_partitions=_state_partitions(spark, sf_dir))
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = aggregates.session_counts(_timed_events(spark, sf_dir), ["user_id"], "event_timestamp", "6 hours", "1 day")
     return streams.append_run(
-        spark, aggregates.flat_window(sessions, "session_window"), working_folder(spark, "sessions")
+        spark, aggregates.flat_window(sessions, "session_window"), working_folder(spark, "sessions"), _state_partitions(spark, sf_dir)
     )
 
 
@@ -508,7 +518,7 @@ def stream_preagg_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         layout.append(arrived, f"{root}/arriving")
         stream = table_stream(spark, f"{root}/arriving", events.schema).select("user_id", F.col("ts").alias("event_timestamp"))
         daily = aggregates.daily_counts(event_time(stream, "event_timestamp"), ["user_id"], "event_timestamp", "2 days")
-        rolled = streams.roll_up_run(spark, aggregates.flat_window(daily), root)
+        rolled = streams.roll_up_run(spark, aggregates.flat_window(daily), root, state_partitions=_state_partitions(spark, sf_dir))
     return rolled
 
 
@@ -516,20 +526,25 @@ def stream_late_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries in the order they arrive, a micro-batch per three days; rows that came after the watermark, as noted on the way."""
     root, clicks = working_folder(spark, "late"), inputs.clicks(spark, sf_dir)
     edges = [F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz") for day in range(4, 32, 3)]
-    at = F.col("ingestion_time")
-    for low, high in zip([None, *edges], [*edges, None]):
-        part = clicks.filter((F.lit(True) if low is None else at >= low) & (F.lit(True) if high is None else at < high))
-        layout.append(part.repartition(FILES_PER_ARRIVAL), f"{root}/arriving")
-    stream = table_stream(spark, f"{root}/arriving", clicks.schema, maxFilesPerTrigger=FILES_PER_ARRIVAL)
+    at, states = F.col("ingestion_time"), _state_partitions(spark, sf_dir)
+    # Sorted out once; an arrival then has more files, for more tasks, the larger the table is.
+    arrival = sum([F.when(at >= edge, 1).otherwise(0) for edge in edges], F.lit(0)).alias("arrival")
+    layout.append(clicks.filter(at.isNotNull()).select("*", arrival), f"{root}/sorted", ["arrival"])
+    arrivals = spark.read.schema(T.StructType([*clicks.schema, T.StructField("arrival", T.IntegerType())])).parquet(f"{root}/sorted")
+    files = max(FILES_PER_ARRIVAL, math.ceil(planned_bytes(arrivals) / (ARRIVING_FILE_BYTES * (len(edges) + 1))))
+    for number in range(len(edges) + 1):
+        part = arrivals.filter(F.col("arrival") == number).drop("arrival")
+        layout.append(part.repartition(files), f"{root}/arriving")
+    stream = table_stream(spark, f"{root}/arriving", clicks.schema, maxFilesPerTrigger=files)
     once = aggregates.distinct_events(event_time(stream, "event_time"), ["event_id"], "event_time", LATE_DELAY)
-    streams.watched_run(spark, once, root)
+    streams.watched_run(spark, once, root, states)
     return progress.late_drops(spark, f"{root}/progress").select("input_rows", "late_rows_dropped")
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _timed_events(spark, sf_dir).withWatermark("event_timestamp", "2 hours")
     hourly = events.groupBy(F.window("event_timestamp", "1 hour"), "user_id").agg(F.count(F.lit(1)).alias("event_count"))
-    return streams.append_run(spark, aggregates.flat_window(hourly), working_folder(spark, "append"))
+    return streams.append_run(spark, aggregates.flat_window(hourly), working_folder(spark, "append"), _state_partitions(spark, sf_dir))
 
 
 def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,7 +557,8 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_activity_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity features as an append-only feed: each window once, when it has closed."""
-    return streams.append_run(spark, streams.activity_14d(_timed_events(spark, sf_dir)), working_folder(spark, "activity"))
+    activity = streams.activity_14d(_timed_events(spark, sf_dir))
+    return streams.append_run(spark, activity, working_folder(spark, "activity"), _state_partitions(spark, sf_dir))
 
 
 # -- whole pipelines: read, publish, read back --------------------------------

@@ -48,10 +48,12 @@ def activity_7d(events: DataFrame) -> DataFrame:
     )
 
 
-def upsert_run(spark: SparkSession, stream: DataFrame, root: str, keys: list[str], changed: str | None = None) -> DataFrame:
-    """Upsert everything available into ``root/table`` and return the table."""
+def upsert_run(
+    spark: SparkSession, stream: DataFrame, root: str, keys: list[str], changed: str | None = None, state_partitions: int | None = None,
+) -> DataFrame:
+    """Upsert everything available into ``root/table`` and return the table. ``state_partitions`` counts for the first run."""
     schema = stream.schema
-    with sinks.start_settings(spark):
+    with sinks.start_settings(spark, state_partitions):
         query = sinks.upsert_to(stream, f"{root}/table", f"{root}/checkpoint", keys, changed=changed)
     sinks.finish(query)
     if not sinks.has_content(spark, f"{root}/table"):  # a stream without rows
@@ -60,21 +62,21 @@ def upsert_run(spark: SparkSession, stream: DataFrame, root: str, keys: list[str
     return spark.read.schema(stored).parquet(f"{root}/table").select(*schema.names)
 
 
-def append_run(spark: SparkSession, stream: DataFrame, root: str) -> DataFrame:
+def append_run(spark: SparkSession, stream: DataFrame, root: str, state_partitions: int | None = None) -> DataFrame:
     """Append all finished windows to ``root/table`` and return the table."""
     schema = stream.schema
-    with sinks.start_settings(spark):
+    with sinks.start_settings(spark, state_partitions):
         query = sinks.append_to(stream, f"{root}/table", f"{root}/checkpoint")
     sinks.finish(query)
     return spark.read.schema(schema).parquet(f"{root}/table")
 
 
-def watched_run(spark: SparkSession, stream: DataFrame, root: str) -> DataFrame:
+def watched_run(spark: SparkSession, stream: DataFrame, root: str, state_partitions: int | None = None) -> DataFrame:
     """``append_run`` that leaves a row per progress event below ``root/progress``."""
     schema, watch = stream.schema, ProgressTable(spark, f"{root}/progress")
     spark.streams.addListener(watch)
     try:
-        with sinks.start_settings(spark):
+        with sinks.start_settings(spark, state_partitions):
             query = sinks.append_to(stream, f"{root}/table", f"{root}/checkpoint")
         sinks.finish(query)
         watch.wait(query)
@@ -93,7 +95,9 @@ def rolled_up(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/rolled")
 
 
-def roll_up_run(spark: SparkSession, daily: DataFrame, root: str, days: int = ACTIVITY_DAYS) -> DataFrame:
+def roll_up_run(
+    spark: SparkSession, daily: DataFrame, root: str, days: int = ACTIVITY_DAYS, state_partitions: int | None = None
+) -> DataFrame:
     """Upsert streamed daily counts of users, then refresh the roll-up of what changed; returns the roll-up.
 
     A changed day of a user shows in the sums of that day and of the following
@@ -102,7 +106,7 @@ def roll_up_run(spark: SparkSession, daily: DataFrame, root: str, days: int = AC
     changed are removed last: a run that stopped before is repeated.
     """
     changed = f"{root}/changed"
-    upsert_run(spark, daily, root, ["user_id"], changed)
+    upsert_run(spark, daily, root, ["user_id"], changed, state_partitions)
     if not sinks.has_content(spark, changed):
         return rolled_up(spark, root)
     touched = written(spark.read.parquet(changed).select("user_id", F.col(sinks.DAY).alias("event_date")).distinct(), "changed-days")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -9,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.operators.joins import planned_bytes
 from tideline.operators.merge import upsert
 from tideline.sinks.layout import replace_partitions
 
 DAY = "window_date"
+#: Files that fill a state partition, and the least number of those: each costs every batch a task and files, however few its rows.
+STATE_BYTES, LEAST_STATE_PARTITIONS = 4 << 20, 8
+
+
+def state_partitions(source: DataFrame) -> int:
+    """State partitions for a stream over the rows of ``source``: by the size of its files, at most the configured number."""
+    configured = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(configured, max(LEAST_STATE_PARTITIONS, math.ceil(planned_bytes(source) / STATE_BYTES)))
 
 
 @contextmanager
