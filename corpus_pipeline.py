@@ -10,10 +10,15 @@ A null or empty text fails the base rules and goes in the first stage. Null ids
 are documents like others. Of rows equal in id and text one is left after the
 second stage, of ties there the least id and then the least digest of the text.
 Empty tables give empty results. Each operator states the rest.
+
+The stages run with small Arrow batches (``BATCH_BYTES``), unless the session names a size itself; the setting stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm import mixing, packing, quality_rules, simhash, substrings
@@ -21,6 +26,23 @@ from tideline.llm.queries import table
 from tideline.session import working_folder
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: With Spark's own limit of 64 MB a task's whole share of the texts is one batch, held in the JVM and in Python at once.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(stage: Callable) -> Callable:
+    """The setting has to hold when the stage's result is written, so it is not taken back."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH_SETTING, None) is None:
+            spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filtered(docs, table(spark, sf_dir, "labels"))
 
@@ -42,11 +64,11 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality_rules", quality),
-    ("simhash_near_dedup", near_duplicates),
-    ("substring_dedup", repeated_passages),
-    ("source_mix", source_mix),
-    ("packing", sequences),
+    ("quality_rules", in_small_batches(quality)),
+    ("simhash_near_dedup", in_small_batches(near_duplicates)),
+    ("substring_dedup", in_small_batches(repeated_passages)),
+    ("source_mix", in_small_batches(source_mix)),
+    ("packing", in_small_batches(sequences)),
 ]
 
 #: Tokenizer ids and the sampling of the mix have no SQL expression; tests/llm compares each stage with plain loops.

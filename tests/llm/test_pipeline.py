@@ -6,12 +6,13 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_texts import WORD, groups_of, removed, slow_fingerprint, walked
 from tokenizers import Tokenizer
 
-from tideline.llm import mixing, quality_rules, queries
+from tideline.llm import mixing, packing, quality_rules, queries, substrings
 from tideline.session import working_folder
 
 SF = "/root/testdata/sf0.01"
@@ -100,3 +101,25 @@ def test_odd_and_empty_tables_go_through_all_stages(spark, odd_docs, no_docs):
             docs = spark.read.parquet(f"{root}/{number}")
             assert docs.columns == columns or name == "packing"
         assert docs.count() > 0 or not no_docs.count()
+
+
+@pytest.mark.parametrize("task", [substrings._minimisers(35), substrings._solving(35)])
+def test_a_task_on_passages_drops_the_encoder_left_in_its_worker(task):
+    packing._encoder(None).encode([b"some words"])
+    assert packing._encoder.cache_info().currsize == 1
+    assert list(task(iter([]))) == []
+    assert packing._encoder.cache_info().currsize == 0
+    assert len(packing._encoder(None).encode([b"some words"])) == 1
+
+
+def test_stages_send_texts_to_python_in_small_batches(spark, no_docs):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+        stage(spark, no_docs, SF)
+        texts = spark.range(3000, numPartitions=1).select(F.repeat(F.lit("0123456789"), 500).alias("text"))
+        found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+        assert sum(found) > 3000 * 5000 and max(found) < 2 * corpus_pipeline.BATCH_BYTES

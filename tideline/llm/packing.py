@@ -27,7 +27,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,7 @@ from pyspark.sql import types as T
 
 from tideline.llm.ranking import numbered
 from tideline.llm.text import as_bytes, pieces, text_key
+from tideline.llm.workers import kept_in_worker
 from tideline.session import written
 
 CAPACITY = 2048
@@ -117,7 +117,7 @@ class WordEncoder:
             self.known.update((w, raw[a:b]) for w, a, b in zip(words[500 * i:], cuts.tolist(), cuts[1:].tolist()))
 
 
-@lru_cache(maxsize=1)
+@kept_in_worker
 def _encoder(tokenizer: str | None) -> WordEncoder:
     """One per Python worker, which outlives its tasks. Spark runs a task per core, so the library adds no threads."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

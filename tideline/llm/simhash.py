@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.components import components
 from tideline.llm.text import as_bytes, free_name, pieces
+from tideline.llm.workers import start_lean
 from tideline.session import written
 
 SHINGLE = 3
@@ -63,6 +64,7 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fp") -> DataF
     kept = [c for c in docs.columns if c != text]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_lean()
         for batch in pieces(batches, text):
             prints = np.array([fingerprint(t) for t in as_bytes(batch.column(text))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(prints)], [*kept, name])

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.text import as_bytes, free_name, mix, pieces, ranges, span_hashes, text_key
+from tideline.llm.workers import start_lean
 from tideline.session import written
 
 WINDOW = 35
@@ -101,6 +102,7 @@ def _minimisers(width: int):
     """Minimisers of each text of a task and of one copy of it, so that copies of a text count however they are dealt."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_lean()
         seen: set[bytes] = set()
         repeated: set[bytes] = set()
         for batch in pieces(batches, "text"):
@@ -266,6 +268,7 @@ class _Packer:
 
 def _packing(buckets: int, shared, width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_lean()
         packer, seen = _Packer(buckets, *shared.value, width), set()
         for batch in pieces(batches, "text"):
             fresh, digests, again = _first_copies(as_bytes(batch.column("text")), seen)
@@ -332,6 +335,7 @@ def _solving(width: int):
                 yield digests[owner[begins]], low, low + (offset[stops] - offset[begins]) + width
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_lean()
         held, current = [], None
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
@@ -396,6 +400,7 @@ def removed(docs: DataFrame, text: str = "text", width: int = WINDOW) -> DataFra
     schema = docs.schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_lean()
         for batch in pieces(batches, text):
             texts, spans = as_bytes(batch.column(text)), batch.column(name).to_pylist()
             nulls = batch.column(text).is_null().to_pylist()
