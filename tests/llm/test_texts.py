@@ -310,6 +310,53 @@ def test_added_tokens_are_found_as_they_are_spelled(text):
     assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == want
 
 
+def test_letters_beside_symbols_and_marks_give_the_ids_of_the_text():
+    """Every letter that strings are cut at, and neighbours that compose with it or with the symbol."""
+    encoder = _encoder()
+    letters = [chr(c) for c in [*range(0x20, 0x250), *range(0x300, 0x350), *range(0x370, 0x530), 0x1E9E, 0x212A, 0x4E00, 0xAC00, 0x1161]]
+    forms = ["{}.", "A{}", "{}A", "({}", "&{}'S", "{}\u0301.", "A{}\u0338", "={}", "x{}(X", "{}1", "<|endoftext|>{}<|ENDOFTEXT|>", "\t{} \n"]
+    texts = [f.replace("{}", c) for f in forms for c in letters]
+    for text, got in zip(texts, encoder.encode([t.encode() for t in texts])):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == [*want, 1], text
+
+
+def test_a_word_is_encoded_once_whatever_stands_around_it():
+    """The vocabulary is asked once per word, for its ids only: their places in the text cost as much again."""
+    class Asked:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.words, self.placed = tokenizer, Counter(), Counter()
+
+        def encode_batch_fast(self, texts, **options):
+            self.words.update(w for t in texts for w in t.split())
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+        def encode_batch(self, texts, **options):
+            self.placed.update(w for t in texts for w in t.split())
+            return self.tokenizer.encode_batch(texts, **options)
+
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Asked(encoder.tokenizer)
+    texts = ["A qwertzu, Qwertzu. QWERTZU qwertzu### (x qwertzu) qwertzu&&& été\u0301 Ni\u00f1oqx niñoqx, niñoqx###", "a qwertzu- a qwertzu"]
+    for _ in range(2):
+        for text, got in zip(texts, encoder.encode([t.encode() for t in texts])):
+            assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    asked = encoder.tokenizer
+    assert asked.words["qwertzu"] == 1 and asked.words["niñoqx"] == 1
+    assert not any(w.isalpha() and w.isascii() for w in asked.placed) and "qwertzu###" not in asked.placed
+
+
+@pytest.mark.parametrize("most", [4, 1000])
+def test_forgotten_and_very_long_words_are_encoded_again(monkeypatch, most):
+    monkeypatch.setattr(packing, "CACHED_WORDS", most)
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(f"w{chr(97 + (i * k) % 26)}x" for i in range(9)) + " " + "longword" * 40 for k in range(1, 12)]
+    for text in [*texts, *texts, "", " \n ", "\n"]:
+        want = [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert np.frombuffer(encoder.encode([b"", text.encode(), b""])[1], "<u4").tolist() == want
+    assert max(map(len, [*encoder.known, *encoder.before])) <= packing.LONGEST_KEPT
+
+
 def _encoder(made=[]):
     if not made:
         made.append(packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json")))

@@ -27,6 +27,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from string import ascii_letters, punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -46,75 +47,145 @@ COLUMNS_AT_ONCE = 32
 #: The program ends when no more than this share of the tokens is outside of patterns.
 GOOD_ENOUGH = 0.002
 CACHED_WORDS = 400_000
-_MARKS = (b".", b",", b";", b":", b"!", b"?")
+LONGEST_KEPT = 64
 BROADCAST_ROWS = 200_000
 
 
+def _bytes_table(members: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+_SPACE = _bytes_table(b" \t\n\v\f\r")
+_LETTER = _bytes_table(ascii_letters.encode())
+_SYMBOL = _bytes_table(punctuation.replace("'", "").encode())  # 's, 't and the like are tokens of their own
+#: By a byte and the next, whether a string begins between them.
+_CUTS = (~_SPACE[:, None] & _SPACE | _LETTER[:, None] & _SYMBOL | _SYMBOL[:, None] & _LETTER).ravel()
+#: Letters of two bytes that neither compose with what is before them nor become several characters: U+00C0 to U+017F, U+0400 to U+047F.
+_WIDE = np.zeros((256, 256), bool)
+_WIDE[[0xC3, 0xC4, 0xC5, 0xD0, 0xD1], 0x80:0xC0] = True
+_WIDE[[0xC3, 0xC3, 0xC4], [0x97, 0xB7, 0xB0]] = False  # two signs; dotted I
+_WIDE_FIRST, _WIDE = _WIDE.any(axis=1), _WIDE.ravel()
+_RUN = re.compile(
+    rb"[ \t\n\v\f\r]*(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5\xd0\xd1][\x80-\xbf])+"
+)
+
+
 class WordEncoder:
-    """Token ids of whole texts as little-endian bytes; words are encoded once and remembered.
+    """Token ids of whole texts as little-endian bytes; the strings between cuts are encoded once and remembered.
 
-    The vocabulary splits at white space, so the ids of a text are those of its words in a row, and a
-    mark after letters is a token of its own. Words used lately are kept: those of the last two generations.
-    Capitals do not matter but in an added token, which the vocabulary looks for in the text as it stands.
+    The vocabulary splits at white space and between a letter and a symbol, so the ids of a text are those of its
+    strings in a row. A string begins with the white space before it. Strings used lately are kept: those of the last
+    two generations. Capitals do not matter, but in an added token, which the vocabulary looks for in the text as it
+    stands, and before a mark that they may be composed with.
     """
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
-        added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)")
+        added = {t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {b""}
+        self.added = sorted(added, key=len, reverse=True)
+        self.closing = self._closing_tokens()
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
         self.end = np.array([END_ID], "<u4").tobytes()
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self._learn(set().union(*split))
-        known = self.known
-        return [b"".join([*map(known.__getitem__, words), self.end]) for words in split]
+    def _closing_tokens(self) -> np.ndarray:
+        """Which ids end a run of letters."""
+        vocabulary = self.tokenizer.get_vocab()
+        closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return closing
 
-    def _learn(self, words: set[bytes]) -> None:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        bounds = np.cumsum([0, *map(len, texts)])
+        if not bounds[-1]:
+            return [self.end] * len(texts)
+        data, starts = self._strings(b"".join(texts), bounds)
+        offsets = np.append(starts, len(data))
+        strings = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        coded = strings.dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        _, places, found = ids.buffers()
+        places = np.frombuffer(places, np.int64)[np.searchsorted(starts, bounds)].tolist()
+        found = memoryview(found) if found else b""
+        return [b"".join((found[a:b], self.end)) for a, b in zip(places, places[1:])]
+
+    def _strings(self, raw: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The joined texts without capitals that do not matter, and where in them a string begins."""
+        lower = raw.lower()
+        data, given = np.frombuffer(bytearray(lower), np.uint8), np.frombuffer(raw, np.uint8)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = _CUTS[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        if not raw.isascii():
+            wide = np.flatnonzero(_WIDE_FIRST[data[:-1]])
+            wide = wide[_WIDE[data[wide].astype(np.uint16) << 8 | data[wide + 1]]]
+            later, after = wide[wide > 0], wide[wide + 2 < len(data)] + 2
+            cut[later] |= _SYMBOL[data[later - 1]]
+            cut[after] |= _SYMBOL[data[after]]
+            composed = np.flatnonzero((data[1:] >= 0x80) & ~_WIDE_FIRST[data[1:]] & (data[:-1] < 0x80))
+            data[composed] = given[composed]
+        spelled = []
+        if any(a in lower for a in self.added):
+            # All of them, also where they overlap; what touches them is left as it stands.
+            for m in re.finditer(b"(?=(%s))" % b"|".join(map(re.escape, self.added)), lower):
+                cut[m.start(1):m.end(1) + 1] = False
+                spelled.append(m.start(1))
+        cut[bounds] = True
+        starts = np.flatnonzero(cut[:-1])
+        for k in np.unique(np.searchsorted(starts, spelled, side="right")).tolist():
+            here = slice(starts[k - 1], starts[k] if k < len(starts) else None)
+            data[here] = given[here]
+        return data, starts
+
+    def _ids(self, strings: list[bytes]) -> list[bytes]:
         if len(self.known) > CACHED_WORDS:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
-        missing = []
-        for w in words:
-            if w not in known:
-                if w in before:
-                    known[w] = before[w]
-                else:
-                    missing.append(w)
-        parts = [self._parts(w) for w in missing]
-        stems = {p for pair in parts for p in pair if p not in known}
-        self._encode([p for p in stems if not self._recalled(p)])
-        for w, pair in zip(missing, parts):
-            known[w] = known[pair[0]] if len(pair) == 1 else known[pair[0]] + known[pair[1]]
-
-    def _recalled(self, word: bytes) -> bool:
-        if word in self.before:
-            self.known[word] = self.before[word]
-        return word in self.known
-
-    def _parts(self, word: bytes) -> tuple[bytes, ...]:
-        """The word without its capitals and without one closing mark, and that mark, where both stand alone."""
-        if word.isascii() and not self.added.search(lower := word.lower()):
-            word = lower
-        if word[-1:] in _MARKS and word[:-1].decode().isalpha():
-            return word[:-1], word[-1:]
-        return (word,)
-
-    def _encode(self, words: list[bytes]) -> None:
-        groups = [[w.decode() for w in words[i:i + 500]] for i in range(0, len(words), 500)]
-        encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        for i, (group, found) in enumerate(zip(groups, encoded)):
+        ids = list(map(known.get, strings))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        for i in missing:
+            ids[i] = before.get(strings[i])
+        new = [strings[i] for i in missing if ids[i] is None]
+        made = self._encoded(new)
+        for i in missing:
+            s = strings[i]
+            if ids[i] is None:
+                ids[i] = made[s]
+            if len(s) <= LONGEST_KEPT:
+                known[s] = ids[i]
+        return ids
+
+    def _encoded(self, strings: list[bytes]) -> dict[bytes, bytes]:
+        """A run of letters ends in the only closing token it has; other strings need the places of their tokens."""
+        made, runs, others = {}, [], []
+        for s in strings:
+            (runs if _RUN.fullmatch(s) else others).append(s)
+        groups = [runs[i:i + 100] for i in range(0, len(runs), 100)]
+        texts = [b" ".join(g).decode() for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                made.update(zip(group, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                others += group
+        groups = [others[i:i + 500] for i in range(0, len(others), 500)]
+        words = [[s.strip().decode() for s in g] for g in groups]
+        encoded = self.tokenizer.encode_batch([" ".join(w) for w in words], add_special_tokens=False)
+        for group, own, found in zip(groups, words, encoded):
             ids = np.array(found.ids, "<u4")
             # A token belongs to the word its first character lies in.
-            begins = np.cumsum([0, *(len(w) + 1 for w in group[:-1])])
+            begins = np.cumsum([0, *(len(w) + 1 for w in own[:-1])])
             owner = np.searchsorted(begins, [o[0] for o in found.offsets], side="right") - 1
             cuts = np.searchsorted(owner, np.arange(len(group) + 1)) * 4
             raw = ids.tobytes()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(words[500 * i:], cuts.tolist(), cuts[1:].tolist()))
+            made.update((s, raw[a:b]) for s, a, b in zip(group, cuts.tolist(), cuts[1:].tolist()))
+        return made
 
 
 @kept_in_worker
